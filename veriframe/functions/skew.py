@@ -25,7 +25,7 @@ MIN_HOT_ROWS = 100_000
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df``; plan statistics only, no job."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(stats.sizeInBytes().toString())
+    return int(str(stats.sizeInBytes()))
 
 
 def fits_broadcast(df: DataFrame) -> bool:

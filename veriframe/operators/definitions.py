@@ -13,7 +13,7 @@ from veriframe.functions.text import rule_id, strip_blanks
 from veriframe.operators.computed import all_null_expression
 from veriframe.operators.registry import Check
 
-DEFINITION_SCHEMA = "c0 string, c1 string, c2 string"
+DEFINITION_SCHEMA = "c0 string, c1 string, c2 string, uneven string"
 
 
 def load_definitions(spark: SparkSession, path: str, delimiter: str | None = None) -> DataFrame:
@@ -34,17 +34,21 @@ def load_definitions(spark: SparkSession, path: str, delimiter: str | None = Non
         .option("sep", delimiter)
         .option("quote", '"')
         .option("escape", '"')
-        .option("nullValue", "\u0000")
         .option("emptyValue", "")
+        .option("columnNameOfCorruptRecord", "uneven")
+        .option("columnPruning", False)
         .csv(path)
     )
+    # Spark marks rows of another width; without a third value they are too short.
+    short = F.col("uneven").isNotNull() & F.col("c2").isNull()
     rows = raw.select(
         F.col("_metadata.file_path").alias("file"),
         F.monotonically_increasing_id().alias("_at"),
         strip_blanks(F.col("c0")).alias("name"),
         strip_blanks(F.coalesce("c1", F.lit(""))).alias("description"),
-        strip_blanks(F.col("c2")).alias("query"),
-    ).filter(F.col("query").isNotNull() & (F.coalesce("name", F.lit("")) != ""))
+        strip_blanks(F.coalesce("c2", F.lit(""))).alias("query"),
+        short.alias("_short"),
+    ).filter(~F.col("_short") & (F.coalesce("name", F.lit("")) != ""))
     order = Window.partitionBy("file").orderBy("_at")
     return rows.select(
         "file", F.row_number().over(order).cast("bigint").alias("row"), "name", "description", "query"

@@ -8,10 +8,12 @@ Spark unchanged, so simple ones are pushed to the scan.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veriframe.functions.skew import attach, key_counts, not_null, rows_by_membership
 
@@ -40,19 +42,29 @@ def bounds_of(properties: Mapping[str, str]) -> tuple[str | None, str | None]:
     return first("min_value", "min"), first("max_value", "max")
 
 
+def _bound(kind: T.DataType, text: str) -> Column:
+    """A bound in the field's own type where that is exact, so it reaches the scan."""
+    if isinstance(kind, T.IntegralType):
+        number = float(text)
+        return F.lit(int(text) if text.lstrip("+-").isdigit() else number)
+    if isinstance(kind, T.DecimalType):
+        return F.lit(Decimal(text))
+    if isinstance(kind, T.NumericType):
+        return F.lit(float(text)).cast(kind)
+    return F.lit(text).cast(kind)
+
+
 def fails_between(df: DataFrame, fields: Sequence[str], low: str | None, high: str | None) -> Column:
     """Outside the inclusive range; a missing bound is open."""
     if low is None and high is None:
         raise ValueError("between needs at least one bound")
     conditions = []
     for f in fields:
-        # Bounds take the field's own type, so the comparison reaches the scan.
         kind = df.schema[f].dataType
-        whole = kind.typeName() in ("byte", "short", "integer", "long")
         if low is not None:
-            conditions.append(F.col(f"`{f}`") < F.lit(low).cast("double" if whole else kind))
+            conditions.append(F.col(f"`{f}`") < _bound(kind, low))
         if high is not None:
-            conditions.append(F.col(f"`{f}`") > F.lit(high).cast("double" if whole else kind))
+            conditions.append(F.col(f"`{f}`") > _bound(kind, high))
     return _any(conditions)
 
 

@@ -35,9 +35,6 @@ def file_scan(
         spark.read.option("header", has_header)
         .option("sep", delimiter)
         .option("multiLine", multi_line)
-        # An unquoted empty cell arrives as an empty string, so that
-        # ``empty_as_null`` alone decides.
-        .option("nullValue", "\u0000")
         .option("emptyValue", "")
         .option("escape", escape or '"')
     )
@@ -45,8 +42,14 @@ def file_scan(
         return reader.schema(schema).csv(path)
     df = reader.csv(path)
     texts = df.columns
-    if empty_as_null:
-        df = df.select(*[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in texts])
+    # Spark reads a bare empty cell as null and a quoted one as "".
+    empty = F.lit("")
+    df = df.select(
+        *[
+            (F.nullif if empty_as_null else F.coalesce)(F.col(f"`{c}`"), empty).alias(c)
+            for c in texts
+        ]
+    )
     if infer:
         from veriframe.operators.profile import cast_inferred
 
