@@ -315,7 +315,7 @@ def q_concatenate(spark: SparkSession, sf: str) -> DataFrame:
 
 LOOKUP_NAMES = """
 SELECT l_orderkey, l_linenumber, l_partkey,
-       CASE WHEN l_linestatus = 'O' THEN 'SUPPLIER # ' || lpad(CAST(l_suppkey AS STRING), 9, '0')
+       CASE WHEN l_linestatus = 'O' THEN '  SUPPLIER#' || lpad(CAST(l_suppkey AS STRING), 9, '0')
             WHEN l_returnflag = 'R' THEN 'unknown' ELSE 'supplier#' || lpad(CAST(l_suppkey AS STRING), 9, '0') || '.' END AS who
 FROM {lineitem}
 """
