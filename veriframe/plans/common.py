@@ -37,16 +37,6 @@ def duck(sql: str) -> str:
     return "(" + re.sub(r"\{(\w+)\}", r"\1", sql).strip() + ")"
 
 
-def sql_uid(container: str, rule: str, fields: str | None) -> str:
-    """SQL text of a check uid; ``fields`` is one already joined field list."""
-
-    def slug(text: str) -> str:
-        return f"trim(regexp_replace(lower({text}), '[^a-z0-9]+', '_', 'g'), '_')"
-
-    parts = [slug(container), slug(rule)] + ([slug(fields)] if fields else [])
-    return " || '__' || ".join(parts)
-
-
 def sql_fingerprint(uid: str, key: str) -> str:
     return f"sha256({uid} || '|' || {key})"
 

@@ -15,11 +15,16 @@ from veriframe.operators.scan import row_rule_failures
 
 
 def stream_container(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """A Parquet container as a stream of its files."""
+    """A Parquet container, one file or a folder, as a stream of its files.
+
+    A file source takes a plain path to be a folder, but a pattern to be either;
+    so the path is given as the pattern that matches just itself.
+    """
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    path = path.rstrip("/")
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def event_time(col: Column) -> Column:
