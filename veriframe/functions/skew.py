@@ -132,6 +132,26 @@ def rows_by_membership(
     return attach(rows, flagged, on, keep="_keep").select(*[F.col(f"`{c}`") for c in df.columns])
 
 
+def lookup(df: DataFrame, on: Sequence[str], ref: DataFrame, ref_on: Sequence[str]) -> DataFrame:
+    """Left join of ``df`` with the other columns of ``ref``, unique on ``ref_on``.
+
+    A reference Catalyst can broadcast is joined directly. Beyond that the keys
+    are matched once each, hot ones are spread, and rows with a null key, which
+    match nothing, are not shuffled at all.
+    """
+    names = [f"_r{i}" for i in range(len(ref_on))]
+    extra = [c for c in ref.columns if c not in ref_on]
+    side = ref.select(
+        *[F.col(f"`{c}`").alias(k) for c, k in zip(ref_on, names)], *[F.col(f"`{c}`") for c in extra]
+    )
+    if fits_broadcast(side):
+        return df.join(side, _same(df, side, on, names), "left").drop(*names)
+    counts = key_counts(df, on)
+    found = counts.join(side, _same(counts, side, on, names), "left").drop(*names)
+    known = attach(df.filter(not_null(on)), found, on).drop("_n")
+    return known.unionByName(df.filter(~not_null(on)), allowMissingColumns=True)
+
+
 def group_index(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """1-based position of each row in its group, no group held by one task.
 

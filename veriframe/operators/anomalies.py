@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veriframe.functions.keys import fingerprint, record_key
-from veriframe.functions.skew import attach, fits_broadcast, key_counts
+from veriframe.functions.skew import attach, lookup
 
 OPEN_STATUSES = ("Active", "Acknowledged")
 ARCHIVE_STATUSES = ("Resolved", "Invalid", "Duplicate", "Discarded")
@@ -65,14 +65,7 @@ def merge_failures(
 def _flag(df: DataFrame, on: str, members: DataFrame, name: str) -> DataFrame:
     """Adds a boolean: is ``on`` among the values of the one-column ``members``?"""
     keys = members.toDF("_m").filter(F.col("_m").isNotNull()).distinct().withColumn(name, F.lit(True))
-    if fits_broadcast(keys):
-        out = df.join(keys, df[on] == keys["_m"], "left").drop("_m")
-        return out.withColumn(name, F.coalesce(name, F.lit(False)))
-    counts = key_counts(df, [on])
-    flagged = counts.join(keys, counts[on] == keys["_m"], "left").drop("_m")
-    flagged = flagged.withColumn(name, F.coalesce(name, F.lit(False)))
-    named = attach(df.filter(F.col(on).isNotNull()), flagged, [on]).drop("_n")
-    return named.unionByName(df.filter(F.col(on).isNull()).withColumn(name, F.lit(False)))
+    return lookup(df, [on], keys, ["_m"]).withColumn(name, F.coalesce(name, F.lit(False)))
 
 
 def auto_resolve(

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veriframe.functions.skew import attach, fits_broadcast, key_counts
+from veriframe.functions.skew import lookup
 from veriframe.functions.text import cleaned_name, formatted_number, name_key
 
 
@@ -52,9 +52,7 @@ def entity_name_lookup(
 ) -> DataFrame:
     """Resolve a name through a reference container by normalised name.
 
-    Many matches give the smallest id, none gives null. A reference Catalyst
-    would broadcast is joined directly; a larger one is matched with the distinct
-    names first, and hot names are spread.
+    Many matches give the smallest id, none gives null.
     """
     found = (
         ref.select(name_key(F.col(f"`{ref_field}`")).alias("_ref"), F.col(f"`{id_field}`").alias("_id"))
@@ -63,13 +61,7 @@ def entity_name_lookup(
         .agg(F.min("_id").alias(out_field))
     )
     keyed = df.withColumn("_name", name_key(_src(src)))
-    if fits_broadcast(found):
-        return keyed.join(found, keyed["_name"] == found["_ref"], "left").drop("_name", "_ref")
-    counts = key_counts(keyed, ["_name"])
-    resolved = counts.join(found, counts["_name"] == found["_ref"], "left").drop("_ref")
-    named = attach(keyed.filter(F.col("_name").isNotNull()), resolved, ["_name"]).drop("_n", "_name")
-    blank = keyed.filter(F.col("_name").isNull()).drop("_name")
-    return named.unionByName(blank, allowMissingColumns=True)
+    return lookup(keyed, ["_name"], found, ["_ref"]).drop("_name")
 
 
 @dataclass(frozen=True)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veriframe.functions.skew import attach, fits_broadcast, key_counts
 from veriframe.session import durable
 
 
@@ -23,38 +22,25 @@ def lineage_edges(containers: DataFrame) -> DataFrame:
     )
 
 
-def _step_up(paths: DataFrame, edges: DataFrame) -> DataFrame:
-    """Paths extended by one edge; a container many others read is a hot key."""
-    up = edges.select(F.col("child").alias("_via"), F.col("parent").alias("_up"))
-    if fits_broadcast(up):
-        longer = paths.join(up, paths["parent"] == up["_via"]).drop("_via")
-    else:
-        # Parents of one container are few (its definition names them), so they
-        # travel as one array per key.
-        ups = up.groupBy("_via").agg(F.collect_set("_up").alias("_ups"))
-        counts = key_counts(paths, ["parent"])
-        keyed = counts.join(ups, counts["parent"] == ups["_via"]).drop("_via")
-        all_keys = counts.join(keyed.drop("_n"), "parent", "left").withColumn(
-            "_keep", F.col("_ups").isNotNull()
-        )
-        longer = attach(paths, all_keys, ["parent"], keep="_keep").withColumn(
-            "_up", F.explode("_ups")
-        )
-    return longer.select("child", F.col("_up").alias("parent"))
-
-
 def lineage_closure(edges: DataFrame, max_depth: int = 64) -> DataFrame:
     """``child, ancestor, depth`` for all reachable ancestors, shortest depth.
 
     One round per level, bounded by the depth of the graph; each round only
     extends the pairs that were new, and is written to reliable storage. A
-    cycle ends by itself, as its pairs repeat.
+    cycle ends by itself, as its pairs repeat. A container that very many others
+    read is a hot key of the step: both inputs of that join are plain shuffles,
+    so adaptive execution splits it.
     """
-    frontier = edges.select("child", "parent").distinct()
-    closed = durable(frontier.withColumn("depth", F.lit(1)))
+    pairs = edges.select("child", "parent").distinct()
+    closed = durable(pairs.withColumn("depth", F.lit(1)))
     frontier = closed.drop("depth")
+    up = frontier.select(F.col("child").alias("_via"), F.col("parent").alias("_up"))
     for depth in range(2, max_depth + 1):
-        longer = _step_up(frontier, edges).distinct()
+        longer = (
+            frontier.join(up, frontier["parent"] == up["_via"])
+            .select("child", F.col("_up").alias("parent"))
+            .distinct()
+        )
         known = closed.select(F.col("child").alias("_c"), F.col("parent").alias("_p"))
         fresh = durable(
             longer.join(

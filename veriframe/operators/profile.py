@@ -231,12 +231,16 @@ def cast_inferred(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def value_histogram(df: DataFrame, cols: Sequence[str], max_distinct: int) -> DataFrame:
     """Value counts of the fields with at most ``max_distinct`` different values.
 
-    Values are counted with map-side combining; the per-field totals that decide
-    are one row per field.
+    Fields with clearly more values are left out by their sketch before anything
+    is shuffled; the exact counts decide among the rest. All per-field tables are
+    at most one row per column of the container.
     """
+    # Twice the limit is some fifty standard errors of the sketch away.
+    likely = approx_distinct(df, cols).filter(F.col("distinct_count") <= 2 * max_distinct + 16)
+    likely = likely.select(F.col("field").alias("_likely"))
+    cells = _long_values(df, cols, "string").filter(F.col("value").isNotNull())
     counts = (
-        _long_values(df, cols, "string")
-        .filter(F.col("value").isNotNull())
+        cells.join(F.broadcast(likely), F.col("field") == F.col("_likely"), "left_semi")
         .groupBy("field", "value")
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
@@ -246,7 +250,6 @@ def value_histogram(df: DataFrame, cols: Sequence[str], max_distinct: int) -> Da
         .filter(F.col("_distinct") <= max_distinct)
         .select(F.col("field").alias("_field"))
     )
-    # ``small`` is at most one row per column of the container.
     return counts.join(F.broadcast(small), F.col("field") == F.col("_field"), "left_semi")
 
 

@@ -8,7 +8,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriframe.functions.skew import attach, group_index
+from veriframe.functions.skew import attach, group_index, lookup
 from veriframe.functions.text import check_uid, rule_and_fields, slugify
 from veriframe.operators.rules import CROSS_REFERENCE_RULES
 
@@ -160,8 +160,8 @@ def portable_check(
     d = datastores.select(
         F.col("id").cast("string").alias("_did"), F.nullif(F.col("name"), F.lit("")).alias("_dname")
     )
-    refs = refs.join(c, refs["_ref_c"] == c["_cid"], "left")
-    refs = refs.join(d, refs["_ref_d"] == d["_did"], "left")
+    refs = lookup(refs, ["_ref_c"], c, ["_cid"])
+    refs = lookup(refs, ["_ref_d"], d, ["_did"])
     resolved = F.map_concat(
         _without(props, ("ref_container_id", "ref_datastore_id")),
         _entry("ref_container_name", F.col("_cname")),
@@ -209,7 +209,7 @@ def resolve_refs(
     d = datastores.select(
         F.col("name").alias("_d_name"), F.col("id").cast("string").alias("_d_id")
     )
-    refs = refs.join(d, refs["_dname"] == d["_d_name"], "left")
+    refs = lookup(refs, ["_dname"], d, ["_d_name"])
     refs = refs.withColumn("_store", F.coalesce("_did", "_d_id"))
     refs = refs.withColumn(
         "_where", F.coalesce(F.col("_store"), F.col(own_datastore).cast("string"))
@@ -219,9 +219,7 @@ def resolve_refs(
         F.col("name").alias("_c_name"),
         F.col("id").cast("string").alias("_c_id"),
     )
-    refs = refs.join(
-        c, (refs["_where"] == c["_c_store"]) & (refs["_cname"] == c["_c_name"]), "left"
-    )
+    refs = lookup(refs, ["_where", "_cname"], c, ["_c_store", "_c_name"])
     error = F.when(
         F.col("_dname").isNotNull() & F.col("_store").isNull(),
         F.concat(F.lit("referenced datastore not found: "), F.col("_dname")),
@@ -259,21 +257,13 @@ def upsert_plan(
     its first occurrence creates; the dry run counts it as another create.
     """
     each = incoming.withColumn("target", F.explode(F.array(*[F.lit(t) for t in targets])))
-    known = containers.select(
-        F.col("datastore").alias("_c_store"), F.col("name").alias("_c_name")
-    ).distinct()
-    each = each.join(
-        known, (each["target"] == known["_c_store"]) & (each["container"] == known["_c_name"]), "left"
-    )
+    known = containers.select("datastore", "name").distinct().withColumn("_known", F.lit(True))
+    each = lookup(each, ["target", "container"], known, ["datastore", "name"])
     stored = existing.filter(F.col("uid").isNotNull()).groupBy("datastore", "uid").agg(
         F.max("check_id").alias("existing_id")
-    ).select(F.col("datastore").alias("_e_store"), F.col("uid").alias("_e_uid"), "existing_id")
-    each = each.join(
-        stored, (each["target"] == stored["_e_store"]) & (each["uid"] == stored["_e_uid"]), "left"
-    )
-    each = each.withColumn("_ok", F.col("_c_name").isNotNull()).drop(
-        "_c_store", "_c_name", "_e_store", "_e_uid"
     )
+    each = lookup(each, ["target", "uid"], stored, ["datastore", "uid"])
+    each = each.withColumn("_ok", F.col("_known").isNotNull()).drop("_known")
     action = F.when(~F.col("_ok"), "failed").when(F.col("existing_id").isNotNull(), "updated")
     if dry_run:
         return each.withColumn("action", action.otherwise("created")).drop("_ok")

@@ -228,12 +228,16 @@ def aggregation_comparison(
     return both.withColumn("passed", passed)
 
 
-def volumetric(df: DataFrame, min_rows: int | None = None, max_rows: int | None = None) -> DataFrame:
-    """One row ``row_count, passed``; a missing bound is open."""
-    n = F.col("row_count")
+def within_rows(n: Column, min_rows: int | None, max_rows: int | None) -> Column:
     passed = F.lit(True)
     if min_rows is not None:
         passed = passed & (n >= min_rows)
     if max_rows is not None:
         passed = passed & (n <= max_rows)
-    return df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("passed", passed)
+    return passed
+
+
+def volumetric(df: DataFrame, min_rows: int | None = None, max_rows: int | None = None) -> DataFrame:
+    """One row ``row_count, passed``; a missing bound is open."""
+    counted = df.agg(F.count(F.lit(1)).alias("row_count"))
+    return counted.withColumn("passed", within_rows(F.col("row_count"), min_rows, max_rows))

@@ -133,7 +133,11 @@ def set_rule_failures(
     name: str, df: DataFrame, keys: Sequence[str], check: Row, containers: Mapping[str, Container]
 ) -> DataFrame:
     props, fields = check["properties"] or {}, list(check["fields"])
-    rows = _in_scope(df, check, record_key(df, keys))
+    key = record_key(df, keys)
+    # Only the tested fields, the key and the text take part in any shuffle.
+    rows = _in_scope(df, check, key).select(
+        *[F.col(f"`{f}`") for f in fields], key.alias("_key"), message(check).alias("_text")
+    )
     if check["rule_type"] == "unique":
         bad = rules.unique_failures(rows, fields)
     else:
@@ -143,7 +147,34 @@ def set_rule_failures(
     return bad.select(
         F.lit(check["check_uid"]).alias("check_uid"), F.lit(name).alias("container"),
         F.lit(check["rule_type"]).alias("rule_type"), F.lit("record").alias("anomaly_type"),
-        record_key(bad, keys).alias("record_key"), message(check).alias("message"),
+        F.col("_key").alias("record_key"), F.col("_text").alias("message"),
+    )
+
+
+def volumetric_failures(name: str, df: DataFrame, keys: Sequence[str], checks: Sequence[Row]) -> DataFrame:
+    """All row-count checks of a container from one aggregation over it."""
+    key = record_key(df, keys)
+    counts, entries = [], []
+    for i, check in enumerate(checks):
+        scope, props = _scope(check, key), check["properties"] or {}
+        n = F.count(F.lit(1)) if scope is None else F.count_if(scope)
+        counts.append(n.alias(f"_{i}"))
+        low, high = props.get("min_rows"), props.get("max_rows")
+        passed = rules.within_rows(F.col(f"_{i}"), int(low) if low else None, int(high) if high else None)
+        entries.append(
+            F.when(
+                ~passed,
+                F.struct(
+                    F.lit(check["check_uid"]).alias("check_uid"),
+                    F.concat(F.lit("row count "), F.col(f"_{i}").cast("string")).alias("message"),
+                ),
+            )
+        )
+    found = F.explode(F.array_compact(F.array(*entries)))
+    return df.agg(*counts).select(found.alias("f")).select(
+        F.col("f.check_uid"), F.lit(name).alias("container"), F.lit("volumetric").alias("rule_type"),
+        F.lit("shape").alias("anomaly_type"), F.lit(None).cast("string").alias("record_key"),
+        F.col("f.message"),
     )
 
 
@@ -155,12 +186,7 @@ def shape_rule_failures(
     rule = check["rule_type"]
     rows = _in_scope(df, check, record_key(df, keys))
     ref = containers[props["ref_container"]].df if "ref_container" in props else None
-    if rule == "volumetric":
-        low, high = props.get("min_rows"), props.get("max_rows")
-        out = rules.volumetric(rows, int(low) if low else None, int(high) if high else None)
-        text = F.concat(F.lit("row count "), F.col("row_count").cast("string"))
-        bad = out.filter(~F.col("passed"))
-    elif rule == "aggregationComparison":
+    if rule == "aggregationComparison":
         out = rules.aggregation_comparison(
             rows, props["expression"], props["comparison"], ref, props["ref_expression"]
         )
@@ -205,12 +231,17 @@ def scan(
         row_checks = [c for c in mine if c["rule_type"] in rules.ROW_RULES]
         for i in range(0, len(row_checks), FUSE):
             parts.append(row_rule_failures(name, df, keys, row_checks[i : i + FUSE]))
+        volumes = [c for c in mine if c["rule_type"] == "volumetric"]
+        for i in range(0, len(volumes), FUSE):
+            parts.append(volumetric_failures(name, df, keys, volumes[i : i + FUSE]))
         for check in mine:
+            if check["rule_type"] in rules.ROW_RULES or check["rule_type"] == "volumetric":
+                continue
             if check["rule_type"] in rules.SET_RULES:
                 parts.append(set_rule_failures(name, df, keys, check, containers))
             elif check["rule_type"] in rules.SHAPE_RULES:
                 parts.append(shape_rule_failures(name, df, keys, check, containers))
-            elif check["rule_type"] not in rules.ROW_RULES:
+            else:
                 raise ValueError(f"unknown rule type {check['rule_type']}")
     if not parts:
         return spark.createDataFrame([], FAILURE_SCHEMA)
