@@ -47,7 +47,6 @@ def attach(
     on: Sequence[str],
     n: str = "_n",
     keep: str | None = None,
-    min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """Inner join of ``df`` with one row per key, spreading hot keys.
 
@@ -60,7 +59,7 @@ def attach(
     """
     on = list(on)
     keys = [f"_k{i}" for i in range(len(on))]
-    share = F.greatest(per_key.agg(F.sum(n)).scalar() / SLOTS, F.lit(min_hot_rows))
+    share = F.greatest(per_key.agg(F.sum(n)).scalar() / SLOTS, F.lit(MIN_HOT_ROWS))
     sized = per_key.withColumn("_copies", F.ceil(F.col(f"`{n}`") / share).cast("int"))
     hot = sized.filter(F.col("_copies") > 1).select(
         *[F.col(f"`{c}`").alias(k) for c, k in zip(on, keys)],
