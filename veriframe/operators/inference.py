@@ -26,21 +26,34 @@ def level_name(level: str | int) -> str:
     return name
 
 
-def _checks(profiles: DataFrame, rule: str, when: Column, properties: Column | None, status: str) -> DataFrame:
+def _candidate(rule: str, when: Column, properties: Column | None = None) -> Column:
     empty = F.create_map().cast("map<string,string>")
-    return profiles.filter(when).select(
+    return F.when(
+        when,
+        F.struct(
+            F.lit(rule).alias("rule_type"),
+            (empty if properties is None else properties).alias("properties"),
+        ),
+    )
+
+
+def _as_checks(rows: DataFrame, candidates: list[Column], status: str) -> DataFrame:
+    """All candidates of a row at once, so the profile is computed once."""
+    found = rows.withColumn("c", F.explode(F.array_compact(F.array(*candidates))))
+    return found.select(
         "container",
-        F.lit(rule).alias("rule_type"),
-        F.concat(F.lit(f"{rule} inferred for "), F.col("field")).alias("description"),
+        "c.rule_type",
+        F.concat(F.col("c.rule_type"), F.lit(" inferred for "), F.col("field")).alias("description"),
         F.array("field").alias("fields"),
         F.lit(1.0).alias("coverage"),
         F.lit(None).cast("string").alias("filter"),
-        (empty if properties is None else properties).alias("properties"),
+        "c.properties",
         F.array(F.lit("inferred")).alias("tags"),
         F.lit(status).alias("status"),
         F.lit(None).cast("string").alias("anomaly_message_field"),
-        empty.alias("additional_metadata"),
+        F.create_map().cast("map<string,string>").alias("additional_metadata"),
         F.lit(False).alias("archived"),
+        check_uid(F.col("container"), F.col("c.rule_type"), F.array("field")).alias("check_uid"),
     )
 
 
@@ -61,30 +74,26 @@ def infer_checks(
     number = F.col("type").rlike("^(tinyint|smallint|int|bigint|float|double|decimal.*)$")
     time = F.col("type").isin("date", "timestamp", "timestamp_ntz")
     before = F.col("min").try_cast("timestamp_ntz") - F.expr("INTERVAL 1 SECOND")
-    parts = [_checks(profiles, "notNull", filled, None, status)]
+    has_range = F.col("min").isNotNull()
+    candidates = [_candidate("notNull", filled & F.lit(depth >= 1))]
     if depth >= 2:
         once = filled & (F.col("distinct_count") == F.col("row_count"))
-        parts.append(_checks(profiles, "unique", once, None, status))
+        candidates.append(_candidate("unique", once))
     if depth >= 3:
         bounds = F.create_map(F.lit("min_value"), F.col("min"), F.lit("max_value"), F.col("max"))
-        has_range = F.col("min").isNotNull()
-        parts.append(_checks(profiles, "between", number & has_range, bounds, status))
+        candidates.append(_candidate("between", number & has_range, bounds))
         after = F.create_map(F.lit("datetime"), before.cast("string"))
-        parts.append(_checks(profiles, "afterDateTime", time & has_range, after, status))
+        candidates.append(_candidate("afterDateTime", time & has_range, after))
     if depth >= 4:
         pattern = F.create_map(F.lit("pattern"), F.col("pattern"))
-        parts.append(_checks(profiles, "matchesPattern", F.col("pattern").isNotNull(), pattern, status))
+        candidates.append(_candidate("matchesPattern", F.col("pattern").isNotNull(), pattern))
+    out = _as_checks(profiles, candidates, status)
     if depth >= 5 and inclusions is not None:
         ref = F.create_map(
             F.lit("ref_container"), F.col("ref_container"), F.lit("field_name"), F.col("ref_field")
         )
-        parts.append(_checks(inclusions, "existsIn", F.lit(True), ref, status))
-    if depth == 0:
-        parts = [parts[0].filter(F.lit(False))]
-    out = reduce(DataFrame.unionByName, parts)
-    return out.withColumn(
-        "check_uid", check_uid(F.col("container"), F.col("rule_type"), F.col("fields"))
-    )
+        out = out.unionByName(_as_checks(inclusions, [_candidate("existsIn", F.lit(True), ref)], status))
+    return out
 
 
 def test_inferred(

@@ -21,13 +21,10 @@ def numeric_fields(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def _metrics(df: DataFrame, name: str, exact: bool, rsd: float) -> dict[str, Column]:
+def _metrics(df: DataFrame, name: str, rsd: float) -> dict[str, Column]:
     col, kind = F.col(f"`{name}`"), df.schema[name].dataType
     none = F.lit(None)
-    out = {
-        "non_null_count": F.count(col),
-        "distinct_count": F.count_distinct(col) if exact else F.approx_count_distinct(col, rsd),
-    }
+    out = {"non_null_count": F.count(col), "distinct_count": F.approx_count_distinct(col, rsd)}
     ordered = isinstance(kind, T.AtomicType) and not isinstance(kind, T.BinaryType)
     out["min"] = F.min(col).cast("string") if ordered else none.cast("string")
     out["max"] = F.max(col).cast("string") if ordered else none.cast("string")
@@ -37,11 +34,24 @@ def _metrics(df: DataFrame, name: str, exact: bool, rsd: float) -> dict[str, Col
     text = isinstance(kind, T.StringType)
     out["min_length"] = F.min(F.length(col)) if text else none.cast("int")
     out["max_length"] = F.max(F.length(col)) if text else none.cast("int")
-    shape = value_mask(col) if text else none.cast("string")
-    out["pattern"] = F.when(F.min(shape) == F.max(shape), F.min(shape))
+    out["_mask"] = F.min(value_mask(col)) if text else none.cast("string")
+    out["_other_mask"] = F.max(value_mask(col)) if text else none.cast("string")
     return out
 
 
+def exact_distinct(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``field, distinct_count`` counted exactly; shuffles every distinct value.
+
+    Kept apart from other figures: only counts of distinct values run as a hash
+    aggregation with partial results.
+    """
+    wide = df.agg(*[F.count_distinct(F.col(f"`{c}`")).alias(f"_{i}") for i, c in enumerate(cols)])
+    entries = [
+        F.struct(F.lit(c).alias("field"), F.col(f"_{i}").alias("distinct_count")) for i, c in enumerate(cols)
+    ]
+    return wide.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+
+
 def value_mask(col: Column) -> Column:
     """A regular expression for the shape of a value: runs of A-Z, a-z and 0-9.
 
@@ -71,7 +81,7 @@ def field_profile(
     parts = []
     for at in range(0, len(names), COLUMNS_PER_PASS):
         chunk = names[at : at + COLUMNS_PER_PASS]
-        metrics = {n: _metrics(df, n, exact, rsd) for n in chunk}
+        metrics = {n: _metrics(df, n, rsd) for n in chunk}
         wide = df.agg(
             F.count(F.lit(1)).alias("_rows"),
             *[c.alias(f"_{i}_{m}") for i, n in enumerate(chunk) for m, c in metrics[n].items()],
@@ -87,8 +97,9 @@ def field_profile(
         parts.append(wide.select("_rows", F.explode(F.array(*entries)).alias("e")))
     long = reduce(DataFrame.unionByName, parts)
     nulls = F.col("_rows") - F.col("e.non_null_count")
-    rest = ("distinct_count", "min", "max", "mean", "stddev", "min_length", "max_length", "pattern")
-    return long.select(
+    pattern = F.when(F.col("e._mask") == F.col("e._other_mask"), F.col("e._mask"))
+    rest = ("distinct_count", "min", "max", "mean", "stddev", "min_length", "max_length")
+    out = long.select(
         F.lit(container).alias("container"),
         "e.field",
         "e.type",
@@ -96,7 +107,16 @@ def field_profile(
         nulls.alias("null_count"),
         F.when(F.col("_rows") > 0, F.col("e.non_null_count") / F.col("_rows")).alias("completeness"),
         *[f"e.{m}" for m in rest],
+        pattern.alias("pattern"),
+    )
+    if not exact:
+        return out
+    counted = exact_distinct(df, names).select(
+        F.col("field").alias("_field"), F.col("distinct_count").alias("_exact")
     )
+    # One row per column on both sides.
+    both = out.join(F.broadcast(counted), F.col("field") == F.col("_field"))
+    return both.withColumn("distinct_count", F.col("_exact")).drop("_field", "_exact")
 
 
 def profile_incremental(
@@ -187,36 +207,51 @@ def quantile_profile(
     )
 
 
-# Candidate types in the order they are tried.
-INFERRED_TYPES = ("boolean", "bigint", "double", "date", "timestamp_ntz")
+# Kinds of text values, as bits of a set.
+BOOLEAN, WHOLE, DECIMAL, DAY, TIME, TEXT = 1, 2, 4, 8, 16, 32
+
 
+def value_kind(text: Column) -> Column:
+    """The kind of one text value; null for null.
 
-def _casts(col: Column, kind: str) -> Column:
-    """Whether a text is a value of ``kind``; stricter than a cast where casts are lax."""
-    if kind == "boolean":
-        return F.lower(col).isin("true", "false")
-    if kind == "date":
-        return col.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & col.try_cast("date").isNotNull()
-    return col.try_cast(kind).isNotNull()
+    Patterns go first: they are cheap to fail, a failing cast is not.
+    """
+    whole = text.rlike(r"^[+-]?[0-9]+$")
+    decimal = text.rlike(r"^[+-]?(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][+-]?[0-9]+)?$")
+    day = text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$")
+    time = text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]")
+    return (
+        F.when(text.isNull(), F.lit(None).cast("int"))
+        .when(whole, F.when(text.try_cast("bigint").isNotNull(), WHOLE).otherwise(DECIMAL))
+        .when(decimal, DECIMAL)
+        .when(F.lower(text).isin("true", "false"), BOOLEAN)
+        .when(day & text.try_cast("date").isNotNull(), DAY)
+        .when(time & text.try_cast("timestamp_ntz").isNotNull(), TIME)
+        .otherwise(TEXT)
+    )
 
 
 def infer_types(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``field, inferred_type``: the first type every non-null value has."""
+    """``field, inferred_type``: the first type that every non-null value has.
+
+    The kinds that occur in a column are one bit set; whole numbers are numbers
+    too, and dates are times.
+    """
     wide = df.agg(
-        *[F.count(F.col(f"`{c}`")).alias(f"_{i}_n") for i, c in enumerate(cols)],
-        *[
-            F.count_if(_casts(F.col(f"`{c}`").cast("string"), k)).alias(f"_{i}_{k}")
-            for i, c in enumerate(cols)
-            for k in INFERRED_TYPES
-        ],
+        *[F.bit_or(value_kind(F.col(f"`{c}`").cast("string"))).alias(f"_{i}") for i, c in enumerate(cols)]
     )
     entries = []
     for i, c in enumerate(cols):
-        n = F.col(f"_{i}_n")
-        choice = F.when(n == 0, "string")
-        for k in INFERRED_TYPES:
-            choice = choice.when(F.col(f"_{i}_{k}") == n, k)
-        entries.append(F.struct(F.lit(c).alias("field"), choice.otherwise("string").alias("inferred_type")))
+        seen = F.col(f"_{i}")
+        choice = (
+            F.when(seen == BOOLEAN, "boolean")
+            .when(seen == WHOLE, "bigint")
+            .when(seen.isin(DECIMAL, DECIMAL | WHOLE), "double")
+            .when(seen == DAY, "date")
+            .when(seen.isin(TIME, TIME | DAY), "timestamp_ntz")
+            .otherwise("string")
+        )
+        entries.append(F.struct(F.lit(c).alias("field"), choice.alias("inferred_type")))
     return wide.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 

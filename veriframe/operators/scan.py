@@ -133,11 +133,9 @@ def set_rule_failures(
     name: str, df: DataFrame, keys: Sequence[str], check: Row, containers: Mapping[str, Container]
 ) -> DataFrame:
     props, fields = check["properties"] or {}, list(check["fields"])
-    key = record_key(df, keys)
-    # Only the tested fields, the key and the text take part in any shuffle.
-    rows = _in_scope(df, check, key).select(
-        *[F.col(f"`{f}`") for f in fields], key.alias("_key"), message(check).alias("_text")
-    )
+    rows = _in_scope(df, check, record_key(df, keys))
+    # Key and text are made from failing rows only; with declared keys Catalyst
+    # prunes everything else before a shuffle.
     if check["rule_type"] == "unique":
         bad = rules.unique_failures(rows, fields)
     else:
@@ -147,7 +145,7 @@ def set_rule_failures(
     return bad.select(
         F.lit(check["check_uid"]).alias("check_uid"), F.lit(name).alias("container"),
         F.lit(check["rule_type"]).alias("rule_type"), F.lit("record").alias("anomaly_type"),
-        F.col("_key").alias("record_key"), F.col("_text").alias("message"),
+        record_key(bad, keys).alias("record_key"), message(check).alias("message"),
     )
 
 
@@ -170,47 +168,60 @@ def volumetric_failures(name: str, df: DataFrame, keys: Sequence[str], checks: S
                 ),
             )
         )
+    return _shape_rows(name, "volumetric", df.agg(*counts), entries)
+
+
+def aggregation_failures(
+    name: str, df: DataFrame, keys: Sequence[str], checks: Sequence[Row], ref: DataFrame
+) -> DataFrame:
+    """Aggregate comparisons that share scope and reference: one pass over each side."""
+    rows = _in_scope(df, checks[0], record_key(df, keys))
+    props = [c["properties"] for c in checks]
+    left = rows.agg(*[F.expr(p["expression"]).alias(f"_l{i}") for i, p in enumerate(props)])
+    right = ref.agg(*[F.expr(p["ref_expression"]).alias(f"_r{i}") for i, p in enumerate(props)])
+    both = left.unionByName(right, allowMissingColumns=True)
+    both = both.agg(*[F.max(c).alias(c) for c in both.columns])
+    entries = []
+    for i, check in enumerate(checks):
+        a, b, how = F.col(f"_l{i}"), F.col(f"_r{i}"), props[i]["comparison"]
+        passed = F.coalesce(rules.COMPARISONS[how](a, b), F.lit(False))
+        text = F.concat_ws(
+            " ", F.coalesce(a.cast("string"), F.lit("null")), F.lit(how),
+            F.coalesce(b.cast("string"), F.lit("null")), F.lit("is false"),
+        )
+        found = F.struct(F.lit(check["check_uid"]).alias("check_uid"), text.alias("message"))
+        entries.append(F.when(~passed, found))
+    return _shape_rows(name, "aggregationComparison", both, entries)
+
+
+def _shape_rows(name: str, rule: str, df: DataFrame, entries: Sequence[Column]) -> DataFrame:
+    """Failures from the one-row ``df``; null entries are checks that passed."""
     found = F.explode(F.array_compact(F.array(*entries)))
-    return df.agg(*counts).select(found.alias("f")).select(
-        F.col("f.check_uid"), F.lit(name).alias("container"), F.lit("volumetric").alias("rule_type"),
+    return df.select(found.alias("f")).select(
+        F.col("f.check_uid"), F.lit(name).alias("container"), F.lit(rule).alias("rule_type"),
         F.lit("shape").alias("anomaly_type"), F.lit(None).cast("string").alias("record_key"),
         F.col("f.message"),
     )
 
 
-def shape_rule_failures(
-    name: str, df: DataFrame, keys: Sequence[str], check: Row, containers: Mapping[str, Container]
+def difference_failure(
+    name: str, df: DataFrame, keys: Sequence[str], check: Row, ref: DataFrame
 ) -> DataFrame:
-    """At most one failure per container-level check, with the figures in its text."""
-    props, fields = check["properties"] or {}, list(check["fields"] or ())
-    rule = check["rule_type"]
+    """At most one failure of a replica or keyed difference, with the row count."""
+    props, fields = check["properties"], list(check["fields"] or ())
     rows = _in_scope(df, check, record_key(df, keys))
-    ref = containers[props["ref_container"]].df if "ref_container" in props else None
-    if rule == "aggregationComparison":
-        out = rules.aggregation_comparison(
-            rows, props["expression"], props["comparison"], ref, props["ref_expression"]
-        )
-        text = F.concat_ws(
-            " ", F.coalesce(F.col("left_value").cast("string"), F.lit("null")),
-            F.lit(props["comparison"]),
-            F.coalesce(F.col("right_value").cast("string"), F.lit("null")), F.lit("is false"),
-        )
-        bad = out.filter(~F.col("passed"))
+    if check["rule_type"] == "isReplicaOf":
+        counted = rules.replica_diff(rows, ref, fields).agg(F.sum("copies").alias("n"))
     else:
-        if rule == "isReplicaOf":
-            diff = rules.replica_diff(rows, ref, fields)
-            amount = F.sum("copies")
-        else:
-            by = [k.strip() for k in props["key_fields"].split(",")]
-            diff = rules.data_diff(rows, ref, by, fields)
-            amount = F.count(F.lit(1))
-        bad = diff.agg(amount.alias("n")).filter(F.col("n") > 0)
-        text = F.concat(F.col("n").cast("string"), F.lit(" rows differ"))
-    return bad.select(
-        F.lit(check["check_uid"]).alias("check_uid"), F.lit(name).alias("container"),
-        F.lit(rule).alias("rule_type"), F.lit("shape").alias("anomaly_type"),
-        F.lit(None).cast("string").alias("record_key"), text.alias("message"),
-    )
+        by = [k.strip() for k in props["key_fields"].split(",")]
+        counted = rules.data_diff(rows, ref, by, fields).agg(F.count(F.lit(1)).alias("n"))
+    text = F.concat(F.col("n").cast("string"), F.lit(" rows differ"))
+    found = F.struct(F.lit(check["check_uid"]).alias("check_uid"), text.alias("message"))
+    return _shape_rows(name, check["rule_type"], counted, [F.when(F.col("n") > 0, found)])
+
+
+def _chunks(checks: Sequence[Row]) -> list[Sequence[Row]]:
+    return [checks[i : i + FUSE] for i in range(0, len(checks), FUSE)]
 
 
 def scan(
@@ -228,21 +239,26 @@ def scan(
     for name, mine in by_container.items():
         keys = containers[name].keys
         df = scanned_rows(name, containers[name], options)
-        row_checks = [c for c in mine if c["rule_type"] in rules.ROW_RULES]
-        for i in range(0, len(row_checks), FUSE):
-            parts.append(row_rule_failures(name, df, keys, row_checks[i : i + FUSE]))
-        volumes = [c for c in mine if c["rule_type"] == "volumetric"]
-        for i in range(0, len(volumes), FUSE):
-            parts.append(volumetric_failures(name, df, keys, volumes[i : i + FUSE]))
+        by_rule: dict[str, list[Row]] = {}
         for check in mine:
-            if check["rule_type"] in rules.ROW_RULES or check["rule_type"] == "volumetric":
-                continue
-            if check["rule_type"] in rules.SET_RULES:
-                parts.append(set_rule_failures(name, df, keys, check, containers))
-            elif check["rule_type"] in rules.SHAPE_RULES:
-                parts.append(shape_rule_failures(name, df, keys, check, containers))
-            else:
-                raise ValueError(f"unknown rule type {check['rule_type']}")
+            rule = check["rule_type"]
+            if rule not in rules.ROW_RULES + rules.SET_RULES + rules.SHAPE_RULES:
+                raise ValueError(f"unknown rule type {rule}")
+            by_rule.setdefault("row" if rule in rules.ROW_RULES else rule, []).append(check)
+        parts += [row_rule_failures(name, df, keys, c) for c in _chunks(by_rule.get("row", []))]
+        parts += [volumetric_failures(name, df, keys, c) for c in _chunks(by_rule.get("volumetric", []))]
+        same_scope: dict[tuple, list[Row]] = {}
+        for check in by_rule.get("aggregationComparison", []):
+            scope = (check["filter"], check["coverage"], check["properties"]["ref_container"])
+            same_scope.setdefault(scope, []).append(check)
+        for (_, _, ref), group in same_scope.items():
+            parts += [aggregation_failures(name, df, keys, c, containers[ref].df) for c in _chunks(group)]
+        for rule in rules.SET_RULES:
+            parts += [set_rule_failures(name, df, keys, c, containers) for c in by_rule.get(rule, [])]
+        for rule in ("isReplicaOf", "dataDiff"):
+            for check in by_rule.get(rule, []):
+                ref = containers[check["properties"]["ref_container"]].df
+                parts.append(difference_failure(name, df, keys, check, ref))
     if not parts:
         return spark.createDataFrame([], FAILURE_SCHEMA)
     out = reduce(DataFrame.unionByName, parts)
