@@ -107,10 +107,29 @@ def check_select(
     return checks
 
 
+def _taken_numbers(named: DataFrame) -> DataFrame:
+    """Per stem, which numbers are some other check's own name (``x`` and ``x_2``).
+
+    Own names come from field names, so a stem has at most as many as its
+    container has columns. ``_skips`` holds, for each such number, the repeat
+    from which on numbers move up by one more.
+    """
+    stems = named.select("folder", "_stem").distinct()
+    parts = stems.select(
+        "folder",
+        F.regexp_extract("_stem", "^(.*)_([1-9][0-9]{0,8})$", 1).alias("_stem"),
+        F.regexp_extract("_stem", "^(.*)_([1-9][0-9]{0,8})$", 2).try_cast("int").alias("_number"),
+    )
+    taken = parts.filter("_number >= 2").join(stems, ["folder", "_stem"], "left_semi")
+    numbers = taken.groupBy("folder", "_stem").agg(F.sort_array(F.collect_set("_number")).alias("_taken"))
+    return numbers.select("folder", "_stem", F.transform("_taken", lambda b, i: b - i).alias("_skips"))
+
+
 def portable_names(checks: DataFrame, order: str) -> DataFrame:
     """``folder, name`` per check: ``rule__fields``, repeats get ``_2``, ``_3``, ...
 
-    ``order`` is a unique column giving the order in which names are taken.
+    ``order`` is a unique column giving the order in which names are taken. A
+    number that would give another check's own name is left out.
     """
     folder = F.when(F.coalesce("container", F.lit("")) == "", "_no_container").otherwise(
         slugify(F.col("container"))
@@ -121,10 +140,13 @@ def portable_names(checks: DataFrame, order: str) -> DataFrame:
     )
     named = checks.withColumn("folder", folder).withColumn("_stem", stem)
     numbered = group_index(named, ["folder", "_stem"], [order], "_nth")
-    repeat = F.concat_ws("_", F.col("_stem"), F.col("_nth").cast("string"))
+    numbered = lookup(numbered, ["folder", "_stem"], _taken_numbers(named), ["folder", "_stem"])
+    skipped = F.size(F.filter(F.coalesce("_skips", F.array()), lambda s: s <= F.col("_nth")))
+    number = (F.col("_nth") + skipped).cast("string")
     return numbered.withColumn(
-        "name", F.when(F.col("_nth") > 1, repeat).otherwise(F.col("_stem"))
-    ).drop("_stem", "_nth")
+        "name",
+        F.when(F.col("_nth") > 1, F.concat_ws("_", "_stem", number)).otherwise(F.col("_stem")),
+    ).drop("_stem", "_nth", "_skips")
 
 
 def _without(properties: Column, keys: Sequence[str]) -> Column:
