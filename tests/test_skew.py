@@ -87,3 +87,22 @@ def test_running_total(spark):
 def test_group_index_of_nothing(spark):
     df = spark.createDataFrame([], "g string, at int")
     assert skew.group_index(df, ["g"], ["at"], "n").count() == 0
+
+
+def test_hot_key_is_read_by_many_tasks(spark, monkeypatch):
+    """A third of the rows on one key: no task gets more than a fraction of them."""
+    monkeypatch.setattr(skew, "SLOTS", 40)
+    monkeypatch.setattr(skew, "MIN_HOT_ROWS", 100)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        df = spark.range(0, 30000, 1, 32).selectExpr("id", "IF(id % 3 = 0, -1, id) AS k")
+        counts = skew.key_counts(df, ["k"])
+        out = skew.attach(df, counts, ["k"]).groupBy(F.spark_partition_id().alias("p")).count()
+        sizes = [r["count"] for r in out.collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 30000 and max(sizes) < 4000
