@@ -14,7 +14,10 @@ from veriframe.functions.skew import running_total
 from veriframe.sources.readers import incremental_filter
 from veriframe.sources.sampling import cap_per_partition
 
-COLUMNS_PER_PASS = 60  # keeps one aggregation's generated code within JVM limits
+# Keeps one aggregation's generated code small. A pass reads its own columns only,
+# so more passes read no more data.
+COLUMNS_PER_PASS = 20
+RSD = 0.05  # standard error of distinct sketches; halving it needs four times the buffer
 
 
 def numeric_fields(df: DataFrame) -> list[str]:
@@ -71,7 +74,7 @@ def field_profile(
     container: str,
     fields: Sequence[str] | None = None,
     exact: bool = False,
-    rsd: float = 0.02,
+    rsd: float = RSD,
 ) -> DataFrame:
     """One row of statistics per field.
 
@@ -138,7 +141,7 @@ def profile_incremental(
     return field_profile(df, container, exact=exact)
 
 
-def approx_distinct(df: DataFrame, cols: Sequence[str], rsd: float = 0.02) -> DataFrame:
+def approx_distinct(df: DataFrame, cols: Sequence[str], rsd: float = RSD) -> DataFrame:
     """``field, distinct_count`` from sketches, in one pass."""
     wide = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`"), rsd).alias(c) for c in cols])
     return wide.unpivot([], list(cols), "field", "distinct_count")
@@ -270,7 +273,7 @@ def value_histogram(df: DataFrame, cols: Sequence[str], max_distinct: int) -> Da
     is shuffled; the exact counts decide among the rest. All per-field tables are
     at most one row per column of the container.
     """
-    # Twice the limit is some fifty standard errors of the sketch away.
+    # Twice the limit is twenty standard errors of the sketch away.
     likely = approx_distinct(df, cols).filter(F.col("distinct_count") <= 2 * max_distinct + 16)
     likely = likely.select(F.col("field").alias("_likely"))
     cells = _long_values(df, cols, "string").filter(F.col("value").isNotNull())
@@ -288,15 +291,17 @@ def value_histogram(df: DataFrame, cols: Sequence[str], max_distinct: int) -> Da
     return counts.join(F.broadcast(small), F.col("field") == F.col("_field"), "left_semi")
 
 
+def _correlation(a: str, b: str) -> Column:
+    """Pearson correlation over rows with both values; null when one is constant."""
+    x, y = F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")
+    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def correlation_profile(df: DataFrame, cols: Sequence[str], threshold: float) -> DataFrame:
     """``field_a, field_b, correlation`` of pairs with at least ``threshold`` in size."""
     pairs = list(combinations(cols, 2))
-    wide = df.agg(
-        *[
-            F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")).alias(f"_{i}")
-            for i, (a, b) in enumerate(pairs)
-        ]
-    )
+    wide = df.agg(*[_correlation(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
     entries = [
         F.struct(
             F.lit(a).alias("field_a"), F.lit(b).alias("field_b"),
