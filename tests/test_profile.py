@@ -118,6 +118,15 @@ def test_inferred_checks_hold_on_their_data(spark, t, name, number, rules):
     assert scan(spark, {"t": Container(t, ["id"]), "ref": Container(ref)}, checks).count() == 0
 
 
+def test_exact_keys_of_a_sketched_profile(spark):
+    df = spark.range(3000).selectExpr("id", "IF(id = 9, 8, id) AS almost", "id % 7 AS few")
+    out = profile.with_exact_keys(df, profile.field_profile(df, "t"))
+    got = {r["field"]: r["distinct_count"] for r in out.collect()}
+    assert got["id"] == 3000 and got["almost"] == 2999 and got["few"] == 7
+    unique = inference.infer_checks(out, "medium").filter("rule_type = 'unique'")
+    assert rows(unique, "check_uid") == [("t__unique__id",)]
+
+
 def test_unknown_level(spark):
     for bad in ("7", "extreme"):
         with pytest.raises(ValueError):

@@ -106,3 +106,13 @@ def test_hot_key_is_read_by_many_tasks(spark, monkeypatch):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sum(sizes) == 30000 and max(sizes) < 4000
+
+
+@pytest.mark.parametrize("n", [1, 50, 400, 5000])
+def test_first_by_hash(spark, monkeypatch, n):
+    """Also with a third of the rows being copies, which share one hash."""
+    monkeypatch.setattr(skew, "DIRECT_TOP", 20)
+    monkeypatch.setattr(skew, "HASH_DIGITS", 2)
+    df = spark.range(1200).selectExpr("md5(CAST(IF(id % 3 = 0, -1, id) AS STRING)) AS h").repartition(5)
+    want = sorted(r["h"] for r in df.collect())[:n]
+    assert sorted(r["h"] for r in skew.first_by_hash(df, "h", n).collect()) == want

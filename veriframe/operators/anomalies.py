@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veriframe.functions.keys import fingerprint, record_key
-from veriframe.functions.skew import attach, lookup
+from veriframe.functions.skew import attach, first_by_hash, lookup
 
 OPEN_STATUSES = ("Active", "Acknowledged")
 ARCHIVE_STATUSES = ("Resolved", "Invalid", "Duplicate", "Discarded")
@@ -128,13 +128,8 @@ def enrich_source_records(
     """Attach the source row to at most ``limit`` record anomalies, by fingerprint order."""
     if limit < 1:
         raise ValueError("the source record limit must be at least 1")
-    chosen = (
-        anomalies.filter(F.col("anomaly_type") == "record")
-        .select("fingerprint", "record_key")
-        .distinct()
-        .orderBy("fingerprint")
-        .limit(limit)
-    )
+    records = anomalies.filter(F.col("anomaly_type") == "record").select("fingerprint", "record_key")
+    chosen = first_by_hash(records.distinct(), "fingerprint", limit)
     wanted = chosen.select(F.col("record_key").alias("_key")).distinct()
     packed = df.select(record_key(df, keys).alias("_rk"), F.struct(*df.columns).alias("_row"))
     # At most ``limit`` keys; copies of a row collapse before the shuffle.
@@ -218,11 +213,12 @@ def anomaly_update(anomalies: DataFrame, updates: DataFrame) -> DataFrame:
     """Apply ``id, status, description, tags, assignee_ids``; null keeps, [] clears.
 
     Only open statuses can be set; an update with another status is not applied
-    (see :func:`rejected_updates`). One update per id.
+    (see :func:`rejected_updates`). Of several updates of an id the greatest counts.
     """
     valid = updates.filter(F.col("status").isin(list(OPEN_STATUSES)))
     names = ["status", "description", "tags", "assignee_ids"]
-    new = valid.select(F.col("id").alias("_id"), *[F.col(c).alias(f"_{c}") for c in names])
+    new = valid.groupBy(F.col("id").alias("_id")).agg(F.max(F.struct(*names)).alias("_new"))
+    new = new.select("_id", *[F.col("_new")[c].alias(f"_{c}") for c in names])
     joined = anomalies.join(new, anomalies["id"] == new["_id"], "left")
     return joined.select(
         *[

@@ -67,6 +67,8 @@ def infer_checks(
 
     low: notNull; medium adds unique; high adds between and afterDateTime; xhigh
     adds matchesPattern; max adds existsIn for the given inclusion dependencies.
+    unique needs exact counts: ``field_profile(exact=True)`` or, at scale,
+    ``with_exact_keys`` on the sketched profile.
     """
     depth = LEVELS.index(level_name(level))
     status = "Draft" if as_draft else "Active"

@@ -122,6 +122,25 @@ def field_profile(
     return both.withColumn("distinct_count", F.col("_exact")).drop("_field", "_exact")
 
 
+def with_exact_keys(df: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Replace the sketched counts of fields that look unique by exact ones.
+
+    Only such fields can be keys, and only their names come to the driver.
+    """
+    near = F.col("distinct_count") >= (1 - 3 * RSD) * F.col("row_count")
+    whole = (F.col("null_count") == 0) & (F.col("row_count") > 0)
+    names = [r["field"] for r in profiles.filter(near & whole).select("field").collect()]
+    if not names:
+        return profiles
+    counted = exact_distinct(df, names).select(
+        F.col("field").alias("_field"), F.col("distinct_count").alias("_exact")
+    )
+    # At most one row per column.
+    both = profiles.join(F.broadcast(counted), F.col("field") == F.col("_field"), "left")
+    exact = F.coalesce("_exact", "distinct_count")
+    return both.withColumn("distinct_count", exact).drop("_field", "_exact")
+
+
 def profile_incremental(
     df: DataFrame,
     container: str,

@@ -217,7 +217,7 @@ def resolve_refs(
     """Names back to ids for a target datastore; ``error`` says what is missing.
 
     A missing datastore name means the check's own datastore. An id already
-    given wins over a name.
+    given wins over a name; of several containers of a name the first id counts.
     """
     props = F.coalesce(F.col("properties"), F.create_map().cast("map<string,string>"))
     refs = checks.withColumns(
@@ -228,19 +228,15 @@ def resolve_refs(
             "_cid": F.try_element_at(props, F.lit("ref_container_id")),
         }
     )
-    d = datastores.select(
-        F.col("name").alias("_d_name"), F.col("id").cast("string").alias("_d_id")
-    )
+    d = datastores.groupBy(F.col("name").alias("_d_name")).agg(F.min("id").cast("string").alias("_d_id"))
     refs = lookup(refs, ["_dname"], d, ["_d_name"])
     refs = refs.withColumn("_store", F.coalesce("_did", "_d_id"))
     refs = refs.withColumn(
         "_where", F.coalesce(F.col("_store"), F.col(own_datastore).cast("string"))
     )
-    c = containers.select(
-        F.col("datastore_id").cast("string").alias("_c_store"),
-        F.col("name").alias("_c_name"),
-        F.col("id").cast("string").alias("_c_id"),
-    )
+    c = containers.groupBy(
+        F.col("datastore_id").cast("string").alias("_c_store"), F.col("name").alias("_c_name")
+    ).agg(F.min("id").cast("string").alias("_c_id"))
     refs = lookup(refs, ["_where", "_cname"], c, ["_c_store", "_c_name"])
     error = F.when(
         F.col("_dname").isNotNull() & F.col("_store").isNull(),

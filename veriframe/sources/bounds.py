@@ -19,7 +19,8 @@ def partition_bounds(df: DataFrame, col: str, n: int = 3) -> DataFrame:
     kind = df.schema[col].dataType.typeName()
     value = F.col(f"`{col}`")
     if kind.startswith("timestamp") or kind == "date":
-        value = F.unix_seconds(value.cast("timestamp"))
+        epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+        value = F.timestamp_diff("SECOND", epoch, value.cast("timestamp_ntz"))
     else:
         value = value.cast("double")
     values = df.select(value.alias("v")).filter(F.col("v").isNotNull())

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from veriframe.functions.keys import COVERAGE_STEPS, hash_slot, record_key
+from veriframe.functions.skew import first_by_hash
 
 
 def table_sample(
@@ -26,8 +27,9 @@ def table_sample(
 
 
 def view_sample(df: DataFrame, n: int, key: Sequence[str] = ()) -> DataFrame:
-    """``n`` rows in a random but repeatable order; runs as a distributed top-n."""
-    return df.orderBy(F.md5(record_key(df, key))).limit(n)
+    """``n`` rows drawn at random but repeatably: those with the smallest key hash."""
+    drawn = df.withColumn("_draw", F.md5(record_key(df, key)))
+    return first_by_hash(drawn, "_draw", n).drop("_draw")
 
 
 def cap_per_partition(

@@ -27,9 +27,22 @@ def stream_container(spark: SparkSession, path: str, max_files: int | None = Non
     return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
-def event_time(col: Column) -> Column:
-    """Watermarks need a zoned timestamp; zone-less times are read in the session zone."""
-    return col.cast("timestamp")
+EPOCH = "1970-01-01"
+
+
+def event_time(df: DataFrame, ts: str) -> Column:
+    """Watermarks need a zoned timestamp; zone-less times are taken as UTC."""
+    col = F.col(f"`{ts}`")
+    if df.schema[ts].dataType.typeName() != "timestamp_ntz":
+        return col.cast("timestamp")
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit(EPOCH).cast("timestamp_ntz"), col))
+
+
+def _as_given(df: DataFrame, ts: str, col: Column) -> Column:
+    """A window bound in the kind of the time column it came from."""
+    if df.schema[ts].dataType.typeName() != "timestamp_ntz":
+        return col
+    return F.timestamp_add("MICROSECOND", F.unix_micros(col), F.lit(EPOCH).cast("timestamp_ntz"))
 
 
 def stream_scan(stream: DataFrame, container: str, keys: Sequence[str], checks: DataFrame) -> DataFrame:
@@ -63,11 +76,15 @@ def stream_volume(stream: DataFrame, ts: str, width: str, delay: str) -> DataFra
 
     A window is emitted once the watermark has passed its end.
     """
-    at = stream.select(event_time(F.col(f"`{ts}`")).alias("_at")).withWatermark("_at", delay)
+    at = stream.select(event_time(stream, ts).alias("_at")).withWatermark("_at", delay)
     return (
         at.groupBy(F.window("_at", width).alias("w"))
         .agg(F.count(F.lit(1)).alias("row_count"))
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "row_count")
+        .select(
+            _as_given(stream, ts, F.col("w.start")).alias("window_start"),
+            _as_given(stream, ts, F.col("w.end")).alias("window_end"),
+            "row_count",
+        )
     )
 
 
@@ -76,12 +93,12 @@ def stream_unique(
 ) -> DataFrame:
     """Keys that repeat inside a tumbling window, once the window is closed."""
     cols = [F.col(f"`{k}`") for k in keys]
-    at = stream.select(*cols, event_time(F.col(f"`{ts}`")).alias("_at")).withWatermark("_at", delay)
+    at = stream.select(*cols, event_time(stream, ts).alias("_at")).withWatermark("_at", delay)
     return (
         at.groupBy(F.window("_at", width).alias("w"), *cols)
         .agg(F.count(F.lit(1)).alias("occurrences"))
         .filter(F.col("occurrences") > 1)
-        .select(F.col("w.start").alias("window_start"), *cols, "occurrences")
+        .select(_as_given(stream, ts, F.col("w.start")).alias("window_start"), *cols, "occurrences")
     )
 
 
