@@ -14,7 +14,14 @@ def skewed(spark):
     return spark.createDataFrame(data, "id int, k int, v string").repartition(8), data
 
 
-def test_membership_equals_brute_force(spark, skewed, no_broadcast):
+@pytest.fixture(params=[True, False], ids=["adaptive", "salted"])
+def adaptive(request, spark):
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", str(request.param).lower())
+    yield request.param
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+
+
+def test_membership_equals_brute_force(spark, skewed, no_broadcast, adaptive):
     df, data = skewed
     ref = spark.createDataFrame([(7,), (7,), (9,), (None,), (13,)], "r int")
     members = {7, 9, 13}
@@ -49,7 +56,7 @@ def test_attach_keep_drops_hot_keys(spark, skewed, no_broadcast):
     assert out.count() == sum(1 for _, k, _ in data if k is not None and k != 7)
 
 
-def test_lookup_keeps_every_row(spark, skewed, no_broadcast):
+def test_lookup_keeps_every_row(spark, skewed, no_broadcast, adaptive):
     df, data = skewed
     ref = spark.createDataFrame([(7, "seven"), (8, "eight")], "r int, name string")
     out = skew.lookup(df, ["k"], ref, ["r"])
@@ -57,7 +64,7 @@ def test_lookup_keeps_every_row(spark, skewed, no_broadcast):
     assert Counter(rows(out, "id", "name")) == Counter((i, names.get(k)) for i, k, _ in data)
 
 
-def test_lookup_null_is_no_key(spark, no_broadcast):
+def test_lookup_null_is_no_key(spark, no_broadcast, adaptive):
     df = spark.createDataFrame([(1, None), (2, 5)], "id int, k int")
     ref = spark.createDataFrame([(None, "x"), (5, "y")], "r int, name string")
     assert rows(skew.lookup(df, ["k"], ref, ["r"]), "id", "name") == [(1, None), (2, "y")]
@@ -116,3 +123,38 @@ def test_first_by_hash(spark, monkeypatch, n):
     df = spark.range(1200).selectExpr("md5(CAST(IF(id % 3 = 0, -1, id) AS STRING)) AS h").repartition(5)
     want = sorted(r["h"] for r in df.collect())[:n]
     assert sorted(r["h"] for r in skew.first_by_hash(df, "h", n).collect()) == want
+
+
+@pytest.fixture
+def small_splits(spark, no_broadcast):
+    """Adaptive execution takes anything above a few kilobytes for skew."""
+    keys = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in keys if spark.conf.get(k, None) is not None}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k in keys:
+        spark.conf.unset(k)
+        if k in before:
+            spark.conf.set(k, before[k])
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+
+
+def test_hot_keys_are_split_at_run_time(spark, small_splits):
+    df = spark.range(0, 60000, 1, 16).selectExpr("id", "IF(id % 3 = 0, -1, id) AS k")
+    ref = spark.range(0, 60000, 2, 4).selectExpr("IF(id % 3 = 0, -1, id) AS r")
+    for present in (True, False):
+        out = skew.rows_by_membership(df, ["k"], ref, ["r"], present)
+        assert "skew=true" in final_plan(out)
+    out = skew.lookup(df, ["k"], ref.groupBy("r").agg(F.count("r").alias("c")), ["r"])
+    assert "skew=true" in final_plan(out)
+    assert out.count() == 60000

@@ -1,8 +1,9 @@
 """Joins and numbering that stay balanced when one key holds much of the data.
 
-A semi join against an aggregated side is not split by adaptive execution (it
-only splits joins whose two inputs are plain shuffles), and a window over a hot
-key runs in one task. The helpers below use the per-key counts, which partial
+Adaptive execution splits hot keys only in joins whose two inputs are plain
+shuffles, so not in a join against rows that are already grouped by the key; and
+a window over a hot key runs in one task. The helpers below either give a join
+the shape that is split at run time, or use per-key counts, which partial
 aggregation makes cheap, to spread exactly the hot keys.
 """
 
@@ -100,6 +101,18 @@ def key_counts(df: DataFrame, on: Sequence[str]) -> DataFrame:
     )
 
 
+def adaptive_skew(df: DataFrame) -> bool:
+    """Whether the session splits skewed joins at run time."""
+    conf = df.sparkSession.conf
+    return all(
+        conf.get(key, "true") == "true"
+        for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    )
+
+
+THIN = 16  # copies of a reference key that may remain
+
+
 def rows_by_membership(
     df: DataFrame,
     on: Sequence[str],
@@ -109,8 +122,11 @@ def rows_by_membership(
 ) -> DataFrame:
     """Rows whose non-null key is (not) among the keys of ``ref``.
 
-    A reference Catalyst can broadcast needs no shuffle at all. Beyond that the
-    distinct keys of both sides are matched first, and only then the rows.
+    A reference Catalyst can broadcast needs no shuffle at all. Beyond that a hot
+    key of ``df`` is split at run time, which needs a plain shuffle on the other
+    side: so the reference is thinned out per key and slice, not grouped by key,
+    which also cuts its own hot keys to THIN rows. In a session that does not
+    split joins the keys are matched first and hot ones salted.
     """
     names = [f"_r{i}" for i in range(len(ref_on))]
     members = (
@@ -121,6 +137,10 @@ def rows_by_membership(
     how = "left_semi" if present else "left_anti"
     if fits_broadcast(members):
         return rows.join(members, _same(rows, members, on, names), how)
+    if adaptive_skew(df):
+        slice_ = F.pmod(F.spark_partition_id(), F.lit(THIN))
+        thin = members.withColumn("_slice", slice_).distinct().drop("_slice")
+        return rows.join(thin, _same(rows, thin, on, names), how)
     counts = key_counts(df, on)
     members = members.distinct().withColumn("_member", F.lit(True))
     flagged = counts.join(members, _same(counts, members, on, names), "left")
@@ -134,9 +154,10 @@ def rows_by_membership(
 def lookup(df: DataFrame, on: Sequence[str], ref: DataFrame, ref_on: Sequence[str]) -> DataFrame:
     """Left join of ``df`` with the other columns of ``ref``, unique on ``ref_on``.
 
-    A reference Catalyst can broadcast is joined directly. Beyond that the keys
-    are matched once each, hot ones are spread, and rows with a null key, which
-    match nothing, are not shuffled at all.
+    A reference Catalyst can broadcast is joined directly. Beyond that rows with
+    a null key, which match nothing, are not shuffled, and hot keys are split at
+    run time: the reference is rebalanced first, so that it too is a plain
+    shuffle. In a session that does not split joins hot keys are salted.
     """
     names = [f"_r{i}" for i in range(len(ref_on))]
     extra = [c for c in ref.columns if c not in ref_on]
@@ -145,9 +166,14 @@ def lookup(df: DataFrame, on: Sequence[str], ref: DataFrame, ref_on: Sequence[st
     )
     if fits_broadcast(side):
         return df.join(side, _same(df, side, on, names), "left").drop(*names)
-    counts = key_counts(df, on)
-    found = counts.join(side, _same(counts, side, on, names), "left").drop(*names)
-    known = attach(df.filter(not_null(on)), found, on).drop("_n")
+    keyed = df.filter(not_null(on))
+    if adaptive_skew(df):
+        side = side.hint("rebalance")
+        known = keyed.join(side, _same(keyed, side, on, names), "left").drop(*names)
+    else:
+        counts = key_counts(df, on)
+        found = counts.join(side, _same(counts, side, on, names), "left").drop(*names)
+        known = attach(keyed, found, on).drop("_n")
     return known.unionByName(df.filter(~not_null(on)), allowMissingColumns=True)
 
 
