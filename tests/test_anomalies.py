@@ -82,13 +82,13 @@ def test_rollup(spark, hot, request):
 
 def test_enrich(spark, stored):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "id int, v string")
-    out = an.enrich_source_records(stored, df, ["id"], 10)
+    out = an.enrich_source_records(stored, {"t": (df, ["id"])}, 10)
     assert rows(out, "check_uid", "record_key", "source_enriched", "source_record") == [
         ("c1", "1", True, '{"id":1,"v":"a"}'), ("c1", "2", True, '{"id":2,"v":"b"}'), ("c2", "1", True, '{"id":1,"v":"a"}'),
     ]
-    assert an.enrich_source_records(stored, df, ["id"], 1).filter("source_enriched").count() == 1
+    assert an.enrich_source_records(stored, {"t": (df, ["id"])}, 1).filter("source_enriched").count() == 1
     with pytest.raises(ValueError):
-        an.enrich_source_records(stored, df, ["id"], 0)
+        an.enrich_source_records(stored, {"t": (df, ["id"])}, 0)
 
 
 def test_list_statuses(spark, stored):

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -123,29 +124,42 @@ def high_count_rollup(failures: DataFrame, threshold: int) -> DataFrame:
 
 
 def enrich_source_records(
-    anomalies: DataFrame, df: DataFrame, keys: Sequence[str], limit: int
+    anomalies: DataFrame, sources: Mapping[str, tuple[DataFrame, Sequence[str]]], limit: int
 ) -> DataFrame:
-    """Attach the source row to at most ``limit`` record anomalies, by fingerprint order."""
+    """Attach the source row to at most ``limit`` record anomalies, by fingerprint order.
+
+    ``sources`` gives each container's rows and key columns.
+    """
     if limit < 1:
         raise ValueError("the source record limit must be at least 1")
-    records = anomalies.filter(F.col("anomaly_type") == "record").select("fingerprint", "record_key")
+    records = anomalies.filter(
+        (F.col("anomaly_type") == "record") & F.col("container").isin(list(sources))
+    ).select("fingerprint", "container", "record_key")
     chosen = first_by_hash(records.distinct(), "fingerprint", limit)
-    wanted = chosen.select(F.col("record_key").alias("_key")).distinct()
-    packed = df.select(record_key(df, keys).alias("_rk"), F.struct(*df.columns).alias("_row"))
-    # At most ``limit`` keys; copies of a row collapse before the shuffle.
-    source = (
-        packed.join(wanted, packed["_rk"] == wanted["_key"], "left_semi")
-        .groupBy("_rk")
-        .agg(F.min(F.to_json("_row")).alias("_source"))
-    )
-    found = chosen.join(source, chosen["record_key"] == source["_rk"], "inner").select(
-        F.col("fingerprint").alias("_f"), "_source"
-    )
+    found = []
+    for name, (df, keys) in sources.items():
+        wanted = chosen.filter(F.col("container") == name)
+        members = wanted.select(F.col("record_key").alias("_key")).distinct()
+        packed = df.select(record_key(df, keys).alias("_rk"), F.struct(*df.columns).alias("_row"))
+        # At most ``limit`` keys; copies of a row collapse before the shuffle.
+        source = (
+            packed.join(members, packed["_rk"] == members["_key"], "left_semi")
+            .groupBy("_rk")
+            .agg(F.min(F.to_json("_row")).alias("_source"))
+        )
+        found.append(
+            wanted.join(source, wanted["record_key"] == source["_rk"], "inner").select(
+                F.col("fingerprint").alias("_f"), "_source"
+            )
+        )
+    rows = reduce(DataFrame.unionByName, found)
     keep = [c for c in anomalies.columns if c not in ("source_enriched", "source_record")]
-    return anomalies.join(found, anomalies["fingerprint"] == found["_f"], "left").select(
-        *keep,
-        F.col("_source").isNotNull().alias("source_enriched"),
-        F.col("_source").alias("source_record"),
+    enriched, record = F.col("_source").isNotNull(), F.col("_source")
+    if "source_enriched" in anomalies.columns:
+        enriched = enriched | F.coalesce("source_enriched", F.lit(False))
+        record = F.coalesce("_source", "source_record")
+    return anomalies.join(rows, anomalies["fingerprint"] == rows["_f"], "left").select(
+        *keep, enriched.alias("source_enriched"), record.alias("source_record")
     )
 
 

@@ -138,9 +138,8 @@ def q_enrich_source_records(spark: SparkSession, sf: str) -> DataFrame:
     check = Check("orders", "between", ["o_totalprice"], {"max_value": 400000})
     failures = scan(spark, {"orders": Container(orders, ["o_orderkey"])}, checks_frame(spark, [check]))
     stored = an.new_anomalies(failures, "scan_1", "2024-01-01 00:00:00")
-    enriched = an.enrich_source_records(
-        stored, orders.select("o_orderkey", "o_custkey", "o_orderstatus"), ["o_orderkey"], 200
-    )
+    source = orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    enriched = an.enrich_source_records(stored, {"orders": (source, ["o_orderkey"])}, 200)
     return enriched.select("record_key", "source_enriched", "source_record")
 
 
