@@ -70,7 +70,9 @@ def test_lookup_null_is_no_key(spark, no_broadcast, adaptive):
     assert rows(skew.lookup(df, ["k"], ref, ["r"]), "id", "name") == [(1, None), (2, "y")]
 
 
-def test_group_index(spark):
+@pytest.mark.parametrize("range_bytes", [1 << 30, 2000])
+def test_group_index(spark, monkeypatch, range_bytes):
+    monkeypatch.setattr(skew, "RANGE_BYTES", range_bytes)
     data = [(("hot" if i % 3 else f"g{i % 7}"), (i * 7919) % 10007) for i in range(2000)]
     df = spark.createDataFrame(data, "g string, at int").repartition(6)
     out = rows(skew.group_index(df, ["g"], ["at"], "n"), "g", "at", "n")

@@ -177,6 +177,22 @@ def lookup(df: DataFrame, on: Sequence[str], ref: DataFrame, ref_on: Sequence[st
     return known.unionByName(df.filter(~not_null(on)), allowMissingColumns=True)
 
 
+RANGE_BYTES = 256 << 20
+MAX_RANGES = 50_000
+
+
+def _ranged(df: DataFrame, *order: str) -> DataFrame:
+    """``df`` in range partitions with their number in ``_part``, pinned in a table.
+
+    Small data is left to adaptive execution; above that there is a partition
+    per RANGE_BYTES of the estimated size.
+    """
+    wanted = min(estimated_bytes(df) // RANGE_BYTES, MAX_RANGES)
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = df.repartitionByRange(wanted, *order) if wanted > usual else df.repartitionByRange(*order)
+    return durable(parts.withColumn("_part", F.spark_partition_id()), "ranges")
+
+
 def group_index(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """1-based position of each row in its group, no group held by one task.
 
@@ -186,9 +202,7 @@ def group_index(df: DataFrame, by: Sequence[str], order: Sequence[str], name: st
     as both passes must see the same ones. ``order`` must be unique in a group
     and ``by`` must not hold nulls.
     """
-    ranged = durable(
-        df.repartitionByRange(*by, *order).withColumn("_part", F.spark_partition_id())
-    )
+    ranged = _ranged(df, *by, *order)
     sizes = ranged.groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_m"))
     earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(
         Window.unboundedPreceding, -1
@@ -233,9 +247,7 @@ def running_total(
 
     Built like :func:`group_index`.
     """
-    ranged = durable(
-        df.repartitionByRange(*by, order).withColumn("_part", F.spark_partition_id())
-    )
+    ranged = _ranged(df, *by, order)
     sizes = ranged.groupBy(*by, "_part").agg(F.sum(amount).alias("_m"))
     earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(
         Window.unboundedPreceding, -1

@@ -49,13 +49,14 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/veriframe/{label}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to reliable storage and cut its lineage there.
+def durable(df: DataFrame, label: str = "durable") -> DataFrame:
+    """Write ``df`` as a table in the shared folder and go on from there.
 
-    Used where a later step must see exactly the same rows in the same
-    partitions again, also after an executor is lost.
+    Used where a later step must see exactly the same rows again, also after an
+    executor is lost, or where a result is used more than once. Unlike an RDD
+    checkpoint the table is compressed, can be pruned, and its size is known to
+    Catalyst.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
