@@ -76,17 +76,17 @@ def test_field_drop_guard(spark):
 def test_load_definitions(spark, tmp_path):
     path = tmp_path / "defs.csv"
     path.write_text(
-        'check_id,check_description,check_query\n'
-        'CHK001,"Neg, totals","SELECT *\nFROM t\nWHERE ""x"" < 0"\n'
+        'id,text,sql\n'
+        'LATE1,"Neg, totals","SELECT *\nFROM t\nWHERE ""x"" < 0"\n'
         '\n'
         '  ,blank name,SELECT 1\n'
         'short,row\n'
-        'CHK002,,\n'
-        ' CHK003 ,d, SELECT 3 ,extra\n'
+        'LATE2,,\n'
+        ' LATE3 ,d, SELECT 3 ,extra\n'
     )
     out = rows(definitions.load_definitions(spark, str(path)), "row", "name", "description", "query")
     assert out == [
-        (1, "CHK001", "Neg, totals", 'SELECT *\nFROM t\nWHERE "x" < 0'), (2, "CHK002", "", ""), (3, "CHK003", "d", "SELECT 3"),
+        (1, "LATE1", "Neg, totals", 'SELECT *\nFROM t\nWHERE "x" < 0'), (2, "LATE2", "", ""), (3, "LATE3", "d", "SELECT 3"),
     ]
 
 
@@ -126,10 +126,10 @@ def test_plan_definitions(spark):
 
 def test_error_query_check(spark):
     bad = spark.createDataFrame([(1, None), (None, None), (2, "x")], ["order_id", "coalesce(trim(status))"])
-    check = definitions.error_query_check(bad, "ct_CHK001", as_draft=False)
+    check = definitions.error_query_check(bad, "ct_LATE1", as_draft=False)
     assert check.properties["expression"] == "`order_id` IS NULL AND `coalesce(trim(status))` IS NULL"
-    assert definitions.error_query_check(bad, "ct_CHK001").status == "Draft"
-    out = scan(spark, {"ct_CHK001": Container(bad)}, checks_frame(spark, [check]))
+    assert definitions.error_query_check(bad, "ct_LATE1").status == "Draft"
+    out = scan(spark, {"ct_LATE1": Container(bad)}, checks_frame(spark, [check]))
     assert out.count() == 2
 
 

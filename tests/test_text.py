@@ -42,8 +42,8 @@ def test_check_uid(spark, container, rule, fields, want):
 @pytest.mark.parametrize(
     "name, want",
     [
-        ("1000664_SF", "1000664"), ("1000656_sf", "1000656"), ("rule_123_DB", "rule_123"),
-        ("check_001", "check_001"), ("x_Sf", "x_Sf"), ("x_SF_DB", "x_SF"), ("x_SNOWFLAKE", "x"),
+        ("4711_SF", "4711"), ("4712_sf", "4712"), ("price_7_DB", "price_7"),
+        ("plain_7", "plain_7"), ("x_Sf", "x_Sf"), ("x_SF_DB", "x_SF"), ("x_SNOWFLAKE", "x"),
     ],
 )
 def test_rule_id(spark, name, want):
