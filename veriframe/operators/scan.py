@@ -233,7 +233,7 @@ def scan(
     """Failures of all active checks on the given containers."""
     wanted = active_checks(checks).filter(F.col("container").isin(list(containers)))
     by_container: dict[str, list[Row]] = {}
-    for check in wanted.orderBy("container", "check_uid").collect():
+    for check in sorted(wanted.collect(), key=lambda c: (c["container"], c["check_uid"])):
         by_container.setdefault(check["container"], []).append(check)
     parts: list[DataFrame] = []
     for name, mine in by_container.items():

@@ -18,6 +18,7 @@ from veriframe.operators.scan import (
 )
 from veriframe.plans.common import ANOMALIES, duck, frame, sql_fingerprint, table
 from veriframe.plans.rules import HOLED, failing
+from veriframe.session import durable
 
 BUILDING = "SELECT c_custkey FROM {customer} WHERE c_mktsegment <> 'BUILDING'"
 
@@ -108,7 +109,7 @@ def _two_scans(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, Data
     before = scan(spark, containers, checks_frame(spark, YESTERDAY))
     stored = an.new_anomalies(before, "scan_1", "2024-01-01 00:00:00")
     checks = checks_frame(spark, TODAY)
-    return stored, scan(spark, containers, checks), checks
+    return durable(stored), durable(scan(spark, containers, checks)), checks
 
 
 def q_auto_resolve(spark: SparkSession, sf: str) -> DataFrame:
@@ -128,7 +129,7 @@ def q_merge_failures(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_high_count_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    failures = scan(spark, _containers(spark, sf), checks_frame(spark, SCAN_CHECKS[:6]))
+    failures = durable(scan(spark, _containers(spark, sf), checks_frame(spark, SCAN_CHECKS[:6])))
     rolled = an.high_count_rollup(failures, 100)
     return rolled.select("check_uid", "anomaly_type", "record_key", "fingerprint", "failing_rows")
 
@@ -137,7 +138,7 @@ def q_enrich_source_records(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders")
     check = Check("orders", "between", ["o_totalprice"], {"max_value": 400000})
     failures = scan(spark, {"orders": Container(orders, ["o_orderkey"])}, checks_frame(spark, [check]))
-    stored = an.new_anomalies(failures, "scan_1", "2024-01-01 00:00:00")
+    stored = durable(an.new_anomalies(failures, "scan_1", "2024-01-01 00:00:00"))
     source = orders.select("o_orderkey", "o_custkey", "o_orderstatus")
     enriched = an.enrich_source_records(stored, {"orders": (source, ["o_orderkey"])}, 200)
     return enriched.select("record_key", "source_enriched", "source_record")

@@ -47,8 +47,8 @@ def _as_given(df: DataFrame, ts: str, col: Column) -> Column:
 
 def stream_scan(stream: DataFrame, container: str, keys: Sequence[str], checks: DataFrame) -> DataFrame:
     """Failures of the active row rules; stateless, so nothing is kept between batches."""
-    mine = active_checks(checks).filter(F.col("container") == container).orderBy("check_uid")
-    rows = [c for c in mine.collect() if c["rule_type"] in ROW_RULES]
+    mine = active_checks(checks).filter(F.col("container") == container).collect()
+    rows = sorted((c for c in mine if c["rule_type"] in ROW_RULES), key=lambda c: c["check_uid"])
     out = row_rule_failures(container, stream, keys, rows)
     return out.withColumn("fingerprint", fingerprint(F.col("check_uid"), F.col("record_key")))
 
