@@ -144,6 +144,62 @@ def test_failed_first_does_not_claim_the_uid(spark):
     assert [r[2] for r in plan(spark, [(1, "ghost", "u"), (2, "orders", "u"), (3, "orders", "u")])] == ["failed", "created", "updated"]
 
 
+IMPORT = (
+    "container string, uid string, rule_type string, description string, fields array<string>, coverage double, "
+    f"filter string, anomaly_message_field string, properties {META}, tags array<string>, "
+    f"additional_metadata {META}, status string"
+)
+
+
+def batch(spark, *rows_):
+    names = [c.strip().split(" ")[0] for c in IMPORT.split(", ")]
+    data = [
+        (pos, [n for n in names if n in r], *[r.get(n) for n in names]) for pos, r in enumerate(rows_)
+    ]
+    return spark.createDataFrame(data, f"pos int, present array<string>, {IMPORT}")
+
+
+def test_import_merges_creates_and_keeps(spark):
+    containers = spark.createDataFrame([("dev", "orders"), ("prod", "orders")], "datastore string, name string")
+    old = ("orders", "u1", "notNull", "old text", ["id"], 0.5, "id > 1", "msg", {"a": "1"}, ["x"], {"_check_uid": "u1"}, "Draft")
+    existing = spark.createDataFrame(
+        [("prod", 7, *old), ("prod", 8, *old[:1], "u9", *old[2:])], f"datastore string, check_id int, {IMPORT}"
+    )
+    incoming = batch(
+        spark,
+        {"container": "orders", "uid": "u1", "rule_type": "notNull", "tags": ["new"], "filter": None, "description": ""},
+        {"container": "orders", "uid": "u2", "rule_type": "unique", "fields": ["id"]},
+        {"container": "orders", "uid": "u2", "rule_type": "unique", "description": "second", "coverage": 0.1},
+        {"container": "nowhere", "uid": "u3", "rule_type": "unique"},
+        {"container": "orders", "rule_type": "volumetric"},
+        {"container": "orders", "rule_type": "volumetric"},
+    )
+    after, plan = reg.import_checks(incoming, ["prod", "dev"], containers, existing, "pos")
+    assert [r[0] for r in rows(plan.filter("target = 'prod'").orderBy("pos"), "action")].count("failed") == 1
+    got = {(r["datastore"], r["uid"], r["check_id"]): r.asDict() for r in after.filter("uid IS NOT NULL").collect()}
+    first = got["prod", "u1", 7]
+    # Given fields win, even when they are empty; the others stay.
+    assert (first["tags"], first["filter"], first["description"]) == (["new"], None, "Imported quality check")
+    assert (first["fields"], first["coverage"], first["status"], first["anomaly_message_field"]) == (["id"], 0.5, "Draft", "msg")
+    assert got["prod", "u9", 8]["description"] == "old text"
+    second = got["dev", "u2", None]
+    assert (second["fields"], second["description"], second["coverage"], second["status"]) == (["id"], "second", 0.1, "Active")
+    assert got["dev", "u1", None]["fields"] == [] and ("dev", "u3", None) not in got
+    assert after.filter("uid IS NULL").count() == 4 and after.count() == 2 + 1 + 2 + 4
+
+
+def test_import_twice_changes_nothing(spark):
+    containers = spark.createDataFrame([("dev", "orders")], "datastore string, name string")
+    incoming = batch(spark, {"container": "orders", "uid": "u1", "rule_type": "notNull", "fields": ["a"], "status": "Draft"})
+    empty = spark.createDataFrame([], f"datastore string, check_id int, {IMPORT}")
+    once, _ = reg.import_checks(incoming, ["dev"], containers, empty, "pos")
+    stored_ = once.withColumn("check_id", F.lit(1))
+    twice, plan = reg.import_checks(incoming, ["dev"], containers, stored_, "pos")
+    assert rows(plan, "action") == [("updated",)]
+    changes = reg.registry_diff(stored_, twice, ["datastore", "uid"])
+    assert rows(changes, "change") == [("unchanged",)]
+
+
 def test_merge_update(spark):
     old = spark.createDataFrame([(1, "d", "Active"), (2, "e", "Draft")], "id int, description string, status string")
     new = spark.createDataFrame([(1, None, "X", ["description"])], "id int, description string, status string, present array<string>")

@@ -297,6 +297,91 @@ def upsert_plan(
     return out.drop("_first", "_n", "_ok").unionByName(bare.drop("_ok"))
 
 
+# What an import may change on a stored check; container and rule stay.
+IMPORTED_FIELDS = (
+    "description", "fields", "coverage", "filter", "anomaly_message_field", "properties",
+    "tags", "additional_metadata", "status",
+)
+
+
+def _imported(col: dict[str, Column]) -> dict[str, Column]:
+    """Defaults of a check that an import creates or updates."""
+    texts, empty = F.array().cast("array<string>"), F.create_map().cast("map<string,string>")
+    return {
+        **col,
+        "description": F.coalesce(
+            F.nullif(col["description"], F.lit("")), F.lit("Imported quality check")
+        ),
+        "fields": F.coalesce(col["fields"], texts),
+        "tags": F.coalesce(col["tags"], texts),
+        "properties": F.coalesce(col["properties"], empty),
+        "additional_metadata": F.coalesce(col["additional_metadata"], empty),
+        "status": F.coalesce(col["status"], F.lit("Active")),
+    }
+
+
+def import_checks(
+    incoming: DataFrame,
+    targets: Sequence[str],
+    containers: DataFrame,
+    existing: DataFrame,
+    order: str,
+    present: str = "present",
+) -> tuple[DataFrame, DataFrame]:
+    """The stored checks after an import, and its plan.
+
+    ``existing`` has ``datastore, check_id, uid, container, rule_type`` and the
+    imported fields; ``incoming`` has the same without the first two, the unique
+    ``order`` and ``present``, the names of the fields it gives. Occurrences of a
+    uid in the batch apply in order: of each field the last given value counts.
+    New checks have no ``check_id`` yet.
+    """
+    plan = upsert_plan(incoming, targets, containers, existing, order)
+    valid = plan.filter(F.col("action") != "failed")
+
+    def last(name: str) -> Column:
+        given = F.when(F.array_contains(present, name), F.col(order))
+        return F.max_by(F.struct(F.col(name).alias("v")), given).alias(f"_{name}")
+
+    folded = (
+        valid.filter(F.col("uid").isNotNull())
+        .groupBy("target", "uid")
+        .agg(
+            F.max("existing_id").alias("_id"),
+            F.min_by("container", order).alias("_container"),
+            F.min_by("rule_type", order).alias("_rule_type"),
+            *[last(f) for f in IMPORTED_FIELDS],
+        )
+    )
+    new_values = {f: F.col(f"_{f}.v") for f in IMPORTED_FIELDS}
+    head = ("datastore", "check_id", "uid", "container", "rule_type")
+
+    changes = folded.filter(F.col("_id").isNotNull()).drop("uid", "_container", "_rule_type")
+    joined = existing.join(
+        changes, (existing["datastore"] == changes["target"]) & (existing["check_id"] == changes["_id"]), "left"
+    )
+    touched = F.col("_id").isNotNull()
+    merged = _imported(
+        {f: F.when(F.col(f"_{f}").isNotNull(), F.col(f"_{f}.v")).otherwise(F.col(f)) for f in IMPORTED_FIELDS}
+    )
+    kept = joined.select(
+        *head, *[F.when(touched, c).otherwise(F.col(f)).alias(f) for f, c in merged.items()]
+    )
+
+    no_id = F.lit(None).cast(existing.schema["check_id"].dataType).alias("check_id")
+    created = folded.filter(F.col("_id").isNull()).select(
+        F.col("target").alias("datastore"), no_id, "uid",
+        F.col("_container").alias("container"), F.col("_rule_type").alias("rule_type"),
+        *[c.alias(f) for f, c in _imported(new_values).items()],
+    )
+    given = {f: F.when(F.array_contains(present, f), F.col(f)) for f in IMPORTED_FIELDS}
+    bare = valid.filter(F.col("uid").isNull()).select(
+        F.col("target").alias("datastore"), no_id, "uid", "container", "rule_type",
+        *[c.alias(f) for f, c in _imported(given).items()],
+    )
+    return kept.unionByName(created).unionByName(bare), plan
+
+
 def merge_update(
     existing: DataFrame, changes: DataFrame, key: str, fields: Sequence[str], present: str = "present"
 ) -> DataFrame:
