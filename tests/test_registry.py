@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from veriframe.operators import lineage
 from veriframe.operators import registry as reg
 from veriframe.operators.registry import Check, checks_frame
+from veriframe.session import durable
 
 META = "map<string,string>"
 
@@ -193,7 +194,7 @@ def test_import_twice_changes_nothing(spark):
     incoming = batch(spark, {"container": "orders", "uid": "u1", "rule_type": "notNull", "fields": ["a"], "status": "Draft"})
     empty = spark.createDataFrame([], f"datastore string, check_id int, {IMPORT}")
     once, _ = reg.import_checks(incoming, ["dev"], containers, empty, "pos")
-    stored_ = once.withColumn("check_id", F.lit(1))
+    stored_ = durable(once.withColumn("check_id", F.lit(1)))
     twice, plan = reg.import_checks(incoming, ["dev"], containers, stored_, "pos")
     assert rows(plan, "action") == [("updated",)]
     changes = reg.registry_diff(stored_, twice, ["datastore", "uid"])

@@ -70,11 +70,12 @@ def test_lookup_null_is_no_key(spark, no_broadcast, adaptive):
     assert rows(skew.lookup(df, ["k"], ref, ["r"]), "id", "name") == [(1, None), (2, "y")]
 
 
-@pytest.mark.parametrize("range_bytes", [1 << 30, 2000])
-def test_group_index(spark, monkeypatch, range_bytes):
+@pytest.mark.parametrize("range_bytes", [1 << 30, 1000])
+def test_group_index(spark, monkeypatch, tmp_path, range_bytes):
     monkeypatch.setattr(skew, "RANGE_BYTES", range_bytes)
     data = [(("hot" if i % 3 else f"g{i % 7}"), (i * 7919) % 10007) for i in range(2000)]
-    df = spark.createDataFrame(data, "g string, at int").repartition(6)
+    spark.createDataFrame(data, "g string, at int").repartition(6).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
     out = rows(skew.group_index(df, ["g"], ["at"], "n"), "g", "at", "n")
     want = []
     for g in {g for g, _ in data}:
@@ -160,3 +161,11 @@ def test_hot_keys_are_split_at_run_time(spark, small_splits):
     out = skew.lookup(df, ["k"], ref.groupBy("r").agg(F.count("r").alias("c")), ["r"])
     assert "skew=true" in final_plan(out)
     assert out.count() == 60000
+
+
+def test_input_bytes(spark, tmp_path):
+    spark.range(100).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    assert 0 < skew.input_bytes(df) < 10_000
+    assert skew.input_bytes(df.crossJoin(df.withColumnRenamed("id", "b"))) == 2 * skew.input_bytes(df)
+    assert skew.input_bytes(spark.createDataFrame([(1,)], "a int")) is None

@@ -29,6 +29,16 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(stats.sizeInBytes()))
 
 
+UNKNOWN_BYTES = 1 << 60
+
+
+def input_bytes(df: DataFrame) -> int | None:
+    """Size of the tables ``df`` reads; None where one of them does not know it."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return None if any(s >= UNKNOWN_BYTES for s in sizes) else sum(sizes)
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether Catalyst itself would broadcast ``df`` under the session's limit."""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
@@ -184,10 +194,10 @@ MAX_RANGES = 50_000
 def _ranged(df: DataFrame, *order: str) -> DataFrame:
     """``df`` in range partitions with their number in ``_part``, pinned in a table.
 
-    Small data is left to adaptive execution; above that there is a partition
-    per RANGE_BYTES of the estimated size.
+    Small or unknown data is left to adaptive execution; above that there is a
+    partition per RANGE_BYTES read.
     """
-    wanted = min(estimated_bytes(df) // RANGE_BYTES, MAX_RANGES)
+    wanted = min((input_bytes(df) or 0) // RANGE_BYTES, MAX_RANGES)
     usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = df.repartitionByRange(wanted, *order) if wanted > usual else df.repartitionByRange(*order)
     return durable(parts.withColumn("_part", F.spark_partition_id()), "ranges")

@@ -130,6 +130,7 @@ def run_scan(
         sources = {n: (scanned_rows(n, c, options), c.keys) for n, c in mine.items()}
         enriched = an.enrich_source_records(after.filter(fresh), sources, enrichment_source_record_limit)
         after = after.filter(~fresh).unionByName(enriched)
+    after = durable(after, "anomalies")
     kept = checkpoints if checkpoints is not None else spark.createDataFrame([], CHECKPOINT_SCHEMA)
     moved = [
         next_checkpoint(
