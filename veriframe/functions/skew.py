@@ -161,6 +161,12 @@ def rows_by_membership(
     return attach(rows, flagged, on, keep="_keep").select(*[F.col(f"`{c}`") for c in df.columns])
 
 
+def rows_outside(df: DataFrame, on: Sequence[str], ref: DataFrame, ref_on: Sequence[str]) -> DataFrame:
+    """Rows whose key is not in ``ref``, rows with a null key included (an anti join)."""
+    known = rows_by_membership(df, on, ref, ref_on, present=False)
+    return known.unionByName(df.filter(~not_null(on)))
+
+
 def lookup(df: DataFrame, on: Sequence[str], ref: DataFrame, ref_on: Sequence[str]) -> DataFrame:
     """Left join of ``df`` with the other columns of ``ref``, unique on ``ref_on``.
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veriframe.functions.skew import fits_broadcast, not_null, rows_by_membership
+from veriframe.functions.skew import fits_broadcast, rows_outside
 
 JOIN_TYPES = ("inner", "left", "right", "full")
 
@@ -90,15 +90,9 @@ def key_join(left: DataFrame, right: DataFrame, lk: str, rk: str, how: str) -> D
         return left.join(right, condition, how)
     parts = [left.join(right, condition, "inner")]
     if how in ("left", "full"):
-        parts += [
-            rows_by_membership(left, [lk], right, [rk], present=False),
-            left.filter(~not_null([lk])),
-        ]
+        parts.append(rows_outside(left, [lk], right, [rk]))
     if how in ("right", "full"):
-        parts += [
-            rows_by_membership(right, [rk], left, [lk], present=False),
-            right.filter(~not_null([rk])),
-        ]
+        parts.append(rows_outside(right, [rk], left, [lk]))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 

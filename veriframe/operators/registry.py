@@ -8,7 +8,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriframe.functions.skew import attach, group_index, lookup
+from veriframe.functions.skew import attach, group_index, lookup, rows_outside
 from veriframe.functions.text import check_uid, rule_and_fields, slugify
 from veriframe.operators.rules import CROSS_REFERENCE_RULES
 
@@ -475,12 +475,6 @@ def _among(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     ).drop("_id")
 
 
-def _drop_by_check(anomalies: DataFrame, ids: DataFrame) -> DataFrame:
-    """Anomalies of other checks; a plain anti join, so a hot check is split at run time."""
-    gone = ids.select(F.col(ids.columns[0]).alias("_gone"))
-    return anomalies.join(gone, anomalies["check_uid"] == gone["_gone"], "left_anti")
-
-
 def check_archive(
     checks: DataFrame,
     anomalies: DataFrame,
@@ -500,7 +494,9 @@ def check_archive(
         )
     else:
         kept = marked.filter(~F.col("_hit"))
-    left = _drop_by_check(anomalies, ids) if delete_anomalies else anomalies
+    left = anomalies
+    if delete_anomalies:
+        left = rows_outside(anomalies, ["check_uid"], ids, [ids.columns[0]])
     return kept.select(*checks.columns), left
 
 
@@ -519,10 +515,9 @@ def container_delete_cascade(
     containers: DataFrame, fields: DataFrame, checks: DataFrame, anomalies: DataFrame, names: DataFrame
 ) -> dict[str, DataFrame]:
     """Delete containers with their fields, checks and anomalies."""
-    gone = names.select(F.col("name").alias("_gone"))
 
     def without(df: DataFrame, col: str) -> DataFrame:
-        return df.join(gone, df[col] == gone["_gone"], "left_anti")
+        return rows_outside(df, [col], names, ["name"])
 
     return {
         "containers": without(containers, "name"),
@@ -558,7 +553,8 @@ def template_expand(templates: DataFrame, targets: DataFrame) -> DataFrame:
     use = targets.select(
         F.col("template_id").alias("_tid"), F.col("container"), F.col("fields").alias("_fields")
     )
-    made = use.join(templates.drop("container"), F.col("_tid") == F.col("id"), "inner")
+    kinds = templates.drop("container").withColumns({"_tid": F.col("id"), "_found": F.lit(True)})
+    made = lookup(use, ["_tid"], kinds, ["_tid"]).filter(F.col("_found")).drop("_found")
     made = made.withColumn("fields", F.coalesce("_fields", "fields"))
     return made.withColumn(
         "check_uid", check_uid(F.col("container"), F.col("rule_type"), F.col("fields"))

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veriframe.functions.skew import rows_by_membership
 from veriframe.operators import inference, observe, profile
 from veriframe.operators.registry import Check, checks_frame
 from veriframe.operators.scan import Container
@@ -138,9 +139,7 @@ def q_test_inferred_checks(spark: SparkSession, sf: str) -> DataFrame:
 def q_profile_selected(spark: SparkSession, sf: str) -> DataFrame:
     """Row statistics of the selected containers only: orders of some customers."""
     chosen = select_containers(frame(spark, sf, CONTAINERS, "tags"), tags=["machinery", "n7"])
-    rows = frame(spark, sf, ANOMALIES).join(
-        chosen.select(F.col("name").alias("container")), "container", "left_semi"
-    )
+    rows = rows_by_membership(frame(spark, sf, ANOMALIES), ["container"], chosen, ["name"], present=True)
     out = profile.field_profile(rows.select("status", "weight", "created"), "selected", exact=True)
     return _readable(out)
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veriframe.functions.skew import rows_by_membership
 from veriframe.sources.sampling import cap_per_partition
 
 REMEDIATION = ("none", "append", "overwrite")
@@ -82,5 +83,5 @@ def export_assets(
         out = out.filter(~_deleted(out))
     if container_names or tags:
         chosen = select_containers(containers, container_names, tags).select("name")
-        out = out.join(chosen, out["container"] == chosen["name"], "left_semi")
+        out = rows_by_membership(out, ["container"], chosen, ["name"], present=True)
     return out
