@@ -85,6 +85,11 @@ def test_cleaned_everywhere(spark, text, want):
     assert got == want
 
 
+def test_terms_beyond_ascii(spark):
+    assert one(spark, "Müller GRÜN", lambda c: cleaned_name(c, ["grün"])) == "Müller"
+    assert one(spark, "Müller gmbh", lambda c: cleaned_name(c, ["GmbH"])) == "Müller"
+
+
 def test_ignored_terms_stay(spark):
     assert one(spark, "Acme Inc.", lambda c: cleaned_name(c, TERMS, ["inc"])) == "Acme Inc."
     assert one(spark, "Acme Inc.", lambda c: cleaned_name(c, [])) == "Acme Inc."

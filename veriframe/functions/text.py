@@ -84,12 +84,14 @@ def cleaned_name(
     if not terms:
         return out
     any_term = "(?:" + "|".join(_term_pattern(t) for t in sorted(terms, key=len, reverse=True)) + ")"
+    # Matching case beyond ASCII is slow, and needed only for such terms.
+    case = "(?i)" if any_term.isascii() else "(?iu)"
     if suffix:
-        out = F.regexp_replace(out, rf"(?iu)(?<=[^\s,]),*(?:\s+{any_term})+$", "")
+        out = F.regexp_replace(out, rf"{case}(?<=[^\s,]),*(?:\s+{any_term})+$", "")
     if prefix:
-        out = F.regexp_replace(out, rf"(?iu)^(?:{any_term}\s+)+(?=\S)", "")
+        out = F.regexp_replace(out, rf"{case}^(?:{any_term}\s+)+(?=\S)", "")
     if interior:
-        out = F.regexp_replace(out, rf"(?iu)(?<=\S )(?:{any_term} )+(?=\S)", "")
+        out = F.regexp_replace(out, rf"{case}(?<=\S )(?:{any_term} )+(?=\S)", "")
     return out
 
 
