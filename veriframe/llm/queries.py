@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from veriframe.llm.common import table
 from veriframe.llm.decontaminate import contamination
+from veriframe.llm.sentencepiece_bpe import digests, model_path
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +16,13 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents and the texts decoded from them, as digests."""
+    return digests(table(spark, sf_dir, "documents"), model_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_sentencepiece": op5_sentencepiece,
     "op10_decontaminate": op10_decontaminate,
 }
 
