@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from veriframe.llm.common import table
 from veriframe.llm.decontaminate import contamination
+from veriframe.llm.quality import STOP_WORDS, judge
 from veriframe.llm.sentencepiece_bpe import digests, model_path
 
 
@@ -16,12 +17,20 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of the quality rules for all documents."""
+    judged = judge(table(spark, sf_dir, "documents"))
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select(*names, "base_failed", "kept")
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents and the texts decoded from them, as digests."""
     return digests(table(spark, sf_dir, "documents"), model_path())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": op2_quality,
     "op5_sentencepiece": op5_sentencepiece,
     "op10_decontaminate": op10_decontaminate,
 }
@@ -30,6 +39,28 @@ LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz
 WORDS10 = f"regexp_extract_all({LOWER.format('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 ORACLES: dict[str, str] = {
+    "op2_quality": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT r, doc_id, text, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS w,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM d),
+t AS (SELECT r, i, list_slice(w, i, i + 2) AS win FROM w, unnest(range(1, len(w) - 1)) AS u(i)),
+twice AS (SELECT r, win FROM t GROUP BY r, win HAVING count(*) > 1),
+rep AS (SELECT r, count(DISTINCT k) AS n FROM (SELECT t.r, unnest([i, i + 1, i + 2]) AS k FROM t JOIN twice ON t.r = twice.r AND t.win = twice.win) GROUP BY r),
+m AS (SELECT w.r, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+  CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+  coalesce(rep.n, 0) AS n_repeat_words, len(l) AS n_lines,
+  len(list_distinct(list_filter(w, lambda x: list_contains({list(STOP_WORDS)!r}, x)))) AS stops,
+  len(list_filter(w, lambda x: NOT regexp_matches(x, '\\p{{L}}'))) AS letterless,
+  len(list_filter(l, lambda x: regexp_matches(x, '(\\.\\.\\.|\u2026)[\\x20\\x09-\\x0D]*$'))) AS ellipsis,
+  len(list_filter(l, lambda x: regexp_matches(x, '^[\\x20\\x09-\\x0D]*[-*\u2022]'))) AS bullets
+  FROM w LEFT JOIN rep ON w.r = rep.r)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+  AND word_chars BETWEEN 2 * n_words AND 20 * n_words AND 100 * n_symbols <= 10 * n_words AND stops >= 2
+  AND 100 * n_dup_lines <= 50 * n_lines AND 100 * ellipsis <= 30 * n_lines AND 100 * bullets <= 90 * n_lines
+  AND 100 * letterless <= 30 * n_words AS kept
+FROM m""",
     "op10_decontaminate": f"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce({WORDS10}, []) AS w FROM documents),
 b AS (SELECT item_id, coalesce({WORDS10}, []) AS w FROM benchmark),
