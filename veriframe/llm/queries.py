@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from veriframe.llm import pii
 from veriframe.llm.common import table
 from veriframe.llm.decontaminate import contamination
 from veriframe.llm.quality import STOP_WORDS, judge
@@ -29,9 +30,15 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"), model_path())
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    return pii.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op5_sentencepiece": op5_sentencepiece,
+    "op8_pii": op8_pii,
     "op10_decontaminate": op10_decontaminate,
 }
 
