@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veriframe.llm import pii
+from veriframe.llm import pii, urls
 from veriframe.llm.common import table
 from veriframe.llm.decontaminate import contamination
 from veriframe.llm.quality import STOP_WORDS, judge
@@ -30,6 +30,12 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"), model_path())
 
 
+def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict for the URL of every page."""
+    judged = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), urls.rules_frame(spark))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents."""
     return pii.digests(table(spark, sf_dir, "documents"))
@@ -38,6 +44,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_urls": op6_urls,
     "op8_pii": op8_pii,
     "op10_decontaminate": op10_decontaminate,
 }
@@ -68,6 +75,16 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   AND 100 * n_dup_lines <= 50 * n_lines AND 100 * ellipsis <= 30 * n_lines AND 100 * bullets <= 90 * n_lines
   AND 100 * letterless <= 30 * n_words AS kept
 FROM m""",
+    "op6_urls": """
+WITH p AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+r AS (SELECT * FROM (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+                            ('allow', 'com', '/fr/'), ('block', 'com', '/de/')) AS t(action, rh, rp)),
+u AS (SELECT row_number() OVER () AS k, * FROM h),
+m AS (SELECT k, arg_max(rh || rp, length(rh) + length(rp)) AS rule, arg_max(action, length(rh) + length(rp)) AS action
+      FROM u JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY k)
+SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM u LEFT JOIN m USING (k)""",
     "op10_decontaminate": f"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce({WORDS10}, []) AS w FROM documents),
 b AS (SELECT item_id, coalesce({WORDS10}, []) AS w FROM benchmark),
