@@ -6,13 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veriframe.llm import pii, urls
+from veriframe.llm import chat, pii, urls
 from veriframe.llm.common import table
 from veriframe.llm.decontaminate import contamination
 from veriframe.llm.quality import STOP_WORDS, judge
 from veriframe.llm.sentencepiece_bpe import digests, model_path
 
 
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations in the chat template, read back from it."""
+    records = chat.conversations_with_hostile(table(spark, sf_dir, "conversations"))
+    return chat.read_back(chat.format_records(records, "record", order_col="turn"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in all documents."""
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -46,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sentencepiece": op5_sentencepiece,
     "op6_urls": op6_urls,
     "op8_pii": op8_pii,
+    "op9_chat": op9_chat,
     "op10_decontaminate": op10_decontaminate,
 }
 
@@ -85,6 +92,16 @@ u AS (SELECT row_number() OVER () AS k, * FROM h),
 m AS (SELECT k, arg_max(rh || rp, length(rh) + length(rp)) AS rule, arg_max(action, length(rh) + length(rp)) AS action
       FROM u JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY k)
 SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM u LEFT JOIN m USING (k)""",
+    "op9_chat": f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{chat.HOSTILE}' UNION ALL SELECT -1, 1, 'assistant', '{chat.HOSTILE}')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum({len(chat.START) + len(chat.END) + 2} + length(role) + length(text) + length(text) - length(replace(text, '\\', ''))
+       + (length(text) - length(replace(text, '<|', ''))) // 2) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id""",
     "op10_decontaminate": f"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce({WORDS10}, []) AS w FROM documents),
 b AS (SELECT item_id, coalesce({WORDS10}, []) AS w FROM benchmark),
