@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from veriframe.llm import chat, pii, urls
+from veriframe.llm import chat, pii, secrets, urls
 from veriframe.llm.common import table
 from veriframe.llm.decontaminate import contamination
 from veriframe.llm.quality import STOP_WORDS, judge
@@ -31,6 +32,15 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(*names, "base_failed", "kept")
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate secrets of all documents and the forest's verdict; values only as digests."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "ordinal", F.length("value").alias("n_chars"), F.sha2("value", 256).alias("value_sha256"),
+        F.round("probability", 6).alias("probability"), "secret",
+    )
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents and the texts decoded from them, as digests."""
     return digests(table(spark, sf_dir, "documents"), model_path())
@@ -49,6 +59,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
+    "op3_secrets": op3_secrets,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_urls": op6_urls,
     "op8_pii": op8_pii,
