@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriframe.llm import chat, pii, secrets, urls
+from veriframe.llm import chat, pii, secrets, urls, warc
 from veriframe.llm.common import table
 from veriframe.llm.decontaminate import contamination
 from veriframe.llm.quality import STOP_WORDS, judge
@@ -25,6 +25,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC archives and read back."""
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of the quality rules for all documents."""
     judged = judge(table(spark, sf_dir, "documents"))
@@ -58,6 +63,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op2_quality": op2_quality,
     "op3_secrets": op3_secrets,
     "op5_sentencepiece": op5_sentencepiece,
@@ -71,6 +77,15 @@ LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz
 WORDS10 = f"regexp_extract_all({LOWER.format('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 ORACLES: dict[str, str] = {
+    "op1_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+k AS (SELECT payload_bytes, payload_digest, max(page_id) AS keeper FROM d WHERE payload_bytes >= 1000
+      GROUP BY ALL HAVING count(*) > 1)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN keeper IS NOT NULL AND page_id IS DISTINCT FROM keeper THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM keeper THEN keeper END AS refers_to
+FROM d LEFT JOIN k USING (payload_bytes, payload_digest)""",
     "op2_quality": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, doc_id, text, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS w,
