@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriframe.llm import chat, pii, secrets, urls, warc
+from veriframe.llm import chat, near_duplicates, pii, secrets, urls, warc
 from veriframe.llm.common import table
 from veriframe.llm.decontaminate import contamination
 from veriframe.llm.quality import STOP_WORDS, judge
@@ -46,6 +46,11 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document."""
+    return near_duplicates.classes(table(spark, sf_dir, "documents"))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents and the texts decoded from them, as digests."""
     return digests(table(spark, sf_dir, "documents"), model_path())
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_quality": op2_quality,
     "op3_secrets": op3_secrets,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_urls": op6_urls,
     "op8_pii": op8_pii,
