@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriframe.llm import chat, near_duplicates, pii, secrets, urls, warc
+from veriframe.llm import chat, masked_lm, near_duplicates, pii, secrets, urls, warc
 from veriframe.llm.common import table
 from veriframe.llm.decontaminate import contamination
 from veriframe.llm.quality import STOP_WORDS, judge
@@ -62,6 +62,11 @@ def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudo-log-likelihood of every document under a network trained on all of them."""
+    return masked_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents."""
     return pii.digests(table(spark, sf_dir, "documents"))
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_jaccard_join": op4_jaccard_join,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_urls": op6_urls,
+    "op7_masked_lm": op7_masked_lm,
     "op8_pii": op8_pii,
     "op9_chat": op9_chat,
     "op10_decontaminate": op10_decontaminate,
