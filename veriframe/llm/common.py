@@ -71,8 +71,8 @@ def per_batch(fn: Callable[[list, list], dict], schema: pa.Schema, max_bytes: in
     return run
 
 
-def slices(batch: pa.RecordBatch, name: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
-    """``batch`` in runs of rows whose values in ``name`` sum to about ``max_bytes``."""
+def slices(batch: pa.RecordBatch, name: str | int, max_bytes: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in runs of rows whose values in column ``name`` sum to about ``max_bytes``."""
     sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(name)), 0).to_pylist()
     start = total = 0
     for i, n in enumerate(sizes):

@@ -320,3 +320,32 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id")
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),
     )
+
+
+def clean(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    window: int = WINDOW,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows of ``docs`` without any benchmark window, with all their columns.
+
+    Blocks of the benchmark are applied one after the other, each to the rows the last left;
+    nothing is shuffled. Null texts hold no window and stay.
+    """
+    at = docs.columns.index(text_col)
+    out = docs
+    for block in _blocks(benchmark, item_col, item_text_col, block_bytes):
+        shared = docs.sparkSession.sparkContext.broadcast(Searcher.build(block, window))
+
+        def run(batches, shared=shared):
+            for batch in batches:
+                for part in slices(batch, at, 8 << 20):
+                    _, spans, _ = shared.value.search(part.column(at).to_pylist())
+                    yield part.filter(pa.array([not s for s in spans], pa.bool_()))
+
+        out = out.mapInArrow(run, docs.schema)
+    return out

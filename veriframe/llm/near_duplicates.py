@@ -308,65 +308,106 @@ def _verified(nodes: DataFrame, threshold: Fraction) -> DataFrame:
     return tiles.mapInArrow(run, "a binary, b binary, links bigint")
 
 
-def classes(
-    df: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    threshold: float = THRESHOLD,
-    words: int = WORDS,
-    recall: float = RECALL,
-) -> DataFrame:
-    """Per row: the id, ``class_id``, ``n_links`` and ``n_copies``.
-
-    ``class_id`` is the smallest id of the class, the texts joined by chains of pairs whose sets
-    of ``words``-word shingles have a Jaccard similarity of at least ``threshold``. ``n_links``
-    counts the different sets a text is linked to, ``n_copies`` the rows that share its own.
-    Words are runs of ASCII letters and digits, A-Z lower-cased, and of characters beyond ASCII.
-
-    Texts of fewer words are a single shingle. Null texts and those without words are linked to
-    nothing, not even each other: their class is their own id. Repeated rows share class and
-    counts. Null ids are passed over for ``class_id`` unless a class has no other. Empty tables
-    are fine, other columns are not read.
+def _resolved(
+    df: DataFrame, id_col: str, text_col: str, threshold: float, words: int, recall: float
+) -> tuple[DataFrame, DataFrame]:
+    """(rows with id, text hash and set id; one row per set with its class and counts).
 
-    ``recall`` bounds the chance that a pair at the threshold meets in no tree; pairs of a group
-    joined by other links are verified in any case.
+    Per set: ``_set``, ``_class`` (smallest id of the class), ``_winner`` (id and text hash of
+    the class's first row), ``n_links`` and ``n_copies``.
     """
     importable(df.sparkSession)
     stop, exact = stop_depth(threshold, recall), Fraction(threshold).limit_denominator(1_000)
     rows = durable(_prepared(df, id_col, text_col, words, stop), "signatures")
+    first = F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_hash")
     nodes = (
         rows.filter(F.col("set_id").isNotNull())
         .groupBy("set_id")
         .agg(
             F.first("signature").alias("signature"), F.first("prefixes").alias("prefixes"),
-            F.min("_id").alias("_least"), F.count(F.lit(1)).alias("n_copies"),
-            F.min(F.struct("_id", "_hash")).alias("_pick"),
+            F.min(first).alias("_first"), F.count(F.lit(1)).alias("n_copies"),
         )
     )
     nodes = durable(nodes, "nodes")
     groups = components(_candidate_edges(nodes, stop, threshold - MARGIN))
     chosen = groups.select(F.col("node").alias("set_id"), F.col("root").alias("group")).join(
-        nodes.select("set_id", F.col("_pick._id").alias("_pick_id"), F.col("_pick._hash").alias("_pick_hash")), "set_id"
+        nodes.select("set_id", F.col("_first._id").alias("_pick_id"), F.col("_first._hash").alias("_pick_hash")), "set_id"
     )
     verified = durable(_verified(_with_shingles(df, durable(chosen, "chosen"), id_col, text_col, words), exact), "links")
     links = verified.filter(F.col("b").isNull()).groupBy(F.col("a").alias("set_id")).agg(F.sum("links").alias("n_links"))
     root = components(verified.filter(F.col("b").isNotNull()))
     # Only linked nodes need their class looked up; every other node is a class of its own.
     linked = root.select(F.col("node").alias("set_id"), "root").join(links, "set_id").join(
-        nodes.select("set_id", "_least"), "set_id"
+        nodes.select("set_id", "_first"), "set_id"
     )
     linked = durable(linked, "linked")
-    of_class = linked.groupBy("root").agg(F.min("_least").alias("_class")).hint("rebalance")
-    resolved = linked.join(of_class, "root").select("set_id", "n_links", "_class")
-    per_set = nodes.select("set_id", "_least", "n_copies").join(resolved, "set_id", "left").select(
-        F.col("set_id").alias("_set"), F.coalesce("_class", "_least").alias("_class"),
+    of_class = linked.groupBy("root").agg(F.min("_first").alias("_won")).hint("rebalance")
+    resolved = linked.join(of_class, "root").select("set_id", "n_links", "_won")
+    per_set = nodes.select("set_id", "_first", "n_copies").join(resolved, "set_id", "left")
+    won = F.coalesce("_won", "_first")
+    return rows.select("_id", "_hash", "set_id"), per_set.select(
+        F.col("set_id").alias("_set"), won["_id"].alias("_class"),
+        F.struct(won["_id"].alias("_id"), won["_hash"].alias("_hash")).alias("_winner"),
         F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"), "n_copies",
     )
-    return rows.select("_id", "set_id").join(
-        per_set.hint("rebalance"), F.col("set_id") == F.col("_set"), "left"
-    ).select(
+
+
+def classes(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    threshold: float = THRESHOLD,
+    words: int = WORDS,
+    recall: float = RECALL,
+) -> DataFrame:
+    """Per row: the id, ``class_id``, ``n_links`` and ``n_copies``.
+
+    ``class_id`` is the smallest id of the class, the texts joined by chains of pairs whose sets
+    of ``words``-word shingles have a Jaccard similarity of at least ``threshold``. ``n_links``
+    counts the different sets a text is linked to, ``n_copies`` the rows that share its own.
+    Words are runs of ASCII letters and digits, A-Z lower-cased, and of characters beyond ASCII.
+
+    Texts of fewer words are a single shingle. Null texts and those without words are linked to
+    nothing, not even each other: their class is their own id. Repeated rows share class and
+    counts. Null ids are passed over for ``class_id`` unless a class has no other. Empty tables
+    are fine, other columns are not read.
+
+    ``recall`` bounds the chance that a pair at the threshold meets in no tree; pairs of a group
+    joined by other links are verified in any case.
+    """
+    rows, per_set = _resolved(df, id_col, text_col, threshold, words, recall)
+    return rows.join(per_set.hint("rebalance"), F.col("set_id") == F.col("_set"), "left").select(
         F.col("_id").alias(id_col),
         F.when(F.col("set_id").isNull(), F.col("_id")).otherwise(F.col("_class")).alias("class_id"),
         F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
         F.coalesce("n_copies", F.lit(1).cast("bigint")).alias("n_copies"),
     )
+
+
+def one_of_each(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    threshold: float = THRESHOLD,
+    words: int = WORDS,
+    recall: float = RECALL,
+) -> DataFrame:
+    """The rows of ``df`` that stay when one of each class of :func:`classes` does, all columns kept.
+
+    The row with the smallest id stays, a null one only if there is no other; among equal ids
+    the smallest hash of the text decides. Rows without words all stay. Rows that repeat both id
+    and text stay once.
+    """
+    rows, per_set = _resolved(df, id_col, text_col, threshold, words, recall)
+    several = per_set.filter((F.col("n_copies") > 1) | (F.col("n_links") > 0)).select("_set", "_winner")
+    lost = (
+        rows.join(several.hint("rebalance"), F.col("set_id") == F.col("_set"))
+        .select(F.struct("_id", "_hash").alias("_key"), "_winner")
+        .filter(F.col("_key") != F.col("_winner"))
+        .select("_key").distinct()
+    )
+    keyed = df.select(
+        F.struct(*[col(c) for c in df.columns]).alias("_row"),
+        F.struct(col(id_col).alias("_id"), F.xxhash64(col(text_col).cast("string")).alias("_hash")).alias("_key"),
+    )
+    return keyed.join(durable(lost, "lost"), "_key", "left_anti").dropDuplicates(["_key"]).select("_row.*")

@@ -164,3 +164,17 @@ def judge(
         )
         .withColumn("kept", F.size("failed_rules") == 0)
     )
+
+
+def passing(df: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
+    """The rows of ``df`` that fail no rule, with all their columns, whatever those are called."""
+    rows = df.select(
+        F.struct(*[col(c) for c in df.columns]).alias("_row"), col(text_col).cast("string").alias("_given")
+    )
+    judged = measures(rows, F.col("_given")).withColumns({
+        "_failed": F.size(compiled((*BASE_RULES, *rules))),
+        # The optimiser may not move the filter below a projection that names the partition;
+        # it would put the measures' definitions, words and all, inside one another there.
+        "_partition": F.spark_partition_id(),
+    })
+    return judged.filter((F.col("_failed") == 0) & (F.col("_partition") >= 0)).select("_row.*")

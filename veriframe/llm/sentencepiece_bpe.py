@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from veriframe.llm.common import col, id_and_text, slices
+from veriframe.llm.common import col, free_name, id_and_text, slices
 
 SPACE = "▁"
 REMEMBERED = 300_000  # cuts a worker keeps
@@ -314,3 +314,36 @@ def digests(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "
         return [pa.array(counts, pa.int64()), pa.array(ids_hex), pa.array(text_hex)]
 
     return _mapped(rows, model, schema, arrays)
+
+
+def with_ids(df: DataFrame, model: str, text_col: str = "text") -> DataFrame:
+    """``df`` with ``ids`` (end id last), ``n_tokens`` and ``decoded_sha256``, all other columns kept.
+
+    Where ``df`` has a column of such a name, the new one gets underscores behind its name.
+    """
+    at = df.columns.index(text_col)
+    schema = T.StructType(list(df.schema))
+    for name, kind in (
+        ("ids", T.ArrayType(T.IntegerType())), ("n_tokens", T.LongType()), ("decoded_sha256", T.StringType()),
+    ):
+        schema = schema.add(free_name(df, name), kind)
+    names = schema.fieldNames()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = codec(model)
+        end = str(c.vocabulary.end)
+        for batch in batches:
+            for part in slices(batch, at, 4 << 20):
+                ids, hexes = [], []
+                for e in c.entries([t or "" for t in part.column(at).to_pylist()]):
+                    ids.append(list(map(int, " ".join([*(i for i, _ in e), end]).split(" "))))
+                    hexes.append(hashlib.sha256("".join([t for _, t in e])[1:].encode()).hexdigest())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *part.columns, pa.array(ids, pa.list_(pa.int32())),
+                        pa.array([len(i) for i in ids], pa.int64()), pa.array(hexes, pa.string()),
+                    ],
+                    names=names,
+                )
+
+    return df.mapInArrow(run, schema)
