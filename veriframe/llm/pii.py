@@ -358,14 +358,21 @@ def fitted(windows: list[str]) -> Field:
 
 
 def training_windows(df: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> list[str]:
-    """At most ``sample`` short windows around digits and at signs, chosen by hash over all rows."""
+    """At most ``sample`` short windows around digits and at signs.
+
+    They come from the at most ``sample`` texts with the smallest hashes of those that hold
+    such characters, so all rows are looked at, but windows are cut from the chosen texts only.
+    """
+    text = col(text_col).cast("string")
+    rows = df.select(text.alias("_text"), F.xxhash64(text).alias("_hash")).filter(
+        F.col("_text").rlike(r"@|[0-9]{4}|[0-9]\.[0-9]")
+    )
+    chosen = [r["_hash"] for r in rows.select("_hash").distinct().orderBy("_hash").limit(sample).collect()]
     windows = F.regexp_extract_all(
-        col(text_col).cast("string"),
-        F.lit(r"(?s).{0,40}(?:@|\+[0-9]|[0-9]{4}|[0-9]\.[0-9]).{0,60}"), F.lit(0),
+        "_text", F.lit(r"(?s).{0,40}(?:@|\+[0-9]|[0-9]{4}|[0-9]\.[0-9]).{0,60}"), F.lit(0)
     )
-    found = df.select(F.explode(windows).alias("w")).distinct()
-    rows = found.orderBy(F.xxhash64("w"), "w").limit(sample).collect()
-    return [r["w"] for r in rows]
+    found = rows.filter(F.col("_hash").isin(chosen)).select(F.explode(windows).alias("w")).distinct()
+    return [r["w"] for r in found.orderBy(F.xxhash64("w"), "w").limit(sample).collect()]
 
 
 def all_spans(text: str, field: Field) -> tuple[list[Span], list[Span]]:
