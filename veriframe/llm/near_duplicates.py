@@ -32,6 +32,7 @@ TREES, DEPTH = 16, 8
 RECALL = 0.9995
 MARGIN = 0.25  # a candidate's estimate may lie so far below the threshold (7 standard errors)
 BLOCK = 512  # nodes of a block
+MAP_BITS = 1 << 27  # of the bitmap that picks texts: 16 MiB
 BLOCK_SHINGLES = 1 << 20  # and shingles of a block, on average
 
 _SEEDS = np.random.default_rng(20240229).integers(1, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -237,28 +238,55 @@ def _candidate_edges(nodes: DataFrame, stop: int, least: float) -> DataFrame:
     return tiles.mapInArrow(run, "a binary, b binary")
 
 
+def _marked(chosen: DataFrame) -> np.ndarray:
+    """Bitmap over the hashes of the chosen rows: sixteen bits a row, MAP_BITS at most.
+
+    Spark builds it in pieces of 4 KiB, so at most MAP_BITS / 8 bytes reach the driver.
+    """
+    wanted = max(chosen.count(), 1) * 16
+    bits = min(MAP_BITS, max(1 << 15, 1 << (wanted - 1).bit_length()))
+    at = F.pmod(F.xxhash64("_pick_id", "_pick_hash"), F.lit(bits))
+    pieces = chosen.select(at.alias("at")).groupBy(F.expr("cast(at div 32768 as int)").alias("piece")).agg(
+        F.bitmap_construct_agg(F.col("at") % 32_768).alias("map")
+    )
+    out = np.zeros((bits >> 15, 4_096), np.uint8)
+    for r in pieces.collect():
+        out[r["piece"]] = np.frombuffer(r["map"], np.uint8)
+    return out.ravel()
+
+
 def _with_shingles(df: DataFrame, chosen: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """(group, n, set_id, shingles) of the chosen nodes, from the one text picked for each."""
+    """(group, set_id, n, shingles) of the chosen nodes, from the one text picked for each.
+
+    Texts are not shuffled: a bitmap of bounded size tells the tasks which rows may be picked,
+    and only their shingles meet the chosen nodes. When it is full it lets more rows through,
+    which the join by set removes.
+    """
     text = col(text_col).cast("string")
     rows = df.select(col(id_col).alias("_id"), F.xxhash64(text).alias("_hash"), text.alias("_text"))
-    pick = (rows["_hash"] == chosen["_pick_hash"]) & rows["_id"].eqNullSafe(chosen["_pick_id"])
-    joined = rows.join(chosen, pick).select("group", "set_id", "_text")
+    marks = _marked(chosen)
+    shared = df.sparkSession.sparkContext.broadcast(marks)
+    slot = F.pmod(F.xxhash64("_id", "_hash"), F.lit(len(marks) * 8))
+    rows = rows.select(slot.alias("_slot"), "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
         for batch in batches:
-            for part in slices(batch, "_text", 4 << 20):
-                sets = shingle_sets(part.column("_text").to_pylist(), words)
-                right = pa.array([set_id(s) == i for s, i in zip(sets, part.column("set_id").to_pylist())], pa.bool_())
+            at = batch.column("_slot").to_numpy()
+            marked = batch.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
+            for part in slices(marked, "_text", 4 << 20):
+                sets = [s for s in shingle_sets(part.column("_text").to_pylist(), words) if len(s)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("group"), part.column("set_id"), pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array([set_id(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([s.tobytes() for s in sets], pa.binary()),
                     ],
-                    names=["group", "set_id", "n", "shingles"],
-                ).filter(right)
+                    names=["set_id", "n", "shingles"],
+                )
 
-    made = joined.mapInArrow(run, "group binary, set_id binary, n bigint, shingles binary")
-    return durable(made.dropDuplicates(["set_id"]), "shingles")  # repeated rows give a node twice
+    made = rows.mapInArrow(run, "set_id binary, n bigint, shingles binary")
+    joined = made.join(chosen.select("set_id", "group"), "set_id")
+    return durable(joined.dropDuplicates(["set_id"]), "shingles")  # repeated rows give a node twice
 
 
 def _verified(nodes: DataFrame, threshold: Fraction) -> DataFrame:
