@@ -135,6 +135,9 @@ def measures(df: DataFrame, text: Column) -> DataFrame:
             "aggregate(zip_with(_repeats, slice(_repeats, 2, size(_repeats)), "
             "(a, b) -> least(3L, b - a)), 0L, (n, x) -> n + x)"
         ))
+        # The optimiser moves no filter below a projection that names the partition. Moved there,
+        # a filter would hold the definitions of the arrays inside one another, evaluated per word.
+        .withColumns({m: F.when(F.spark_partition_id() >= 0, F.col(m)) for m in MEASURES})
     )
 
 
@@ -171,10 +174,5 @@ def passing(df: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES
     rows = df.select(
         F.struct(*[col(c) for c in df.columns]).alias("_row"), col(text_col).cast("string").alias("_given")
     )
-    judged = measures(rows, F.col("_given")).withColumns({
-        "_failed": F.size(compiled((*BASE_RULES, *rules))),
-        # The optimiser may not move the filter below a projection that names the partition;
-        # it would put the measures' definitions, words and all, inside one another there.
-        "_partition": F.spark_partition_id(),
-    })
-    return judged.filter((F.col("_failed") == 0) & (F.col("_partition") >= 0)).select("_row.*")
+    judged = measures(rows, F.col("_given"))
+    return judged.filter(F.size(compiled((*BASE_RULES, *rules))) == 0).select("_row.*")
