@@ -81,7 +81,7 @@ def test_incremental_by_batch_number(spark, world):
     early = {**containers, "orders": Container(containers["orders"].df.filter("id < 25"), ["id"])}
     args = {"incremental": True, "incremental_fields": {"orders": "id"}, "names": ["orders"]}
     first = op.run_scan(spark, early, registry, checks, none, "s1", "2024-02-01", **args)
-    assert rows(first.checkpoints) == [("orders", "id", "batch", "24.0")]
+    assert rows(first.checkpoints) == [("orders", "id", "batch", "24")]
     second = op.run_scan(spark, containers, registry, checks, first.anomalies, "s2", "2024-02-02", checkpoints=first.checkpoints, **args)
     assert second.run.first()["records_processed"] == 15
 
@@ -116,3 +116,68 @@ def test_materialize_and_export(spark, world, tmp_path):
     assert list(out) == ["by_cust"] and out["by_cust"].count() == 5
     path = op.run_export({"checks": checks}, registry, "checks", str(tmp_path / "out"), tags=["ref"])
     assert spark.read.parquet(path).count() == 1
+
+
+def big_world(spark, n=10):
+    t = spark.range(n).selectExpr("id + 9007199254740990 as id", "cast(null as string) as v", "id % 2 as p")
+    containers = {"t": Container(t, ["id"], ["p"], ["id"])}
+    registry = spark.createDataFrame([("t", ["x"])], "name string, tags array<string>")
+    return containers, registry, checks_frame(spark, [Check("t", "notNull", ["v"])]), spark.createDataFrame([], an.ANOMALY_COLUMNS)
+
+
+def test_rollup_keeps_counts_and_open_anomalies(spark):
+    world = big_world(spark)
+    single = op.run_scan(spark, *world, "s1", "2024-02-01")
+    rolled = op.run_scan(spark, *world[:3], single.anomalies, "s2", "2024-02-02", high_count_rollup_threshold=5)
+    assert statuses(rolled.anomalies) == {"Active": 11}
+    assert rows(rolled.anomalies.filter("anomaly_type = 'shape'"), "failing_rows") == [(10,)]
+    again = op.run_scan(spark, *world[:3], rolled.anomalies, "s3", "2024-02-03", high_count_rollup_threshold=5)
+    assert statuses(again.anomalies) == {"Active": 11}
+
+
+def test_capped_scan_resolves_and_passes_nothing_unread(spark):
+    world = big_world(spark)
+    first = op.run_scan(spark, *world, "s1", "2024-02-01")
+    capped = op.run_scan(
+        spark, *world[:3], first.anomalies, "s2", "2024-02-02", max_records_analyzed_per_partition=1,
+        incremental=True, incremental_fields={"t": "id"},
+    )
+    assert statuses(capped.anomalies) == {"Active": 10} and capped.checkpoints.count() == 0
+    bare = {"t": Container(world[0]["t"].df, ["id"])}
+    with pytest.raises(ValueError, match="partition columns"):
+        op.run_scan(spark, bare, *world[1:], "s1", "2024-02-01", max_records_analyzed_per_partition=1)
+
+
+def test_marks_keep_every_digit_and_rows_that_arrive_late(spark, tmp_path):
+    containers, registry, checks, none = big_world(spark)
+    path = str(tmp_path / "t")
+    containers["t"].df.limit(0).unionByName(containers["t"].df.filter("id < 9007199254740995")).write.parquet(path)
+    live = {"t": Container(spark.read.parquet(path), ["id"])}
+    args = {"incremental": True, "incremental_fields": {"t": "id"}}
+    first = op.run_scan(spark, live, registry, checks, none, "s1", "2024-02-01", **args)
+    assert rows(first.checkpoints, "high_water") == [("9007199254740994",)]
+    # Two rows arrive, one of them without a value; both are found next time.
+    late = spark.createDataFrame([(9007199254740993 + 4, None, 1), (None, None, 1)], "id bigint, v string, p bigint")
+    late.write.mode("append").parquet(path)
+    live = {"t": Container(spark.read.parquet(path), ["id"])}
+    second = op.run_scan(spark, live, registry, checks, first.anomalies, "s2", "2024-02-02", checkpoints=first.checkpoints, **args)
+    assert second.run.first()["records_processed"] == 2 and rows(second.checkpoints, "high_water") == [("9007199254740997",)]
+    assert second.anomalies.count() == 7
+    given = op.run_scan(spark, live, registry, checks, none, "s3", "2024-02-03", incremental_fields={"t": "id"}, greater_than_batch={"t": 9007199254740992})
+    assert given.run.first()["records_processed"] == 3 and statuses(given.anomalies) == {"Active": 3}
+
+
+def test_references_by_name_and_datastore(spark):
+    left = Container(spark.createDataFrame([(1,), (2,)], "k int"), ["k"])
+    near, far = (Container(spark.createDataFrame([(k,)], "k int"), ["k"]) for k in (1, 2))
+    containers = {"t": left, "ref": near, "other.ref": far}
+    checks = checks_frame(spark, [
+        Check("t", "existsIn", ["k"], {"ref_container_name": "ref", "field_name": "k"}),
+        Check("t", "notExistsIn", ["k"], {"ref_container_name": "ref", "ref_datastore_name": "other", "field_name": "k"}),
+    ])
+    from veriframe.operators.scan import scan
+
+    assert rows(scan(spark, containers, checks), "rule_type", "record_key") == [("existsIn", "2"), ("notExistsIn", "2")]
+    lost = checks_frame(spark, [Check("t", "existsIn", ["k"], {"ref_container": "nowhere", "field_name": "k"})])
+    with pytest.raises(ValueError, match="nowhere"):
+        scan(spark, containers, lost)

@@ -27,11 +27,15 @@ def is_open() -> Column:
 
 
 def new_anomalies(failures: DataFrame, scan_id: str, created: str, weight: int = 1) -> DataFrame:
-    """Active anomalies of a scan, one per fingerprint."""
+    """Active anomalies of a scan, one per fingerprint.
+
+    ``failing_rows`` of the failures, where they have it, says how many rows each stands for.
+    """
     by = ["check_uid", "container", "rule_type", "anomaly_type", "record_key", "fingerprint"]
-    one = failures.groupBy(*by).agg(
-        F.min("message").alias("message"), F.count(F.lit(1)).alias("failing_rows")
-    )
+    stands_for = F.count(F.lit(1))
+    if "failing_rows" in failures.columns:
+        stands_for = F.sum(F.coalesce("failing_rows", F.lit(1).cast("bigint")))
+    one = failures.groupBy(*by).agg(F.min("message").alias("message"), stands_for.alias("failing_rows"))
     return one.select(
         F.sha2(F.concat_ws("|", "fingerprint", F.lit(scan_id)), 256).alias("id"),
         "check_uid", "container", "rule_type", "anomaly_type", "record_key", "message",

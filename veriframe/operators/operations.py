@@ -1,7 +1,7 @@
 """The five operations end to end: sync, profile, scan, materialise, export.
 
-Each takes and returns tables of the registry. What an operation uses more than
-once, it first writes to reliable storage, so the containers are read once.
+Each takes and returns tables of the registry. Results an operation uses more than
+once are first written to reliable storage.
 """
 
 from __future__ import annotations
@@ -89,6 +89,8 @@ def run_scan(
     incremental: bool = False,
     incremental_fields: Mapping[str, str] | None = None,
     checkpoints: DataFrame | None = None,
+    greater_than_time: Mapping[str, str] | None = None,
+    greater_than_batch: Mapping[str, float | str] | None = None,
     auto_resolve_passed_anomalies: bool = True,
     max_records_analyzed_per_partition: int | None = None,
     enrichment_source_record_limit: int | None = None,
@@ -96,23 +98,39 @@ def run_scan(
 ) -> ScanRun:
     """Scan the selected containers and fold the result into the anomaly table.
 
-    Incremental scans read past the stored marks and return the new ones; the
-    references of a check are always read whole.
+    Incremental scans first take the new marks, then read past the stored marks (or the
+    given ``greater_than`` values) and up to the new ones, so rows that arrive meanwhile are
+    left to the next run; rows without a value are read every time. References are always
+    read whole. Under a record cap nothing is resolved and no mark moves, as records
+    were left out. What still fails is not resolved, rolled up or not.
     """
+    capped = max_records_analyzed_per_partition not in (None, -1)
     mine = chosen(containers, registry, names, tags)
     fields = {n: f for n, f in (incremental_fields or {}).items() if n in mine}
     times: dict[str, str] = {}
-    batches: dict[str, float] = {}
+    batches: dict[str, float | str] = {}
     if incremental and checkpoints is not None:
         stored = checkpoints.filter(F.col("container").isin(list(fields)) & F.col("high_water").isNotNull())
         for mark in stored.collect():
             if mark["field"] == fields[mark["container"]]:
                 if mark["kind"] == "batch":
-                    batches[mark["container"]] = float(mark["high_water"])
+                    batches[mark["container"]] = mark["high_water"]
                 else:
                     times[mark["container"]] = mark["high_water"]
+    times.update(greater_than_time or {})
+    batches.update(greater_than_batch or {})
+    kept = checkpoints if checkpoints is not None else spark.createDataFrame([], CHECKPOINT_SCHEMA)
+    moved, up_to = [], {}
+    if incremental and not capped:
+        for n, f in fields.items():
+            moved.append(next_checkpoint(containers[n].df, n, f, _kind(containers[n].df, f), kept))
+        if moved:
+            marks = durable(reduce(DataFrame.unionByName, moved), "marks")
+            up_to = {r["container"]: r["high_water"] for r in marks.collect() if r["high_water"] is not None}
+            kept = marks.unionByName(kept.filter(~F.col("container").isin(list(fields))))
     options = ScanOptions(
-        incremental_fields=fields if incremental else {},
+        incremental_fields=fields if incremental or greater_than_time or greater_than_batch else {},
+        up_to=up_to,
         greater_than_time=times,
         greater_than_batch=batches,
         max_records_per_partition=max_records_analyzed_per_partition,
@@ -121,9 +139,12 @@ def run_scan(
     found = durable(scan(spark, containers, ours, options))
     folded = found
     if high_count_rollup_threshold is not None:
-        folded = an.high_count_rollup(found, high_count_rollup_threshold).drop("failing_rows")
+        folded = durable(an.high_count_rollup(found, high_count_rollup_threshold))
     scanned = active_checks(ours).select("check_uid")
-    after = an.auto_resolve(anomalies, folded, scanned, incremental, auto_resolve_passed_anomalies)
+    # Both as found and as rolled up: an anomaly of either form still fails.
+    failing = found.select("fingerprint").unionByName(folded.select("fingerprint"))
+    partly = incremental or capped or bool(greater_than_time or greater_than_batch)
+    after = an.auto_resolve(anomalies, failing, scanned, partly, auto_resolve_passed_anomalies)
     after = an.merge_failures(after, folded, run_id, created)
     if enrichment_source_record_limit is not None:
         fresh = F.col("scan_id") == run_id
@@ -131,14 +152,6 @@ def run_scan(
         enriched = an.enrich_source_records(after.filter(fresh), sources, enrichment_source_record_limit)
         after = after.filter(~fresh).unionByName(enriched)
     after = durable(after, "anomalies")
-    kept = checkpoints if checkpoints is not None else spark.createDataFrame([], CHECKPOINT_SCHEMA)
-    moved = [
-        next_checkpoint(
-            containers[n].df, n, f, _kind(containers[n].df, f), kept if checkpoints is not None else None
-        )
-        for n, f in fields.items()
-    ]
-    others = kept.filter(~F.col("container").isin(list(fields)))
     totals = scan_summary(mine, ours, found, options).agg(
         F.sum("records_processed").alias("records"), F.sum("failures").alias("failures")
     ).first()
@@ -147,7 +160,7 @@ def run_scan(
         containers_total=len(containers), containers_analyzed=len(mine),
         records_processed=totals["records"], anomalies_identified=totals["failures"],
     )
-    return ScanRun(found, after, reduce(DataFrame.unionByName, moved, others), run)
+    return ScanRun(found, after, kept, run)
 
 
 def _kind(df: DataFrame, name: str) -> str:
@@ -175,7 +188,7 @@ def run_profile(
     level: str | int = "medium",
     infer_as_draft: bool = False,
     options: ScanOptions = ScanOptions(),
-    max_count_testing_sample: int = MAX_TEST_SAMPLE,
+    max_count_testing_sample: int | None = MAX_TEST_SAMPLE,
     percent_testing_threshold: float = 100.0,
     high_correlation_threshold: float = 0.9,
     histogram_max_distinct_values: int = 100,

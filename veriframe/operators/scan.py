@@ -2,7 +2,7 @@
 
 The checks (metadata, a row each) come to the driver because they become the
 plan; data never does. All row rules of a container are evaluated in one pass
-over it, and the same fields share their shuffles.
+over it, as are its row counts; every set rule and every comparison reads it again.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from veriframe.functions.keys import fingerprint, is_covered, record_key
 from veriframe.operators import rules
 from veriframe.operators.registry import active_checks
-from veriframe.sources.readers import incremental_filter
+from veriframe.sources.readers import as_mark, incremental_filter
 from veriframe.sources.sampling import cap_per_partition
 
 FAILURE_SCHEMA = (
@@ -42,8 +42,10 @@ class ScanOptions:
     """How much of a container a scan looks at."""
 
     greater_than_time: Mapping[str, str] = field(default_factory=dict)
-    greater_than_batch: Mapping[str, float] = field(default_factory=dict)
+    greater_than_batch: Mapping[str, float | str] = field(default_factory=dict)
     incremental_fields: Mapping[str, str] = field(default_factory=dict)
+    # Highest value of the incremental field that is looked at, as text; rows without a value are always.
+    up_to: Mapping[str, str] = field(default_factory=dict)
     max_records_per_partition: int | None = None
 
 
@@ -51,12 +53,14 @@ def scanned_rows(name: str, container: Container, options: ScanOptions) -> DataF
     """The rows a scan looks at: incremental first, then the per-partition cap."""
     df = container.df
     if name in options.incremental_fields:
-        df = incremental_filter(
-            df,
-            options.incremental_fields[name],
-            options.greater_than_time.get(name),
-            options.greater_than_batch.get(name),
-        )
+        by = options.incremental_fields[name]
+        after = (options.greater_than_time.get(name), options.greater_than_batch.get(name))
+        if name in options.up_to:
+            df = _between_marks(df, by, *after, options.up_to[name])
+        else:
+            df = incremental_filter(df, by, *after)
+    if options.max_records_per_partition not in (None, -1) and not container.partition_cols:
+        raise ValueError(f"{name} has no partition columns to cap records by")
     if container.partition_cols:
         df = cap_per_partition(
             df,
@@ -67,6 +71,34 @@ def scanned_rows(name: str, container: Container, options: ScanOptions) -> DataF
     return df
 
 
+def _between_marks(df: DataFrame, by: str, time: str | None, batch: float | str | None, last: str) -> DataFrame:
+    """Rows past the old marks and up to the new one, and rows that have no value at all."""
+    kind, value = df.schema[by].dataType.simpleString(), F.col(f"`{by}`")
+    inside = value <= as_mark(F.lit(last), kind)
+    for mark in (time, batch):
+        if mark is not None:
+            inside = inside & (value > as_mark(F.lit(str(mark)), kind))
+    return df.filter(inside | value.isNull())
+
+
+def reference(containers: Mapping[str, Container], check: Row) -> Container:
+    """The container a check refers to.
+
+    ``ref_container`` or ``ref_container_name`` names it; with ``ref_datastore`` or
+    ``ref_datastore_name`` the key ``datastore.container`` comes first, so that stores may
+    hold containers of equal names.
+    """
+    props = check["properties"] or {}
+    name = props.get("ref_container") or props.get("ref_container_name")
+    store = props.get("ref_datastore") or props.get("ref_datastore_name")
+    for key in (f"{store}.{name}", name) if store else (name,):
+        if key in containers:
+            return containers[key]
+    if name is None:
+        raise ValueError(f"{check['check_uid']} names no reference container")
+    raise ValueError(f"{check['check_uid']} refers to {store + '.' if store else ''}{name}, which is not among the containers")
+
+
 def default_message(check: Row) -> str:
     fields = ", ".join(check["fields"] or ())
     return f"{check['rule_type']} failed" + (f" on {fields}" if fields else "")
@@ -132,14 +164,14 @@ def _reference_fields(check: Row) -> list[str]:
 def set_rule_failures(
     name: str, df: DataFrame, keys: Sequence[str], check: Row, containers: Mapping[str, Container]
 ) -> DataFrame:
-    props, fields = check["properties"] or {}, list(check["fields"])
+    fields = list(check["fields"])
     rows = _in_scope(df, check, record_key(df, keys))
     # Key and text are made from failing rows only; with declared keys Catalyst
     # prunes everything else before a shuffle.
     if check["rule_type"] == "unique":
         bad = rules.unique_failures(rows, fields)
     else:
-        ref = containers[props["ref_container"]].df
+        ref = reference(containers, check).df
         test = rules.exists_failures if check["rule_type"] == "existsIn" else rules.not_exists_failures
         bad = test(rows, fields, ref, _reference_fields(check))
     return bad.select(
@@ -249,15 +281,16 @@ def scan(
         parts += [volumetric_failures(name, df, keys, c) for c in _chunks(by_rule.get("volumetric", []))]
         same_scope: dict[tuple, list[Row]] = {}
         for check in by_rule.get("aggregationComparison", []):
-            scope = (check["filter"], check["coverage"], check["properties"]["ref_container"])
+            scope = (check["filter"], check["coverage"], id(reference(containers, check)))
             same_scope.setdefault(scope, []).append(check)
-        for (_, _, ref), group in same_scope.items():
-            parts += [aggregation_failures(name, df, keys, c, containers[ref].df) for c in _chunks(group)]
+        for group in same_scope.values():
+            ref = reference(containers, group[0]).df
+            parts += [aggregation_failures(name, df, keys, c, ref) for c in _chunks(group)]
         for rule in rules.SET_RULES:
             parts += [set_rule_failures(name, df, keys, c, containers) for c in by_rule.get(rule, [])]
         for rule in ("isReplicaOf", "dataDiff"):
             for check in by_rule.get(rule, []):
-                ref = containers[check["properties"]["ref_container"]].df
+                ref = reference(containers, check).df
                 parts.append(difference_failure(name, df, keys, check, ref))
     if not parts:
         return spark.createDataFrame([], FAILURE_SCHEMA)

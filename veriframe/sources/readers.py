@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,19 +38,18 @@ def file_scan(
         .option("emptyValue", "")
         .option("escape", escape or '"')
     )
-    if schema is not None:
-        return reader.schema(schema).csv(path)
-    df = reader.csv(path)
-    texts = df.columns
+    df = reader.schema(schema).csv(path) if schema is not None else reader.csv(path)
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
     # Spark reads a bare empty cell as null and a quoted one as "".
     empty = F.lit("")
     df = df.select(
         *[
             (F.nullif if empty_as_null else F.coalesce)(F.col(f"`{c}`"), empty).alias(c)
-            for c in texts
+            if c in texts else F.col(f"`{c}`")
+            for c in df.columns
         ]
     )
-    if infer:
+    if infer and schema is None:
         from veriframe.operators.profile import cast_inferred
 
         df = cast_inferred(df, texts)
@@ -109,21 +108,35 @@ def incremental_filter(
     df: DataFrame,
     field: str,
     greater_than_time: str | None = None,
-    greater_than_batch: float | None = None,
+    greater_than_batch: float | str | None = None,
 ) -> DataFrame:
-    """Rows past a time or batch value. A plain comparison, so it reaches the scan."""
+    """Rows past a time or batch value. A plain comparison, so it reaches the scan.
+
+    A batch value given as text is compared in the type of the field.
+    """
     col = F.col(f"`{field}`")
     if greater_than_time is not None:
         kind = df.schema[field].dataType
         df = df.filter(col > F.lit(greater_than_time).cast(kind))
     if greater_than_batch is not None:
-        df = df.filter(col > F.lit(greater_than_batch))
+        value = F.lit(greater_than_batch)
+        if isinstance(greater_than_batch, str):
+            value = as_mark(value, df.schema[field].dataType.simpleString())
+        df = df.filter(col > value)
     return df
 
 
 CHECKPOINT_SCHEMA = "container string, field string, kind string, high_water string"
 
 
+def as_mark(text: Column, kind: str) -> Column:
+    """A stored mark in the type of its field; a whole number may be written with a decimal point."""
+    return F.coalesce(text.try_cast(kind), text.try_cast("decimal(38,10)").cast(kind) if kind in WHOLE else F.lit(None).cast(kind))
+
+
+WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
 def next_checkpoint(
     df: DataFrame,
     container: str,
@@ -133,14 +146,15 @@ def next_checkpoint(
 ) -> DataFrame:
     """High-water mark of a container after reading ``df``; never moves back.
 
-    ``kind`` is ``last-modified`` (time) or ``batch`` (number). The mark is kept
-    as text and compared as its kind.
+    ``kind`` is ``last-modified`` (time) or ``batch`` (number). The mark is kept as
+    text; times are compared as such, numbers in the type of the field, so that no
+    digit is lost.
     """
-    as_kind = {"last-modified": "timestamp_ntz", "batch": "double"}[kind]
+    as_kind = {"last-modified": "timestamp_ntz", "batch": df.schema[field].dataType.simpleString()}[kind]
     seen = df.agg(F.max(F.col(f"`{field}`")).cast(as_kind).alias("v"))
     if previous is not None:
         mine = previous.filter((F.col("container") == container) & (F.col("field") == field))
-        seen = seen.unionByName(mine.select(F.col("high_water").cast(as_kind).alias("v")))
+        seen = seen.unionByName(mine.select(as_mark(F.col("high_water"), as_kind).alias("v")))
     return seen.agg(F.max("v").alias("v")).select(
         F.lit(container).alias("container"),
         F.lit(field).alias("field"),
@@ -155,5 +169,5 @@ def read_past_checkpoint(df: DataFrame, field: str, checkpoint: DataFrame) -> Da
     The mark is a scalar subquery, so the scan still sees a simple comparison.
     """
     kind = df.schema[field].dataType
-    mark = checkpoint.select(F.max("high_water").cast(kind)).scalar()
+    mark = checkpoint.select(F.max(as_mark(F.col("high_water"), kind.simpleString()))).scalar()
     return df.filter(mark.isNull() | (F.col(f"`{field}`") > mark))
