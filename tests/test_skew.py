@@ -169,3 +169,23 @@ def test_input_bytes(spark, tmp_path):
     assert 0 < skew.input_bytes(df) < 10_000
     assert skew.input_bytes(df.crossJoin(df.withColumnRenamed("id", "b"))) == 2 * skew.input_bytes(df)
     assert skew.input_bytes(spark.createDataFrame([(1,)], "a int")) is None
+
+
+def test_lookups_read_their_input_once(spark, no_broadcast, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).selectExpr("id", "if(id % 3 = 0, null, id % 7) as k").write.parquet(path)
+    df = spark.read.parquet(path)
+    ref = spark.createDataFrame([(i, f"v{i}") for i in range(4)], "k bigint, v string")
+    out = df
+    for i in range(3):
+        out = skew.lookup(out, ["k"], ref.selectExpr("k", f"v as v{i}"), ["k"])
+    out = skew.rows_outside(out, ["k"], ref.filter("k = 1"), ["k"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 1
+    assert out.count() == 1000 - sum(i % 3 != 0 and i % 7 == 1 for i in range(1000))
+    assert out.filter("k is null").count() == 334 and out.filter("v2 is not null").count() == sum(
+        i % 3 != 0 and i % 7 in (0, 2, 3) for i in range(1000)
+    )
+    # Rows without a key are spread, not gathered.
+    spread = df.withColumn("_apart", skew._apart(["k"])).repartition(50).filter("k is null")
+    assert spread.select("_apart").distinct().count() >= 1

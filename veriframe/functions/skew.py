@@ -161,19 +161,51 @@ def rows_by_membership(
     return attach(rows, flagged, on, keep="_keep").select(*[F.col(f"`{c}`") for c in df.columns])
 
 
+def _apart(on: Sequence[str]) -> Column:
+    """0 for rows with a whole key; rows with a null in it get a number from the partition they are read in.
+
+    As a further join key it spreads rows that match nothing over the tasks, so that they can
+    stay in the same pass as the others.
+    """
+    spread = F.pmod(F.spark_partition_id(), F.lit(SLOTS)) + 1
+    return F.when(not_null(on), F.lit(0)).otherwise(spread)
+
+
+def _zero(name: str) -> Column:
+    """0, computed from the key so that the optimiser keeps it as a join key."""
+    return F.hash(F.col(name)).bitwiseAND(F.lit(0))
+
+
 def rows_outside(df: DataFrame, on: Sequence[str], ref: DataFrame, ref_on: Sequence[str]) -> DataFrame:
-    """Rows whose key is not in ``ref``, rows with a null key included (an anti join)."""
+    """Rows whose key is not in ``ref``, rows with a null key included (an anti join); ``df`` is read once.
+
+    In a session that does not split joins at run time, it is read once more for the counts
+    of its keys and once for its null keys.
+    """
+    names = [f"_r{i}" for i in range(len(ref_on))]
+    members = (
+        ref.filter(not_null(ref_on)).select(*[F.col(f"`{c}`").alias(k) for c, k in zip(ref_on, names)])
+    )
+    if fits_broadcast(members):
+        return df.join(members, _same(df, members, on, names), "left_anti")
+    if adaptive_skew(df):
+        slice_ = F.pmod(F.spark_partition_id(), F.lit(THIN))
+        thin = members.withColumn("_slice", slice_).distinct().drop("_slice").withColumn("_zero", _zero(names[0]))
+        rows = df.withColumn("_apart", _apart(on))
+        same = _same(rows, thin, on, names) & (rows["_apart"] == thin["_zero"])
+        return rows.join(thin, same, "left_anti").drop("_apart")
     known = rows_by_membership(df, on, ref, ref_on, present=False)
     return known.unionByName(df.filter(~not_null(on)))
 
 
 def lookup(df: DataFrame, on: Sequence[str], ref: DataFrame, ref_on: Sequence[str]) -> DataFrame:
-    """Left join of ``df`` with the other columns of ``ref``, unique on ``ref_on``.
+    """Left join of ``df`` with the other columns of ``ref``, unique on ``ref_on``; ``df`` is read once.
 
     A reference Catalyst can broadcast is joined directly. Beyond that rows with
-    a null key, which match nothing, are not shuffled, and hot keys are split at
+    a null key, which match nothing, are spread over the tasks, and hot keys are split at
     run time: the reference is rebalanced first, so that it too is a plain
-    shuffle. In a session that does not split joins hot keys are salted.
+    shuffle. In a session that does not split joins hot keys are salted, which takes
+    further reads for the counts of the keys and for the null keys.
     """
     names = [f"_r{i}" for i in range(len(ref_on))]
     extra = [c for c in ref.columns if c not in ref_on]
@@ -182,14 +214,15 @@ def lookup(df: DataFrame, on: Sequence[str], ref: DataFrame, ref_on: Sequence[st
     )
     if fits_broadcast(side):
         return df.join(side, _same(df, side, on, names), "left").drop(*names)
-    keyed = df.filter(not_null(on))
     if adaptive_skew(df):
-        side = side.hint("rebalance")
-        known = keyed.join(side, _same(keyed, side, on, names), "left").drop(*names)
-    else:
-        counts = key_counts(df, on)
-        found = counts.join(side, _same(counts, side, on, names), "left").drop(*names)
-        known = attach(keyed, found, on).drop("_n")
+        side = side.withColumn("_zero", _zero(names[0])).hint("rebalance")
+        rows = df.withColumn("_apart", _apart(on))
+        same = _same(rows, side, on, names) & (rows["_apart"] == side["_zero"])
+        return rows.join(side, same, "left").drop(*names, "_apart", "_zero")
+    keyed = df.filter(not_null(on))
+    counts = key_counts(df, on)
+    found = counts.join(side, _same(counts, side, on, names), "left").drop(*names)
+    known = attach(keyed, found, on).drop("_n")
     return known.unionByName(df.filter(~not_null(on)), allowMissingColumns=True)
 
 
