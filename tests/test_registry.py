@@ -267,8 +267,17 @@ def test_lineage_with_cycle(spark):
     assert ("a", "a", 3) in out and ("c", "d", 3) in out and len(out) == 12
 
 
-def test_lineage_too_deep(spark):
+def test_lineage_has_no_depth_limit(spark):
     chain = spark.createDataFrame([(str(i), str(i + 1)) for i in range(6)], "child string, parent string")
     assert lineage.lineage_closure(chain).count() == 21
-    with pytest.raises(ValueError):
-        lineage.lineage_closure(chain, max_depth=3)
+
+
+def test_repeated_changes_and_map_order(spark):
+    old = spark.createDataFrame([(1, "a", "b"), (2, "c", "d")], "id int, x string, y string")
+    changes = spark.createDataFrame(
+        [(1, "n", None, ["x"]), (1, None, "m", ["y"]), (1, "k", None, ["x"])], "id int, x string, y string, present array<string>"
+    )
+    assert rows(reg.merge_update(old, changes, "id", ["x", "y"])) == [(1, "n", "m"), (2, "c", "d")]
+    one = spark.sql("select 1 id, map('a', 1, 'b', 2) m")
+    two = spark.sql("select 1 id, map('b', 2, 'a', 1) m")
+    assert rows(reg.registry_diff(one, two, ["id"])) == [(1, "unchanged")]

@@ -122,3 +122,19 @@ def test_formatted_number(spark, text, want):
 
 def test_name_key(spark):
     assert one(spark, "  ACME,  Inc. ", name_key) == "acme inc"
+
+
+def test_keys_do_not_collide(spark):
+    from veriframe.functions.keys import hash_slot, is_covered, record_key
+
+    pairs = [("x\\", "y|z"), ("x|y\\", "z"), ("\\N", "z"), (None, "z"), ("x\\|y\\", "z")]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    assert df.select(record_key(df, ["a", "b"]).alias("k")).distinct().count() == 5
+    assert df.select(record_key(df, ["a"]).alias("k")).distinct().count() == 5
+    maps = spark.sql("select map('a', 1, 'b', 2) m, array(map('x', 1, 'y', 2)) l union all select map('b', 2, 'a', 1), array(map('y', 2, 'x', 1))")
+    assert maps.select(record_key(maps).alias("k")).distinct().count() == 1
+    n = spark.range(200_000).select(F.col("id").cast("string").alias("id"))
+    drawn = n.filter(is_covered(F.col("id"), 0.0004)).count()
+    assert 40 < drawn < 130
+    assert n.filter(is_covered(F.col("id"), 0.9996)).count() < 200_000
+    assert n.agg(F.max(hash_slot(F.col("id")))).first()[0] > 1 << 31

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ def lineage_edges(containers: DataFrame) -> DataFrame:
     )
 
 
-def lineage_closure(edges: DataFrame, max_depth: int = 64) -> DataFrame:
+def lineage_closure(edges: DataFrame) -> DataFrame:
     """``child, ancestor, depth`` for all reachable ancestors, shortest depth.
 
     One round per level, bounded by the depth of the graph; each round only
@@ -35,7 +37,7 @@ def lineage_closure(edges: DataFrame, max_depth: int = 64) -> DataFrame:
     closed = durable(pairs.withColumn("depth", F.lit(1)))
     frontier = closed.drop("depth")
     up = frontier.select(F.col("child").alias("_via"), F.col("parent").alias("_up"))
-    for depth in range(2, max_depth + 1):
+    for depth in count(2):
         longer = (
             frontier.join(up, frontier["parent"] == up["_via"])
             .select("child", F.col("_up").alias("parent"))
@@ -51,4 +53,3 @@ def lineage_closure(edges: DataFrame, max_depth: int = 64) -> DataFrame:
             return closed.withColumnRenamed("parent", "ancestor")
         closed = closed.unionByName(fresh.withColumn("depth", F.lit(depth)))
         frontier = fresh
-    raise ValueError(f"lineage is deeper than {max_depth} levels")

@@ -8,6 +8,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veriframe.functions.keys import in_order
 from veriframe.functions.skew import attach, group_index, lookup, rows_outside
 from veriframe.functions.text import check_uid, rule_and_fields, slugify
 from veriframe.operators.rules import CROSS_REFERENCE_RULES
@@ -382,10 +383,25 @@ def import_checks(
     return kept.unionByName(created).unionByName(bare), plan
 
 
+def _last(name: str, given: Column | None = None) -> Column:
+    """Of the non-null (and given) values of a group the last one in order of its JSON text."""
+    told = F.col(name).isNotNull() if given is None else F.col(name).isNotNull() & given
+    return F.max_by(F.col(name), F.when(told, F.to_json(F.struct(name)))).alias(name)
+
+
 def merge_update(
     existing: DataFrame, changes: DataFrame, key: str, fields: Sequence[str], present: str = "present"
 ) -> DataFrame:
-    """Overlay changes on stored rows: a field named in ``present`` wins, even null."""
+    """Overlay changes on stored rows: a field named in ``present`` wins, even null.
+
+    Several changes of one key are folded into one: per field the given value that comes
+    last in order of its JSON text, and null only where none gives another.
+    """
+    named = F.coalesce(F.col(present), F.array().cast("array<string>"))
+    changes = changes.groupBy(key).agg(
+        F.array_distinct(F.flatten(F.collect_list(named))).alias(present),
+        *[_last(f, F.array_contains(named, f)) for f in fields if f not in (key, present)],
+    )
     new = changes.select(
         F.col(key).alias("_key"), F.col(present).alias("_present"),
         *[F.col(f).alias(f"_{f}") for f in fields],
@@ -424,6 +440,8 @@ def merge_container_update(existing: DataFrame, changes: DataFrame, key: str) ->
     new = changes.select(
         F.col(key).alias("_key"), *[F.col(c).alias(f"_{c}") for c in names if c in changes.columns]
     )
+    # Several changes of one key count as one, folded as in merge_update.
+    new = new.groupBy("_key").agg(*[_last(c) for c in new.columns if c != "_key"])
     joined = existing.join(new, existing[key] == new["_key"], "inner")
     sql_mode = F.lit(False)
     for c in ("query", "sources"):
@@ -451,7 +469,7 @@ def registry_diff(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFra
     key = list(key)
 
     def hashed(df: DataFrame, side: str) -> DataFrame:
-        body = F.struct(*[F.col(c) for c in sorted(df.columns) if c not in key])
+        body = F.struct(*[in_order(df, c) for c in sorted(df.columns) if c not in key])
         digest = F.sha2(F.to_json(body, {"ignoreNullFields": "false"}), 256)
         return df.select(*key, digest.alias("_h"), F.lit(side).alias("_side"))
 

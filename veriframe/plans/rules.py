@@ -198,7 +198,7 @@ QUERIES = {
 }
 
 _KEY = "CAST(o_orderkey AS VARCHAR)"
-_HASH = f"('0x' || substr(md5({_KEY}), 1, 8))::BIGINT % 10000"
+_HASH = f"('0x' || substr(md5({_KEY}), 1, 8))::BIGINT"
 
 
 def failing(uid: str, where: str, source: str | None = None) -> str:
@@ -274,9 +274,9 @@ ORACLES = {
         "orders__unique__o_orderdate", "n > 1",
         "(SELECT *, count(*) OVER (PARTITION BY o_orderdate) AS n FROM orders WHERE o_totalprice > 490000)",
     ),
-    "check_coverage": failing("orders__notnull__o_orderpriority", f"o_orderpriority IS NULL AND {_HASH} < 2500")
+    "check_coverage": failing("orders__notnull__o_orderpriority", f"o_orderpriority IS NULL AND {_HASH} < 1073741824")
     + " UNION ALL "
-    + failing("orders__between__o_totalprice", f"o_totalprice > 200000 AND {_HASH} < 5000"),
+    + failing("orders__between__o_totalprice", f"o_totalprice > 200000 AND {_HASH} < 2147483648"),
     "anomaly_message": f"""
         SELECT {_KEY} AS record_key, coalesce(o_orderpriority, 'too dear') AS message
         FROM {duck(HOLED)} h WHERE o_totalprice > 300000""",

@@ -216,7 +216,7 @@ ORACLES = {
                row_count, null_count FROM n JOIN d ON n.field = d.field""",
     "table_sample": """
         SELECT o_orderkey, o_custkey, o_totalprice FROM orders
-        WHERE ('0x' || substr(md5('7|' || CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT % 10000 < 1000""",
+        WHERE ('0x' || substr(md5('7|' || CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT < 429496730""",
     "view_sample": """
         SELECT o_orderkey, o_custkey FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR)) LIMIT 100""",
     "incremental_filter": """

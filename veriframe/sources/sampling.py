@@ -23,7 +23,7 @@ def table_sample(
     if key is None:
         return df.sample(fraction=pct / 100, seed=seed)
     salted = F.concat_ws("|", F.lit(str(seed)), record_key(df, key))
-    return df.filter(hash_slot(salted) < F.lit(round(pct / 100 * COVERAGE_STEPS)))
+    return df.filter(hash_slot(salted) < F.lit(round(pct / 100 * COVERAGE_STEPS)).cast("bigint"))
 
 
 def view_sample(df: DataFrame, n: int, key: Sequence[str] = ()) -> DataFrame:
