@@ -74,3 +74,15 @@ def test_single_file_container(spark, folder):
 
     one = sorted(glob.glob(f"{folder}/*.parquet"))[0]
     assert streams.stream_container(spark, one).isStreaming
+
+
+def test_checks_a_stream_cannot_run_are_refused(spark):
+    import pytest
+    from veriframe.operators.registry import Check, checks_frame
+    from veriframe.streaming.streams import stream_scan
+
+    df = spark.createDataFrame([(1,)], "k int")
+    with pytest.raises(ValueError, match="unique"):
+        stream_scan(df, "t", ["k"], checks_frame(spark, [Check("t", "notNull", ["k"]), Check("t", "unique", ["k"])]))
+    with pytest.raises(ValueError, match="nothing"):
+        stream_scan(df, "t", ["k"], checks_frame(spark, [Check("u", "notNull", ["k"])]))

@@ -113,10 +113,12 @@ def error_query_check(
     description: str | None = None,
     as_draft: bool = True,
     tags: Sequence[str] = (),
+    rule_id: str | None = None,
 ) -> Check:
     """The check of an error query: every returned row is an anomaly.
 
-    Only the analysed schema of the query is needed.
+    Only the analysed schema of the query is needed. The id of the rule the query comes
+    from goes into the metadata.
     """
     return Check(
         container=container,
@@ -130,6 +132,7 @@ def error_query_check(
         additional_metadata={
             "computed_table_name": container,
             "original_description": description or "",
+            **({"rule_id": rule_id} if rule_id else {}),
         },
     )
 

@@ -14,7 +14,7 @@ from veriframe.sources.bounds import row_count
 from veriframe.sources.sampling import view_sample
 
 LEVELS = ("off", "low", "medium", "high", "xhigh", "max")
-MAX_TEST_SAMPLE = 100_000
+MAX_TEST_SAMPLE = None  # records tried per container; None is all of them
 
 
 def level_name(level: str | int) -> str:
@@ -102,18 +102,21 @@ def test_inferred(
     spark: SparkSession,
     containers: Mapping[str, Container],
     checks: DataFrame,
-    max_count_testing_sample: int = MAX_TEST_SAMPLE,
+    max_count_testing_sample: int | None = MAX_TEST_SAMPLE,
     percent_testing_threshold: float = 100.0,
 ) -> DataFrame:
     """Candidates that pass on a sample, with ``pass_percent``.
 
     The sample is a repeatable random draw per container of at most the given
-    number of records, itself limited to 100,000. References stay whole.
+    number of records, or the whole container. References stay whole. A check of a
+    whole container passes at 100 or fails at 0.
     """
-    if not 1 <= max_count_testing_sample <= MAX_TEST_SAMPLE:
-        raise ValueError(f"the testing sample is limited to {MAX_TEST_SAMPLE} records")
+    if max_count_testing_sample is not None and max_count_testing_sample < 1:
+        raise ValueError("the testing sample needs at least one record")
     samples = {
-        name: Container(view_sample(c.df, max_count_testing_sample, c.keys), c.keys)
+        name: Container(
+            c.df if max_count_testing_sample is None else view_sample(c.df, max_count_testing_sample, c.keys), c.keys
+        )
         for name, c in containers.items()
     }
     refs = {f"{name} (all)": c for name, c in containers.items()}
@@ -123,13 +126,15 @@ def test_inferred(
     # Draft candidates are tried like active ones.
     trial = checks.withColumn("status", F.lit("Active")).withColumn("properties", props)
     failures = scan(spark, {**samples, **refs}, trial)
-    failed = failures.groupBy("check_uid").agg(F.count(F.lit(1)).alias("_failed"))
+    failed = failures.groupBy("check_uid").agg(
+        F.count(F.lit(1)).alias("_failed"), F.bool_or(F.col("anomaly_type") == "shape").alias("_shape")
+    )
     sizes = reduce(
         DataFrame.unionByName,
         [row_count(c.df).withColumn("_name", F.lit(name)) for name, c in samples.items()],
     )
     out = checks.join(sizes, checks["container"] == sizes["_name"], "inner").join(failed, "check_uid", "left")
-    share = F.when(F.col("row_count") == 0, 100.0).otherwise(
+    share = F.when(F.col("_shape"), 0.0).when(F.col("row_count") == 0, 100.0).otherwise(
         100.0 * (1 - F.coalesce("_failed", F.lit(0)) / F.col("row_count"))
     )
     return out.withColumn("pass_percent", share).filter(

@@ -46,9 +46,16 @@ def _as_given(df: DataFrame, ts: str, col: Column) -> Column:
 
 
 def stream_scan(stream: DataFrame, container: str, keys: Sequence[str], checks: DataFrame) -> DataFrame:
-    """Failures of the active row rules; stateless, so nothing is kept between batches."""
+    """Failures of the active row rules; stateless, so nothing is kept between batches.
+
+    Checks that need other rows than the one at hand, and an absence of checks, are refused
+    by name: scan the batches of the stream (``foreachBatch``) for them.
+    """
     mine = active_checks(checks).filter(F.col("container") == container).collect()
     rows = sorted((c for c in mine if c["rule_type"] in ROW_RULES), key=lambda c: c["check_uid"])
+    others = sorted(c["check_uid"] for c in mine if c["rule_type"] not in ROW_RULES)
+    if others or not rows:
+        raise ValueError(f"a stream of {container} cannot be checked for {', '.join(others) or 'nothing'}")
     out = row_rule_failures(container, stream, keys, rows)
     return out.withColumn("fingerprint", fingerprint(F.col("check_uid"), F.col("record_key")))
 
