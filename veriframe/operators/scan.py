@@ -84,13 +84,16 @@ def _between_marks(df: DataFrame, by: str, time: str | None, batch: float | str
 def reference(containers: Mapping[str, Container], check: Row) -> Container:
     """The container a check refers to.
 
-    ``ref_container`` or ``ref_container_name`` names it; with ``ref_datastore`` or
-    ``ref_datastore_name`` the key ``datastore.container`` comes first, so that stores may
-    hold containers of equal names.
+    ``ref_container``, or ``_name`` or ``_id`` behind it, names it; with ``ref_datastore`` (the
+    same endings) the key ``datastore.container`` comes first, so that stores may hold
+    containers of equal names. Stored checks carry ids: key the containers by them then.
     """
     props = check["properties"] or {}
-    name = props.get("ref_container") or props.get("ref_container_name")
-    store = props.get("ref_datastore") or props.get("ref_datastore_name")
+    endings = ("", "_name", "_id")
+    name, store = (
+        next((props[f"{stem}{e}"] for e in endings if props.get(f"{stem}{e}")), None)
+        for stem in ("ref_container", "ref_datastore")
+    )
     for key in (f"{store}.{name}", name) if store else (name,):
         if key in containers:
             return containers[key]

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veriframe.operators import anomalies as an
-from veriframe.operators.registry import Check, checks_frame
+from veriframe.operators.operations import run_scan
+from veriframe.operators.registry import Check, checks_frame, resolve_refs
 from veriframe.operators.scan import (
     Container,
     ScanOptions,
@@ -232,7 +233,73 @@ def q_run_history(spark: SparkSession, sf: str) -> DataFrame:
     return scans.select(*pick).unionAll(stuck.select(*pick))
 
 
+COSTLY = Check("orders", "between", ["o_totalprice"], {"max_value": 300000})
+
+
+def _run(spark: SparkSession, orders: Container, run_id: str, known: DataFrame | None = None, **options):
+    registry = spark.createDataFrame([("orders", ["daily"])], "name string, tags array<string>")
+    known = known if known is not None else spark.createDataFrame([], an.ANOMALY_COLUMNS)
+    return run_scan(
+        spark, {"orders": orders}, registry, checks_frame(spark, [COSTLY]), known, run_id, "2024-01-01", **options
+    )
+
+
+def q_run_scan_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    orders = Container(table(spark, sf, "orders"), ["o_orderkey"])
+    first = _run(spark, orders, "s1")
+    second = _run(spark, orders, "s2", first.anomalies, high_count_rollup_threshold=5)
+    return second.anomalies.groupBy("anomaly_type", "status").agg(
+        F.count(F.lit(1)).alias("anomalies"), F.sum("failing_rows").alias("failing_rows")
+    )
+
+
+def q_run_scan_capped(spark: SparkSession, sf: str) -> DataFrame:
+    orders = Container(table(spark, sf, "orders"), ["o_orderkey"], ["o_orderstatus"], ["o_orderkey"])
+    first = _run(spark, orders, "s1")
+    second = _run(spark, orders, "s2", first.anomalies, max_records_analyzed_per_partition=2)
+    return second.anomalies.groupBy("status").agg(F.count(F.lit(1)).alias("anomalies"))
+
+
+def q_run_scan_incremental_batch(spark: SparkSession, sf: str) -> DataFrame:
+    orders = table(spark, sf, "orders")
+    args = {"incremental": True, "incremental_fields": {"orders": "o_orderkey"}}
+    first = _run(spark, Container(orders.filter("o_orderkey <= 500"), ["o_orderkey"]), "s1", **args)
+    second = _run(
+        spark, Container(orders, ["o_orderkey"]), "s2", first.anomalies, checkpoints=first.checkpoints, **args
+    )
+    runs = [
+        r.run.select("id", "records_processed", "anomalies_identified").join(r.checkpoints.select("high_water"))
+        for r in (first, second)
+    ]
+    return runs[0].unionByName(runs[1])
+
+
+def q_registry_round_trip_scan(spark: SparkSession, sf: str) -> DataFrame:
+    named = checks_frame(
+        spark,
+        [
+            Check("orders", "existsIn", ["o_custkey"],
+                  {"ref_container_name": "customer", "ref_datastore_name": "second", "field_name": "c_custkey"}),
+            Check("orders", "notExistsIn", ["o_custkey"], {"ref_container_name": "customer", "field_name": "c_custkey"}),
+        ],
+    ).withColumn("datastore_id", F.lit(1))
+    stores = spark.createDataFrame([(1, "first"), (2, "second")], "id int, name string")
+    known = spark.createDataFrame([(10, "customer", 1), (11, "customer", 2)], "id int, name string, datastore_id int")
+    stored = resolve_refs(named, known, stores).drop("error", "datastore_id")
+    containers = {
+        "orders": Container(frame(spark, sf, HOLED), ["o_orderkey"]),
+        "10": Container(table(spark, sf, "customer"), ["c_custkey"]),
+        "2.11": Container(frame(spark, sf, BUILDING), ["c_custkey"]),
+    }
+    failures = scan(spark, containers, stored)
+    return failures.groupBy("rule_type").agg(F.count(F.lit(1)).alias("failures"))
+
+
 QUERIES = {
+    "run_scan_rollup": q_run_scan_rollup,
+    "run_scan_capped": q_run_scan_capped,
+    "run_scan_incremental_batch": q_run_scan_incremental_batch,
+    "registry_round_trip_scan": q_registry_round_trip_scan,
     "scan": q_scan,
     "record_anomalies": q_record_anomalies,
     "shape_anomalies": q_shape_anomalies,
@@ -312,6 +379,20 @@ _LATE = f"(SELECT * FROM {_H} h0 WHERE o_orderdate > TIMESTAMP '1997-01-01')"
 _NEWEST = f"(SELECT * FROM {_H} h0 WHERE o_orderdate > TIMESTAMP '2000-06-30')"
 
 ORACLES = {
+    "run_scan_rollup": """
+        SELECT 'record' AS anomaly_type, 'Active' AS status, count(*) AS anomalies, count(*) AS failing_rows
+        FROM orders WHERE o_totalprice > 300000
+        UNION ALL SELECT 'shape', 'Active', 1, count(*) FROM orders WHERE o_totalprice > 300000 HAVING count(*) > 5""",
+    "run_scan_capped": "SELECT 'Active' AS status, count(*) AS anomalies FROM orders WHERE o_totalprice > 300000",
+    "run_scan_incremental_batch": """
+        SELECT 's1' AS id, count(*) AS records_processed, CAST(count_if(o_totalprice > 300000) AS BIGINT) AS anomalies_identified,
+               CAST(max(o_orderkey) AS VARCHAR) AS high_water FROM orders WHERE o_orderkey <= 500
+        UNION ALL SELECT 's2', CAST(count_if(o_orderkey > 500) AS BIGINT), CAST(count_if(o_orderkey > 500 AND o_totalprice > 300000) AS BIGINT),
+               CAST(max(o_orderkey) AS VARCHAR) FROM orders""",
+    "registry_round_trip_scan": f"""
+        SELECT 'existsIn' AS rule_type, count(*) AS failures FROM {duck(HOLED)}
+        WHERE o_custkey IS NOT NULL AND o_custkey NOT IN {duck(BUILDING)}
+        UNION ALL SELECT 'notExistsIn', count(*) FROM {duck(HOLED)} WHERE o_custkey IN (SELECT c_custkey FROM customer)""",
     "scan": f"""
         SELECT check_uid, rule_type, 'record' AS anomaly_type, failures FROM ({_order_checks(_H)} UNION ALL {_LINE_CHECKS}) WHERE failures > 0
         UNION ALL SELECT 'orders__volumetric', 'volumetric', 'shape', 1 FROM orders HAVING count(*) > 100""",
