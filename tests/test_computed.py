@@ -173,3 +173,14 @@ def test_bad_definitions(spark):
     ):
         with pytest.raises(ValueError):
             fields.apply_computed_fields(df, [bad])
+
+
+def test_computed_tables_leave_the_session_as_it_was(spark):
+    from veriframe.operators.computed import computed_table
+
+    spark.range(3).createOrReplaceTempView("kept_view")
+    one = computed_table(spark, {"kept_view": spark.range(1), "fresh_view": spark.range(2)}, "SELECT a.id FROM kept_view a, fresh_view b")
+    two = computed_table(spark, {"kept_view": spark.range(7)}, "SELECT id FROM kept_view")
+    assert (one.count(), two.count(), spark.table("kept_view").count()) == (2, 7, 3)
+    assert not spark.catalog.tableExists("fresh_view")
+    spark.catalog.dropTempView("kept_view")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from veriframe.functions.keys import fingerprint, record_key
 from veriframe.functions.skew import attach, first_by_hash, lookup
 
+# The statuses of an anomaly.
 OPEN_STATUSES = ("Active", "Acknowledged")
 ARCHIVE_STATUSES = ("Resolved", "Invalid", "Duplicate", "Discarded")
 

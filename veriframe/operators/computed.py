@@ -13,16 +13,32 @@ from pyspark.sql import types as T
 
 from veriframe.functions.skew import fits_broadcast, rows_outside
 
+# The kinds of a pairwise join.
 JOIN_TYPES = ("inner", "left", "right", "full")
 
 
 def computed_table(
     spark: SparkSession, views: Mapping[str, DataFrame], query: str
 ) -> DataFrame:
-    """A container defined by a SQL query over named containers."""
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(query)
+    """A container defined by a SQL query over named containers.
+
+    The names are views only while the query is analysed; views of the session that have
+    such names are put back afterwards.
+    """
+    before = {
+        name: spark.table(name)
+        for name in views
+        if any(t.isTemporary and t.name == name for t in spark.catalog.listTables(pattern=name))
+    }
+    try:
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
+        return spark.sql(query)
+    finally:
+        for name in views:
+            spark.catalog.dropTempView(name)
+        for name, df in before.items():
+            df.createOrReplaceTempView(name)
 
 
 def computed_join_sql(

@@ -20,6 +20,7 @@ from veriframe.functions.skew import attach, key_counts, not_null, rows_by_membe
 ROW_RULES = ("notNull", "between", "matchesPattern", "satisfiesExpression", "afterDateTime")
 SET_RULES = ("unique", "existsIn", "notExistsIn")
 SHAPE_RULES = ("isReplicaOf", "dataDiff", "aggregationComparison", "volumetric")
+# The rules that refer to another container.
 CROSS_REFERENCE_RULES = ("existsIn", "notExistsIn", "isReplicaOf", "dataDiff")
 
 # --- row rules -------------------------------------------------------------

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veriframe.operators import computed, observe
-from veriframe.operators.anomalies import ANOMALY_COLUMNS  # noqa: F401  (schema of the sink)
 from veriframe.operators.registry import Check, checks_frame
 from veriframe.operators.scan import Container, scan
 from veriframe.plans.common import ANOMALIES, CONTAINERS, TABLES, duck, frame, table
