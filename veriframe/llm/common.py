@@ -49,7 +49,7 @@ def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(col(id_col).alias("_id"), col(text_col).cast("string").alias("_text"))
 
 
-def per_batch(fn: Callable[[list, list], dict], schema: pa.Schema, max_bytes: int = 8 << 20):
+def per_batch(fn: Callable[[list, list], dict], schema: pa.Schema, max_bytes: int = 2 << 20):
     """A mapInArrow function calling ``fn(ids, texts)`` on slices of about ``max_bytes`` of text.
 
     A slice holds one row at least, so its size is bounded by ``max_bytes`` plus the longest

@@ -220,7 +220,7 @@ def _search(df: DataFrame, block: list, window: int, only_hits: bool) -> DataFra
     def run(batches):
         searcher = shared.value
         for batch in batches:
-            for part in slices(batch, "_text", 8 << 20):
+            for part in slices(batch, "_text", 2 << 20):
                 counts, spans, items = searcher.search(part.column("_text").to_pylist())
                 out = pa.RecordBatch.from_arrays(
                     [
@@ -343,7 +343,7 @@ def clean(
 
         def run(batches, shared=shared):
             for batch in batches:
-                for part in slices(batch, at, 8 << 20):
+                for part in slices(batch, at, 2 << 20):
                     _, spans, _ = shared.value.search(part.column(at).to_pylist())
                     yield part.filter(pa.array([not s for s in spans], pa.bool_()))
 

@@ -31,6 +31,7 @@ THRESHOLD = 0.8
 TREES, DEPTH = 16, 8
 RECALL = 0.9995
 MARGIN = 0.25  # a candidate's estimate may lie so far below the threshold (7 standard errors)
+SLICE = 1 << 20  # bytes of text hashed at once; a worker needs some fifty times that
 BLOCK = 512  # nodes of a block
 MAP_BITS = 1 << 27  # of the bitmap that picks texts: 16 MiB
 BLOCK_SHINGLES = 1 << 20  # and shingles of a block, on average
@@ -75,7 +76,7 @@ def _prepared(df: DataFrame, id_col: str, text_col: str, words: int, depth: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_text", 4 << 20):
+            for part in slices(batch, "_text", SLICE):
                 sets = shingle_sets(part.column("_text").to_pylist(), words)
                 full = [i for i, s in enumerate(sets) if len(s)]
                 signature = signatures([sets[i] for i in full])
@@ -274,7 +275,7 @@ def _with_shingles(df: DataFrame, chosen: DataFrame, id_col: str, text_col: str,
         for batch in batches:
             at = batch.column("_slot").to_numpy()
             marked = batch.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
-            for part in slices(marked, "_text", 4 << 20):
+            for part in slices(marked, "_text", SLICE):
                 sets = [s for s in shingle_sets(part.column("_text").to_pylist(), words) if len(s)]
                 yield pa.RecordBatch.from_arrays(
                     [

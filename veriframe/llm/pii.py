@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veriframe.llm.common import col, id_and_text, per_batch
+from veriframe.llm.common import col, id_and_text, per_batch, slices
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 600  # windows of text the field is trained on at most
@@ -478,12 +478,13 @@ def masked(df: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> DataF
     def run(batches):
         own = Field(shared.value)
         for batch in batches:
-            texts = [
-                t if t is None else mask(t, [s for part in all_spans(t, own) for s in part])
-                for t in batch.column(at).to_pylist()
-            ]
-            columns = list(batch.columns)
-            columns[at] = pa.array(texts, batch.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+            for part in slices(batch, at, 2 << 20):
+                texts = [
+                    t if t is None else mask(t, [s for found in all_spans(t, own) for s in found])
+                    for t in part.column(at).to_pylist()
+                ]
+                columns = list(part.columns)
+                columns[at] = pa.array(texts, part.schema.field(at).type)
+                yield pa.RecordBatch.from_arrays(columns, schema=part.schema)
 
     return df.mapInArrow(run, df.schema)

@@ -28,7 +28,8 @@ from pyspark.sql import types as T
 from veriframe.llm.common import col, free_name, id_and_text, slices
 
 SPACE = "▁"
-REMEMBERED = 300_000  # cuts a worker keeps
+REMEMBERED = 150_000  # cuts a worker keeps, some 60 MB
+SLICE = 1 << 20  # bytes of text encoded at once
 REMEMBERED_CHARS = 48  # longer cuts are encoded each time
 SCANNED = 40  # symbols up to which scanning an agenda is quicker than a heap
 NEVER = float("inf")
@@ -245,7 +246,7 @@ def _mapped(df: DataFrame, path: str, schema: T.StructType, arrays) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
         for batch in batches:
-            for part in slices(batch, "_text", 4 << 20):
+            for part in slices(batch, "_text", SLICE):
                 texts = [t or "" for t in part.column("_text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("_id"), *arrays(c, texts)], names=schema.fieldNames()
@@ -333,7 +334,7 @@ def with_ids(df: DataFrame, model: str, text_col: str = "text") -> DataFrame:
         c = codec(model)
         end = str(c.vocabulary.end)
         for batch in batches:
-            for part in slices(batch, at, 4 << 20):
+            for part in slices(batch, at, SLICE):
                 ids, hexes = [], []
                 for e in c.entries([t or "" for t in part.column(at).to_pylist()]):
                     ids.append(list(map(int, " ".join([*(i for i, _ in e), end]).split(" "))))
