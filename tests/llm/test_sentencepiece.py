@@ -45,8 +45,12 @@ def test_memory_is_bounded(codec, monkeypatch):
     monkeypatch.setattr(S, "REMEMBERED", 10)
     own = S.Codec(MODEL)
     own.entries([" ".join(f"word{i}" for i in range(50))])
-    own.entries(["another text " + "y" * 100])
-    assert len(own.known) <= 10 and all(len(c) <= S.REMEMBERED_CHARS for c in own.known)
+    own.entries(["word1 another text " + "y" * 100])
+    assert len(own.known) <= 5 and all(len(c) <= S.REMEMBERED_CHARS for c in own.known)
+    assert "▁word1" in own.known and len(own.older) == 50  # one slice may go beyond the bound
+    own.entries(["three more words", "and seven others that are new here"])
+    own.entries(["x"])
+    assert len(own.older) < 20
 
 
 def test_tables(spark, docs, codec):

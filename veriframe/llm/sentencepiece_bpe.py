@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from veriframe.llm.common import col, free_name, id_and_text, slices
 
 SPACE = "▁"
-REMEMBERED = 150_000  # cuts a worker keeps, some 60 MB
+REMEMBERED = 200_000  # cuts a worker keeps, in two generations; some 80 MB
 SLICE = 1 << 20  # bytes of text encoded at once
 REMEMBERED_CHARS = 48  # longer cuts are encoded each time
 SCANNED = 40  # symbols up to which scanning an agenda is quicker than a heap
@@ -213,14 +213,18 @@ class Codec:
     def __init__(self, path: str):
         self.vocabulary = MergeVocabulary(path)
         self.known: dict[str, tuple[str, str]] = {}
+        self.older: dict[str, tuple[str, str]] = {}  # the generation before; what is used of it moves on
 
     def entries(self, texts: list[str]) -> list[list[tuple[str, str]]]:
         """Per text its cuts as (ids in decimal, decoded text)."""
-        v, known = self.vocabulary, self.known
-        if len(known) > REMEMBERED:
-            known.clear()
+        v = self.vocabulary
+        if len(self.known) > REMEMBERED // 2:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
         cuts = [v.cuts(v.normalise(t)) for t in texts]
-        new = list({c for of_text in cuts for c in of_text}.difference(known))
+        wanted = {c for of_text in cuts for c in of_text}.difference(known)
+        known.update((c, older[c]) for c in wanted if c in older)
+        new = list(wanted.difference(known))
         encoded = [v.encode_cut(c) for c in new]
         v.check(new, encoded)
         blank = v.encode_cut(SPACE)  # in front, so that no blank of the cut itself is dropped
