@@ -85,3 +85,46 @@ def test_weights_are_averaged_in_a_tree(spark):
 def test_empty(docs):
     assert M.score(docs([])).count() == 0
     assert M.score(docs([(1, None)])).first()["log_likelihood"] == 0.0
+
+
+def test_rare_words_have_their_counted_share(spark, docs):
+    """Words beyond the vocabulary score by how often they were counted; the shares of a code's words sum to one."""
+    common = " ".join(f"w{i}" for i in range(M.WORDS) for _ in range(30))
+    n = {f"r{i}": 2 + 18 * (i < 50) for i in range(1_000)}
+    words = [w for w, k in n.items() for _ in range(k // 2)]
+    random.Random(3).shuffle(words)
+    rows = [(1, common), (2, " ".join(words)), (2, " ".join(words)), (3, "r0 r999 w5 never"), (4, None)]
+    model = M.fitted(docs(rows[:3]))
+    depth = len(model.net.priors)
+    assert depth == 1 == M.depth_for(1_000) and M.depth_for(M.RARE) == 0 and M.depth_for(280_000) == 2
+    leaf = {w: int(M.word_ids(w, model.vocabulary, depth)[0]) for w in n}
+    shares = {bytes(r["word"]).decode(): r["share"] for r in model.shares.collect()}
+    assert shares.keys() == n.keys()
+    for w, k in n.items():
+        assert shares[w] == pytest.approx(np.log(k / sum(n[x] for x in n if leaf[x] == leaf[w])))
+    got = M.score(docs(rows), model=model).collect()
+    assert len(got) == len(rows)
+    for r, text in zip(sorted(got, key=lambda r: r["doc_id"]), [t for _, t in rows]):
+        ids = M.word_ids(text, model.vocabulary, depth)
+        rare = [w for w in (text or "").split() if w not in shares and w == "never" or w in shares]
+        total = M.scores([ids], model.net)[0] + sum(shares.get(w, -np.log(model.rare_share)) for w in rare)
+        assert r["log_likelihood"] == pytest.approx(total, rel=1e-4) and r["n_words"] == len(ids)
+
+
+def test_digits_tell_rare_words_apart():
+    """Digits start at their counted shares, sum to one, are learnt, and count as context."""
+    leaves = np.random.default_rng(1).integers(1, 9, M.RARE * M.BASE)
+    net = M.Network(priors=M.digit_shares(leaves))
+    rare = M.WORDS + (np.arange(M.BASE) << M.CODE_BITS)
+    around = np.full((M.BASE, 2 * M.SIDE), 3)
+    code = M.Network(net.flat[: M.N_WEIGHTS]).log_probability(around, np.full(M.BASE, M.WORDS))
+    own = net.log_probability(around, rare) - code
+    assert np.exp(own) == pytest.approx(leaves[: M.BASE] / leaves[: M.BASE].sum(), abs=1e-4)
+    seen = np.full(len(net.flat), 1e-6, np.float32)
+    sides = np.repeat(rare[:, None], 2 * M.SIDE, 1)  # each word stands among its own kind
+    before = net.log_probability(sides, rare).mean()
+    for _ in range(80):
+        net.train(sides, rare, seen)
+    assert net.log_probability(sides, rare).mean() > before + 1
+    assert np.exp(net.log_probability(sides[:1].repeat(M.BASE, 0), rare)).sum() <= 1 + 1e-4
+    assert len({round(float(v), 5) for v in net.log_probability(sides, np.full(M.BASE, 7))}) > M.BASE // 2

@@ -5,11 +5,17 @@ embeddings go through one hidden layer, and the word's two-digit code is predict
 digit by digit, so that a vocabulary of BASE * BASE words costs two small softmaxes.
 A document's score is the sum of the conditional log-probabilities of its words.
 
+The WORDS most frequent words have a code of their own. All others take one of RARE codes
+and further digits, all by hash; the number of further digits follows the number of distinct
+words. As context such a word is its code's embedding plus those of its digits. As target the
+further digits are predicted on top of their counted shares, and a word has its counted share
+among the words with the same digits, which is joined from the table of all word counts.
+
 Word counts come from the whole corpus. Training passes over the whole corpus, too:
 the documents are dealt to ROUNDS shares; in each round every task starts from the
 common weights, trains on the masked positions of its documents in numpy, and the
-results are averaged, weighted by examples, in a tree of tasks. Only weights, whose
-number is fixed, and the vocabulary, whose size is fixed, pass the driver.
+results are averaged, weighted by examples, in a tree of tasks. Weights, the frequent words and
+the counted shares of digits pass the driver; all are bounded. Counts of words stay in Spark.
 """
 
 from __future__ import annotations
@@ -31,6 +37,9 @@ from veriframe.session import durable
 BASE = 64  # digits of a word's code
 RARE = 256  # codes shared by the words beyond the vocabulary, by hash
 WORDS = BASE * BASE - RARE
+DEEPEST = 2  # further digits of a rare word's code at most; their counted shares are broadcast
+UNSEEN = 1e-3  # what digits that no counted word has weigh beside counts
+CODE_BITS = 13  # a word's number holds its code in the low bits and further digits above
 SIDE = 2  # words seen on either side
 EMBEDDING, HIDDEN = 12, 24
 MASKED = 0.15  # share of positions predicted in training
@@ -54,68 +63,154 @@ N_WEIGHTS = sum(math.prod(s) for s in SHAPES.values())
 OUTSIDE = BASE * BASE
 
 
+def shapes(depth: int) -> dict[str, tuple[int, ...]]:
+    """The weights of a network whose rare words have ``depth`` further digits."""
+    out = dict(SHAPES)
+    for k in range(depth):
+        out[f"digit_{k}"] = (BASE, EMBEDDING)  # a rare word as context
+        out[f"given_{k}"] = (BASE, HIDDEN)  # shifts the hidden layer by the digit before
+        out[f"deep_{k}"] = (HIDDEN, BASE)  # moves the digit's counted shares
+    return out
+
+
+def n_weights(depth: int) -> int:
+    return sum(math.prod(s) for s in shapes(depth).values())
+
+
+def depth_for(n_rare: int) -> int:
+    """Further digits for so many distinct rare words."""
+    depth = 0
+    while depth < DEEPEST and n_rare > RARE * BASE**depth:
+        depth += 1
+    return depth
+
+
+def digit_shares(leaves: np.ndarray) -> list[np.ndarray]:
+    """Per further digit its log shares given the digits before, from counts by (code, digits)."""
+    depth = round(math.log(leaves.size // RARE, BASE))
+    out = []
+    for k in range(depth):
+        n = leaves.reshape(RARE * BASE**k, BASE, -1).sum(2) + UNSEEN
+        out.append(np.log(n / n.sum(1, keepdims=True)).astype(np.float32))
+    return out
+
+
 class Network:
     """Weights as one flat array, seen through named views."""
 
-    def __init__(self, flat: np.ndarray | None = None):
+    def __init__(self, flat: np.ndarray | None = None, priors: list[np.ndarray] | None = None):
+        self.priors = priors or []  # of digit_shares()
+        self.shapes = shapes(len(self.priors))
         if flat is None:
             rng = np.random.default_rng(5)
-            flat = rng.normal(0, 0.1, N_WEIGHTS).astype(np.float32)
+            flat = rng.normal(0, 0.1, n_weights(len(self.priors))).astype(np.float32)
+            at = self._views(flat)
+            for k in range(len(self.priors)):
+                at[f"deep_{k}"][:] = 0  # the counted shares alone
         self.flat = flat.astype(np.float32).copy()
-        self.w, at = {}, 0
-        for name, shape in SHAPES.items():
+        self.w = self._views(self.flat)
+
+    def _views(self, flat: np.ndarray) -> dict[str, np.ndarray]:
+        out, at = {}, 0
+        for name, shape in self.shapes.items():
             n = math.prod(shape)
-            self.w[name] = self.flat[at : at + n].reshape(shape)
+            out[name] = flat[at : at + n].reshape(shape)
             at += n
+        return out
+
+    def start(self) -> np.ndarray:
+        """Sums of squares to train from; those of the counted shares' shifts keep first steps small."""
+        seen = np.full(self.flat.size, 1e-6, np.float32)
+        at = self._views(seen)
+        for k in range(len(self.priors)):
+            at[f"deep_{k}"][:] = 1e-2
+        return seen
 
     def _forward(self, around: np.ndarray, target: np.ndarray):
         w = self.w
-        x = w["embedding"][around].reshape(len(around), -1)
+        code = around & (1 << CODE_BITS) - 1
+        x = w["embedding"][code]
+        if self.priors:
+            rare = (code >= WORDS) & (code < OUTSIDE)
+            digits = around[rare] >> CODE_BITS
+            x[rare] += sum(w[f"digit_{k}"][digits // BASE**k % BASE] for k in range(len(self.priors)))
+        else:
+            rare = digits = None
+        x = x.reshape(len(around), -1)
         h = np.tanh(x @ w["hidden"] + w["hidden_bias"])
-        one, two = target // BASE, target % BASE
+        goal = target & (1 << CODE_BITS) - 1
+        one, two = goal // BASE, goal % BASE
         p1 = _softmax(h @ w["first"] + w["first_bias"])
         g = h + w["given"][one]
         p2 = _softmax(g @ w["second"] + w["second_bias"])
-        return x, h, g, one, two, p1, p2
+        deep, last = [], two
+        if self.priors:
+            at = np.flatnonzero(goal >= WORDS)
+            further, prefix, last = target[at] >> CODE_BITS, goal[at] - WORDS, two[at]
+            u = g[at]
+            for k, prior in enumerate(self.priors):
+                digit = further // BASE**k % BASE
+                u = u + w[f"given_{k}"][last]
+                deep.append((at, u, last, digit, _softmax(u @ w[f"deep_{k}"] + prior[prefix])))
+                prefix, last = prefix * BASE + digit, digit
+        return code, rare, digits, x, h, g, one, two, p1, p2, deep
 
     def log_probability(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
-        *_, one, two, p1, p2 = self._forward(around, target)
+        *_, one, two, p1, p2, deep = self._forward(around, target)
         row = np.arange(len(target))
-        return np.log(np.maximum(p1[row, one] * p2[row, two], 1e-30))
+        out = np.log(np.maximum(p1[row, one] * p2[row, two], 1e-30))
+        for at, _, _, digit, p in deep:
+            out[at] += np.log(np.maximum(p[np.arange(len(at)), digit], 1e-30))
+        return out
 
     def train(self, around: np.ndarray, target: np.ndarray, seen: np.ndarray) -> None:
         """One Adagrad step on a batch; ``seen`` holds the sums of squares."""
         w = self.w
-        x, h, g, one, two, p1, p2 = self._forward(around, target)
+        code, rare, digits, x, h, g, one, two, p1, p2, deep = self._forward(around, target)
         row, n = np.arange(len(target)), np.float32(len(target))
         p1[row, one] -= 1
         p2[row, two] -= 1
         p1 /= n
         p2 /= n
+        grad = np.zeros_like(self.flat)
+        v = self._views(grad)
         dg = p2 @ w["second"].T
+        du = None
+        for k in range(len(deep) - 1, -1, -1):
+            at, u, last, digit, p = deep[k]
+            p[np.arange(len(at)), digit] -= 1
+            p /= n
+            own = p @ w[f"deep_{k}"].T
+            du = own if du is None else du + own
+            v[f"deep_{k}"][:] = u.T @ p
+            v[f"given_{k}"][:] = _row_sums(last, du, BASE)
+        if du is not None:
+            dg[deep[0][0]] += du
         dh = (p1 @ w["first"].T + dg) * (1 - h * h)
-        grad = np.zeros_like(self.flat)
-        views = Network.__new__(Network)
-        views.w, at = {}, 0
-        for name, shape in SHAPES.items():
-            size = math.prod(shape)
-            views.w[name] = grad[at : at + size].reshape(shape)
-            at += size
-        v = views.w
         v["first"][:] = h.T @ p1
         v["first_bias"][:] = p1.sum(0)
         v["second"][:] = g.T @ p2
         v["second_bias"][:] = p2.sum(0)
-        np.add.at(v["given"], one, dg)
+        v["given"][:] = _row_sums(one, dg, BASE)
         v["hidden"][:] = x.T @ dh
         v["hidden_bias"][:] = dh.sum(0)
-        np.add.at(v["embedding"], around.ravel(), (dh @ w["hidden"].T).reshape(-1, EMBEDDING))
+        dx = (dh @ w["hidden"].T).reshape(*code.shape, EMBEDDING)
+        v["embedding"][:] = _row_sums(code.ravel(), dx.reshape(-1, EMBEDDING), BASE * BASE + 1)
+        for k in range(len(deep)):
+            v[f"digit_{k}"][:] = _row_sums(digits // BASE**k % BASE, dx[rare], BASE)
         used = np.flatnonzero(grad)
         d = grad[used]
         seen[used] += d * d
         self.flat[used] -= np.float32(RATE) * d / np.sqrt(seen[used])
 
 
+def _row_sums(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sums of ``rows`` by index, as a table of ``n`` rows."""
+    width = rows.shape[1]
+    at = (index[:, None] * width + np.arange(width)).ravel()
+    return np.bincount(at, rows.ravel(), n * width).reshape(n, width)
+
+
 def _softmax(z: np.ndarray) -> np.ndarray:
     z -= z.max(axis=1, keepdims=True)
     np.exp(z, out=z)
@@ -123,14 +218,16 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return z
 
 
-def word_ids(text: str | None, vocabulary: dict[bytes, int]) -> np.ndarray:
-    """Codes of a text's words; words beyond the vocabulary share RARE codes by hash."""
+def word_ids(text: str | None, vocabulary: dict[bytes, int], depth: int = 0) -> np.ndarray:
+    """Numbers of a text's words; words beyond the vocabulary share RARE codes and have ``depth`` digits, by hash."""
     get = vocabulary.get
     words = words_of(text)
-    ids = [get(w, -1) for w in words]
-    return np.array(
-        [i if i >= 0 else WORDS + zlib.crc32(w) % RARE for i, w in zip(ids, words)] if -1 in ids else ids, np.int32
-    )
+    ids = np.array([get(w, -1) for w in words], np.int32)
+    beyond = np.flatnonzero(ids < 0)
+    if len(beyond):
+        crc = np.array([zlib.crc32(words[i]) for i in beyond.tolist()], np.int64)
+        ids[beyond] = WORDS + crc % RARE + ((crc // RARE % BASE**depth) << CODE_BITS)
+    return ids
 
 
 def laid_out(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -147,15 +244,14 @@ def laid_out(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 _OFFSETS = np.array([d for d in range(-SIDE, SIDE + 1) if d])
 
 
-def scores(ids: list[np.ndarray], net: Network, rare_share: float) -> np.ndarray:
-    """Per text the sum of log-probabilities; a rare word has an equal part of its code's."""
+def scores(ids: list[np.ndarray], net: Network) -> np.ndarray:
+    """Per text the sum of log-probabilities of codes and digits."""
     line, position, owner = laid_out(ids)
     out = np.zeros(len(ids))
     for a in range(0, len(position), 8_192):
         at = position[a : a + 8_192]
         target = line[at]
         value = net.log_probability(line[at[:, None] + _OFFSETS], target)
-        value = value - np.where(target >= WORDS, math.log(rare_share), 0.0)
         out += np.bincount(owner[a : a + 8_192], value, len(ids))
     return out
 
@@ -217,18 +313,19 @@ def _added(parts: DataFrame, keys: list[str]) -> DataFrame:
 
 def _round(texts: DataFrame, net: Network, vocabulary: dict[bytes, int], number: int) -> Network:
     """The weights after one round over ``texts``."""
-    shared = texts.sparkSession.sparkContext.broadcast((net.flat, vocabulary))
+    shared = texts.sparkSession.sparkContext.broadcast((net.flat, net.priors, vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        flat, words = shared.value
-        own, seen, examples = Network(flat), np.full(N_WEIGHTS, 1e-6, np.float32), 0
+        flat, priors, words = shared.value
+        own, examples = Network(flat, priors), 0
+        seen = own.start()
         task = TaskContext.get().partitionId()
         rng = np.random.default_rng((number, task))
         for batch in batches:
             for part in slices(batch, "_text", 4 << 20):
-                line, position, _ = laid_out([word_ids(t, words) for t in part.column("_text").to_pylist()])
+                line, position, _ = laid_out([word_ids(t, words, len(priors)) for t in part.column("_text").to_pylist()])
                 chosen = rng.permutation(position[rng.random(len(position)) < MASKED])
                 for a in range(0, len(chosen), BATCH):
                     at = chosen[a : a + BATCH]
@@ -253,14 +350,51 @@ def _round(texts: DataFrame, net: Network, vocabulary: dict[bytes, int], number:
     rows = sorted(_added(made, ["slice"]).collect(), key=lambda r: r["slice"])  # SLICES rows of fixed size
     if not rows:
         return net
-    return Network(np.concatenate([np.frombuffer(r["values"], np.float64) / r["n"] for r in rows]))
+    return Network(np.concatenate([np.frombuffer(r["values"], np.float64) / r["n"] for r in rows]), net.priors)
+
+
+def _leaf(depth: int) -> F.Column:
+    """A rare word's code and further digits, first digit first, as one number."""
+    crc = F.crc32("word")
+    out = F.pmod(crc, F.lit(RARE))
+    for k in range(depth):
+        out = out * BASE + F.pmod(F.floor(crc / F.lit(RARE * BASE**k)), F.lit(BASE))
+    return out.cast("int")
+
+
+def _rare_words(rows: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
+    """(_key, _also, word, n): the words beyond the vocabulary, counted per row."""
+    shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
+    names = ["_key", "_also", "word", "n"]
+    types = [pa.int64(), pa.int32(), pa.binary(), pa.int64()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = shared.value
+        for batch in batches:
+            for part in slices(batch, "_text", 1 << 20):
+                columns: list[list] = [[], [], [], []]
+                for key, also, text in zip(*(part.column(c).to_pylist() for c in ("_key", "_also", "_text"))):
+                    rare = Counter(w for w in words_of(text) if w not in frequent)
+                    columns[0] += [key] * len(rare)
+                    columns[1] += [also] * len(rare)
+                    columns[2] += rare.keys()
+                    columns[3] += rare.values()
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+
+    return rows.select("_key", "_also", "_text").mapInArrow(run, "_key bigint, _also int, word binary, n bigint")
 
 
 class Model:
-    """Trained weights and the vocabulary they belong to."""
+    """Trained weights and the vocabulary they belong to.
 
-    def __init__(self, net: Network, vocabulary: dict[bytes, int], rare_share: float):
-        self.net, self.vocabulary, self.rare_share = net, vocabulary, rare_share
+    ``shares`` holds, per word beyond the vocabulary, the log of its counted share (``share``) among the
+    words with its code and digits. A word that was never counted has the ``rare_share``-th part.
+    """
+
+    def __init__(
+        self, net: Network, vocabulary: dict[bytes, int], rare_share: float, shares: DataFrame | None = None
+    ):
+        self.net, self.vocabulary, self.rare_share, self.shares = net, vocabulary, rare_share, shares
 
 
 def fitted(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> Model:
@@ -270,12 +404,25 @@ def fitted(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds
     counts = durable(word_counts(rows), "words")
     top = counts.orderBy(F.desc("n"), "word").limit(WORDS).collect()
     vocabulary = {bytes(r["word"]): i for i, r in enumerate(top)}
-    rare_share = max(1.0, (counts.count() - len(vocabulary)) / RARE)
-    net = Network()
+    n_rare = counts.count() - len(vocabulary)
+    depth = depth_for(n_rare)
+    n_leaves = RARE * BASE**depth
+    rare_share = max(1.0, n_rare / n_leaves)
+    shares, leaves = None, np.zeros(n_leaves)
+    if n_rare:
+        # The last of the frequent words, in the order they were picked in, ends them.
+        n, word = F.lit(top[-1]["n"]), F.lit(bytes(top[-1]["word"]))
+        rare = counts.filter((F.col("n") < n) | ((F.col("n") == n) & (F.col("word") > word)))
+        rare = rare.withColumn("leaf", _leaf(depth))
+        sums = durable(rare.groupBy("leaf").agg(F.sum("n").alias("n_leaf")), "leaves")
+        table = sums.toArrow()  # at most RARE * BASE ** DEEPEST rows of two numbers
+        leaves[table.column("leaf").to_numpy()] = table.column("n_leaf").to_numpy()
+        shares = rare.join(sums, "leaf").select("word", F.log(F.col("n") / F.col("n_leaf")).alias("share"))
+    net = Network(priors=digit_shares(leaves))
     for k in range(rounds):
         share = rows.filter(F.pmod(F.xxhash64("_id", "_text"), F.lit(rounds)) == k)
         net = _round(share.select("_text"), net, vocabulary, k)
-    return Model(net, vocabulary, rare_share)
+    return Model(net, vocabulary, rare_share, shares)
 
 
 def score(
@@ -291,25 +438,43 @@ def score(
     """
     importable(df.sparkSession)
     model = model or fitted(df, id_col, text_col)
-    shared = df.sparkSession.sparkContext.broadcast((model.net.flat, model.vocabulary, model.rare_share))
+    shared = df.sparkSession.sparkContext.broadcast((model.net.flat, model.net.priors, model.vocabulary))
     rows = id_and_text(df, id_col, text_col)
+    rows = rows.withColumns({"_key": F.xxhash64("_id", "_text"), "_also": F.hash("_text", "_id")})
     kind = rows.schema["_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, words, rare_share = shared.value
-        net = Network(flat)
+        flat, priors, words = shared.value
+        net = Network(flat, priors)
         for batch in batches:
             for part in slices(batch, "_text", 4 << 20):
-                ids = [word_ids(t, words) for t in part.column("_text").to_pylist()]
-                total = scores(ids, net, rare_share)
-                sizes = [len(i) for i in ids]
+                ids = [word_ids(t, words, len(priors)) for t in part.column("_text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("_id"), pa.array(sizes, pa.int64()), pa.array(total, pa.float64()),
-                        pa.array([t / n if n else None for t, n in zip(total, sizes)], pa.float64()),
+                        part.column("_id"), part.column("_key"), part.column("_also"),
+                        pa.array([len(i) for i in ids], pa.int64()),
+                        pa.array([int(((i & (1 << CODE_BITS) - 1) >= WORDS).sum()) for i in ids], pa.int64()),
+                        pa.array(scores(ids, net), pa.float64()),
                     ],
-                    names=["_id", "n_words", "log_likelihood", "per_word"],
+                    names=["_id", "_key", "_also", "n_words", "n_rare", "value"],
                 )
 
-    made = rows.mapInArrow(run, f"_id {kind}, n_words bigint, log_likelihood double, per_word double")
-    return made.select(F.col("_id").alias(id_col), "n_words", "log_likelihood", "per_word")
+    made = rows.mapInArrow(
+        run, f"_id {kind}, _key bigint, _also int, n_words bigint, n_rare bigint, value double"
+    )
+    unseen = F.lit(-math.log(model.rare_share))
+    if model.shares is None:
+        total = F.col("value") + F.col("n_rare") * unseen
+    else:
+        part = _rare_words(rows, model.vocabulary).join(model.shares, "word", "left")
+        # Repeated rows meet here under one key; their words then count as often as the rows repeat.
+        part = part.groupBy("_key", "_also").agg(
+            F.sum("n").alias("n_met"), F.sum(F.col("n") * F.coalesce("share", unseen)).alias("rare")
+        )
+        made = made.join(part, ["_key", "_also"], "left")
+        total = F.col("value") + F.coalesce(F.col("rare") * F.col("n_rare") / F.col("n_met"), F.lit(0.0))
+    made = made.withColumn("log_likelihood", total)
+    return made.select(
+        F.col("_id").alias(id_col), "n_words", "log_likelihood",
+        F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")).alias("per_word"),
+    )
