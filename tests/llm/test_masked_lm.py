@@ -128,3 +128,11 @@ def test_digits_tell_rare_words_apart():
     assert net.log_probability(sides, rare).mean() > before + 1
     assert np.exp(net.log_probability(sides[:1].repeat(M.BASE, 0), rare)).sum() <= 1 + 1e-4
     assert len({round(float(v), 5) for v in net.log_probability(sides, np.full(M.BASE, 7))}) > M.BASE // 2
+
+
+def test_every_position_is_trained_on(docs, rows, monkeypatch):
+    """A round's examples are all the words of its texts."""
+    made, durable = [], M.durable
+    monkeypatch.setattr(M, "durable", lambda *a: made.append(durable(*a)) or made[-1])
+    M._round(docs(rows).selectExpr("text as _text").repartition(3), M.Network(), {b"word1": 0}, 0)
+    assert made[0].filter("slice = 0").agg({"n": "sum"}).first()[0] == 240 * 400

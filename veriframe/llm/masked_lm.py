@@ -13,7 +13,7 @@ among the words with the same digits, which is joined from the table of all word
 
 Word counts come from the whole corpus. Training passes over the whole corpus, too:
 the documents are dealt to ROUNDS shares; in each round every task starts from the
-common weights, trains on the masked positions of its documents in numpy, and the
+common weights, trains on every position of its documents in numpy, and the
 results are averaged, weighted by examples, in a tree of tasks. Weights, the frequent words and
 the counted shares of digits pass the driver; all are bounded. Counts of words stay in Spark.
 """
@@ -42,7 +42,6 @@ UNSEEN = 1e-3  # what digits that no counted word has weigh beside counts
 CODE_BITS = 13  # a word's number holds its code in the low bits and further digits above
 SIDE = 2  # words seen on either side
 EMBEDDING, HIDDEN = 12, 24
-MASKED = 0.15  # share of positions predicted in training
 ROUNDS = 3
 RATE = 0.15
 BATCH = 1_024
@@ -326,7 +325,7 @@ def _round(texts: DataFrame, net: Network, vocabulary: dict[bytes, int], number:
         for batch in batches:
             for part in slices(batch, "_text", 4 << 20):
                 line, position, _ = laid_out([word_ids(t, words, len(priors)) for t in part.column("_text").to_pylist()])
-                chosen = rng.permutation(position[rng.random(len(position)) < MASKED])
+                chosen = rng.permutation(position)
                 for a in range(0, len(chosen), BATCH):
                     at = chosen[a : a + BATCH]
                     own.train(line[at[:, None] + _OFFSETS], line[at], seen)
