@@ -105,6 +105,25 @@ def test_islands_change_nothing(field):
     assert whole and whole == {tuple(s) for s in P.all_spans(text, field)[1]}
 
 
+@pytest.mark.parametrize("address", [
+    "name [at] some-long-department-name (dot) long-university-name (dot) example (dot) org",
+    "a.local.part.of.many.words.that.reaches.beyond.the.usual.context [at] b.example.com",
+    "long" * 40 + " [at] " + "host" * 40 + ".com",
+    "x7" + "long" * 20 + "9@" + "host" * 40 + "-" + "host" * 40 + " (dot) com",
+])
+def test_islands_hold_whole_addresses(field, address):
+    text = "word " * 50 + address + "; " + "word " * 50
+    stretches = list(P.islands(text))
+    assert any(a <= 250 and 250 + len(address) <= b for a, b in stretches)
+    assert all(x[1] < y[0] for x, y in zip(stretches, stretches[1:]))
+    tokens, borders = P.tokenise(text)
+    whole = {(c.kind, borders[c.start], borders[c.end]) for c in field.best(tokens)}
+    base = P.base_spans(text)
+    assert {tuple(s) for s in P.all_spans(text, field)[1]} == {
+        w for w in whole if not any(s.start < w[2] and w[1] < s.end for s in base)
+    }
+
+
 def test_tables(spark, docs):
     rows = [(i, w) for i, w in enumerate(windows(3, 60))] + [(None, None), (5, ""), (7, "a@b.de"), (7, "a@b.de"), (8, "x " * 50_000 + "1.2.3.4")]
     got = {r["doc_id"]: r for r in P.find(docs(rows)).collect()}

@@ -95,6 +95,7 @@ def base_spans(text: str) -> list[Span]:
 _TOKEN = re.compile(r"[0-9]+| ?[\[(](?:at|dot)[\])] ?|[^\W\d_]+|\s+|.", re.S)
 _TRIGGER = re.compile(r"[0-9@]|[\[(]at[\])]")
 _REACH = 48  # characters of context around a trigger
+_DOMAIN_WRITTEN = re.compile(r" ?(?:[^\W_]| ?[\[(]dot[\])] ?|[.-])*+")  # what may follow an at sign
 _JOINTS = {" ", "-", ".", "(", ")", ") ", "/"}
 _AT = {"@", "[at]", "(at)"}
 _DOT = {".", "[dot]", "(dot)"}
@@ -102,18 +103,26 @@ _LOCAL_MARKS = {".", "_", "%", "+", "-"}
 
 
 def islands(text: str) -> Iterator[tuple[int, int]]:
-    """Stretches that hold all characters an entity may need, apart from each other."""
-    start = end = -1
+    """Stretches that hold all characters an entity may need, apart from each other.
+
+    Digits of one number stand closer than _REACH. An address goes on from its sign as far as
+    characters that an address may hold do.
+    """
+    out: list[tuple[int, int]] = []
     for m in _TRIGGER.finditer(text):
-        a, b = m.start() - _REACH, m.end() + _REACH
-        if start < 0:
-            start = max(a, 0)
-        elif a > end:
-            yield start, end
-            start = a
-        end = b
-    if start >= 0:
-        yield start, min(end, len(text))
+        a, b = m.span()
+        if not m.group().isdigit():
+            a -= a > 0 and text[a - 1] == " "
+            while a > 0 and (text[a - 1].isalnum() or text[a - 1] in _LOCAL_MARKS):
+                a -= 1
+            b = _DOMAIN_WRITTEN.match(text, b).end()
+        a, b = max(a - _REACH, 0), b + _REACH
+        while out and a <= out[-1][1]:
+            start, end = out.pop()
+            a, b = min(a, start), max(b, end)
+        out.append((a, b))
+    for a, b in out:
+        yield a, min(b, len(text))
 
 
 class Candidate(NamedTuple):
