@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriframe.llm import chat, masked_lm, near_duplicates, pii, secrets, urls, warc
+from veriframe.llm import chat, masked_lm, near_duplicates, pii, runs, secrets, urls, warc
 from veriframe.llm.common import table
 from veriframe.llm.decontaminate import contamination
 from veriframe.llm.quality import STOP_WORDS, judge
@@ -72,6 +72,11 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(table(spark, sf_dir, "documents"))
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs in all documents, a run planted into some of them."""
+    return runs.digests(table(spark, sf_dir, "documents"), change=runs.planted)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_quality": op2_quality,
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_chat": op9_chat,
     "op10_decontaminate": op10_decontaminate,
+    "op11_runs": op11_runs,
 }
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
