@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriframe.llm import chat, masked_lm, near_duplicates, pii, runs, secrets, urls, warc
+from veriframe.llm import chat, masked_lm, near_duplicates, packing, pii, runs, secrets, urls, warc
 from veriframe.llm.common import table
 from veriframe.llm.decontaminate import contamination
 from veriframe.llm.quality import STOP_WORDS, judge
@@ -77,6 +77,11 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digests(table(spark, sf_dir, "documents"), change=runs.planted)
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut and packed into sequences of 2048 tokens."""
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), packing.tokenizer_path()))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_quality": op2_quality,
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat": op9_chat,
     "op10_decontaminate": op10_decontaminate,
     "op11_runs": op11_runs,
+    "op12_packing": op12_packing,
 }
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
