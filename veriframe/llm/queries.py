@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriframe.llm import chat, masked_lm, near_duplicates, packing, pii, runs, secrets, urls, warc
+from veriframe.llm import chat, conversation_repair, masked_lm, near_duplicates, packing, pii, runs, secrets, urls, warc
 from veriframe.llm.common import table
 from veriframe.llm.decontaminate import contamination
 from veriframe.llm.quality import STOP_WORDS, judge
@@ -82,6 +82,11 @@ def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), packing.tokenizer_path()))
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged and put in order again."""
+    return conversation_repair.audit(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_quality": op2_quality,
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontaminate": op10_decontaminate,
     "op11_runs": op11_runs,
     "op12_packing": op12_packing,
+    "op13_repair": op13_repair,
 }
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
