@@ -88,7 +88,7 @@ def test_slots_do_not_grow_with_the_corpus():
 
 
 TEXTS = ["", " ", "Hello, World! it's 42nd's don't", "ÅNGSTRÖM é́   x　y ΣΑΣ İi", "a<|endoftext|>b <|startoftext|> c",
-         "́ ́ e ́", "日本語テキスト😀 한글 각", "\x00\x01 \x1c\x85 tab\tnew\nline\r\x0b\x0c.", "x" * 5_000, "it 's '", "½²①"]
+         "́ ́ e ́", "H̱ẖ İİ̱ J̌ T̈ Ẅ", "WORD. Word, word); end.\") e.g. a.b ... .a ,,", "ré,%%% word's' it's' a<|endoftext|>, x>' y|. don't't' ''s ñ'",  "<|ENDOFTEXT|> <|EndOfText|>.", "日本語テキスト😀 한글 각", "\x00\x01 \x1c\x85 tab\tnew\nline\r\x0b\x0c.", "x" * 5_000, "it 's '", "½²①"]
 
 
 def test_words_equal_the_library(library):
@@ -104,11 +104,22 @@ def test_any_text_equals_the_library(library, text):
     assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_case_and_marks(library):
+    """Lowering first changes no ids: every ASCII letter with every mark that may compose with it, and every other letter."""
+    marks = [chr(m) for m in range(0x300, 0x370)]
+    texts = [f"{a}{m}" for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for m in marks]
+    texts += [t for c in range(0x41, 0x530) for t in (chr(c), f"a{chr(c)}", f"{chr(c)}b{chr(c)}")]
+    texts += [f"A{chr(c)}Z." for c in range(0x21, 0x3100) if chr(c).isprintable()]
+    found = P.Words(PATH).encode([t.encode() for t in texts])
+    wanted = library.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(i, "<u4").tolist() for i in found] == [w.ids for w in wanted]
+
+
 def test_memory_is_bounded(monkeypatch):
     monkeypatch.setattr(P, "REMEMBERED", 10)
     own = P.Words(PATH)
     own.encode([b" ".join(b"word%d" % i for i in range(50))])
-    own.encode([b"word1 and others " + b"y" * 100])
+    own.encode([b"word1 others " + b"y" * 100 + b" " + b"z" * 90 + b"."])
     assert len(own.known) <= 5 and b"word1" in own.known and len(own.older) == 50
 
 

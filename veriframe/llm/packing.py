@@ -17,6 +17,7 @@ and length, so not even a length that a third of all pieces share is numbered in
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -36,8 +37,11 @@ from veriframe.session import durable
 SIZE = 2048
 END = 0
 SLICE = 2 << 20
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 REMEMBERED_BYTES = 64
+CLOSING = b".,;:!?#$%&*)\"'"  # not | and >, which end the control strings
+# Letters of Latin, Greek and Cyrillic alphabets that stay one letter in lower case (U+0130 does not).
+PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f\u0391-\u03a1\u03a3-\u03a9\u03ac-\u03ce\u0400-\u0481]+")
 
 
 def tokenizer_path() -> str:
@@ -47,11 +51,23 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def lowered(text: bytes) -> bytes:
+    """The text with A-Z lowered where that changes no ids, so that more words are known.
+
+    The vocabulary lowers case itself, but composes marks first (U+0300 to U+036F, of lead bytes CC
+    and CD, are all that compose with a letter of ASCII), and finds its control strings before that.
+    """
+    if b"\xcc" in text or b"\xcd" in text or b"<|" in text:
+        return text
+    return text.lower()
+
+
 class Words:
     """Token ids of texts by the library, remembering those of frequent words.
 
     The vocabulary drops white space and never joins what stands on both sides of it, so a text's ids are
-    those of its stretches between blanks, each encoded by the library.
+    those of its stretches between blanks, each encoded by the library. It always parts the marks that
+    close a word from a letter before them, so the word is looked up without them.
     """
 
     def __init__(self, path: str):
@@ -59,6 +75,9 @@ class Words:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(self.library.get_vocab_size(with_added_tokens=True), bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}  # the generation before; what is used of it moves on
 
@@ -66,19 +85,50 @@ class Words:
         """Per text its ids, little-endian in 32 bits each."""
         if len(self.known) > REMEMBERED // 2:
             self.older, self.known = self.known, {}
-        known, older = self.known, self.older
-        split = [(t or b"").split() for t in texts]
-        wanted = set().union(*split).difference(known)
-        known.update((w, older[w]) for w in wanted if w in older)
-        new = list(wanted.difference(known))
-        encoded = self.library.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, encoded))
+        known = self.known
+        split = [lowered(t or b"").split() for t in texts]
+        closed, wanted = [], set()
+        for w in self._missing(set().union(*split)):
+            core = w.rstrip(CLOSING)
+            if len(core) < len(w) and (core[-1:].isalpha() or PLAIN.fullmatch(core.decode())):
+                closed.append((w, core, w[len(core) :]))
+                wanted.update(closed[-1][1:])
+            else:
+                wanted.add(w)
+        new = self._missing(wanted)
+        self._learn(new)
+        known.update((w, known[core] + known[tail]) for w, core, tail in closed)
         out = [b"".join([known[w] for w in words]) for words in split]
-        for w in new:
-            if len(w) > REMEMBERED_BYTES:
-                del known[w]
+        for w in [w for w in new if len(w) > REMEMBERED_BYTES] + [w for w, _, _ in closed if len(w) > REMEMBERED_BYTES]:
+            del known[w]
         return out
 
+    def _missing(self, wanted: set[bytes]) -> list[bytes]:
+        """Those that are not known, once those of the generation before have moved on."""
+        wanted = wanted.difference(self.known)
+        self.known.update((w, self.older[w]) for w in wanted if w in self.older)
+        return list(wanted.difference(self.known))
+
+    def _learn(self, new: list[bytes]) -> None:
+        """Words of plain letters are encoded as one text, as each ends at its one token with a word end; others word by word."""
+        decoded = [w.decode() for w in new]
+        letters = [PLAIN.fullmatch(w) is not None for w in decoded]
+        plain = [w for w, p in zip(decoded, letters) if p]
+        ids = np.array(self.library.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) == len(plain):
+            self._keep([w for w, p in zip(new, letters) if p], ids, ends)
+        else:
+            letters = [False] * len(new)
+        rest = [w for w, p in zip(decoded, letters) if not p]
+        found = self.library.encode(rest, is_pretokenized=True, add_special_tokens=False)
+        ends = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(rest)), "right")
+        self._keep([w for w, p in zip(new, letters) if not p], np.array(found.ids, "<u4"), ends)
+
+    def _keep(self, learnt: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
+        raw, ends = ids.tobytes(), (4 * ends).tolist()
+        self.known.update((w, raw[a:b]) for w, a, b in zip(learnt, [0, *ends], ends))
+
 
 _words: dict[str, Words] = {}
 
