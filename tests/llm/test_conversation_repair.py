@@ -189,8 +189,8 @@ def test_one_long_conversation(spark, no_broadcast):
 def test_repaired_rows(spark):
     rows = C.turns(table(spark, [(1, 0, "user", "Hi."), (1, 1, "user", "Hi."), (1, 2, "assistant", "Yes."), (1, 3, "assistant", "And?"), (2, 0, "system", "Be.")]))
     got = sorted(map(tuple, C.repaired(rows).collect()))
-    assert got == [(1, 0, "K", "user", "Hi."), (1, 1, "K", "assistant", "Yes.")]
-    assert {r[0]: (r.cost, r.audit) for r in C.audit(rows).collect()} == {1: (4, "KDKD"), 2: (2, "D")}
+    assert got == [(1, 0, "K", "user", "Hi."), (1, 1, "K", "assistant", "And?")]
+    assert {r[0]: (r.cost, r.audit) for r in C.audit(rows).collect()} == {1: (4, "KDDK"), 2: (2, "D")}
     everything = C.repaired(C.damaged(table(spark, sample(random.Random(6)))), in_memory=5)
     for conv, roles in everything.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("position", "role")))).collect():
         assert [r.position for r in roles] == list(range(len(roles))) and LEGAL.fullmatch("".join(r.role[0] for r in roles))
