@@ -2,7 +2,8 @@
 
 The checks (metadata, a row each) come to the driver because they become the
 plan; data never does. All row rules of a container are evaluated in one pass
-over it, as are its row counts; every set rule and every comparison reads it again.
+over it, as are its row counts and, where there are several, all its set rules; every
+comparison with another container reads it again.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from veriframe.functions.keys import fingerprint, is_covered, record_key
 from veriframe.operators import rules
 from veriframe.operators.registry import active_checks
+from veriframe.operators.set_rules import SetCheck, set_failures
 from veriframe.sources.readers import as_mark, incremental_filter
 from veriframe.sources.sampling import cap_per_partition
 
@@ -165,8 +167,29 @@ def _reference_fields(check: Row) -> list[str]:
 
 
 def set_rule_failures(
-    name: str, df: DataFrame, keys: Sequence[str], check: Row, containers: Mapping[str, Container]
+    name: str, df: DataFrame, keys: Sequence[str], checks: Sequence[Row], containers: Mapping[str, Container]
 ) -> DataFrame:
+    """Set rules of a container: several share one pass and one shuffle, a single one needs no table of its own."""
+    found = _one_set_rule(df, keys, checks[0], containers) if len(checks) == 1 else _set_rules(df, keys, checks, containers)
+    return found.select(
+        "check_uid", F.lit(name).alias("container"), "rule_type", F.lit("record").alias("anomaly_type"), "record_key", "message"
+    )
+
+
+def _set_rules(df: DataFrame, keys: Sequence[str], checks: Sequence[Row], containers: Mapping[str, Container]) -> DataFrame:
+    key, prepared = record_key(df, keys), []
+    for check in checks:
+        ref = None if check["rule_type"] == "unique" else reference(containers, check).df
+        prepared.append(
+            SetCheck(
+                check["check_uid"], check["rule_type"], tuple(check["fields"]), message(check), _scope(check, key),
+                (check["filter"], check["coverage"]), ref, () if ref is None else tuple(_reference_fields(check)),
+            )
+        )
+    return set_failures(df, key, prepared)
+
+
+def _one_set_rule(df: DataFrame, keys: Sequence[str], check: Row, containers: Mapping[str, Container]) -> DataFrame:
     fields = list(check["fields"])
     rows = _in_scope(df, check, record_key(df, keys))
     # Key and text are made from failing rows only; with declared keys Catalyst
@@ -178,8 +201,7 @@ def set_rule_failures(
         test = rules.exists_failures if check["rule_type"] == "existsIn" else rules.not_exists_failures
         bad = test(rows, fields, ref, _reference_fields(check))
     return bad.select(
-        F.lit(check["check_uid"]).alias("check_uid"), F.lit(name).alias("container"),
-        F.lit(check["rule_type"]).alias("rule_type"), F.lit("record").alias("anomaly_type"),
+        F.lit(check["check_uid"]).alias("check_uid"), F.lit(check["rule_type"]).alias("rule_type"),
         record_key(bad, keys).alias("record_key"), message(check).alias("message"),
     )
 
@@ -279,7 +301,8 @@ def scan(
             rule = check["rule_type"]
             if rule not in rules.ROW_RULES + rules.SET_RULES + rules.SHAPE_RULES:
                 raise ValueError(f"unknown rule type {rule}")
-            by_rule.setdefault("row" if rule in rules.ROW_RULES else rule, []).append(check)
+            kind = "row" if rule in rules.ROW_RULES else "set" if rule in rules.SET_RULES else rule
+            by_rule.setdefault(kind, []).append(check)
         parts += [row_rule_failures(name, df, keys, c) for c in _chunks(by_rule.get("row", []))]
         parts += [volumetric_failures(name, df, keys, c) for c in _chunks(by_rule.get("volumetric", []))]
         same_scope: dict[tuple, list[Row]] = {}
@@ -289,8 +312,7 @@ def scan(
         for group in same_scope.values():
             ref = reference(containers, group[0]).df
             parts += [aggregation_failures(name, df, keys, c, ref) for c in _chunks(group)]
-        for rule in rules.SET_RULES:
-            parts += [set_rule_failures(name, df, keys, c, containers) for c in by_rule.get(rule, [])]
+        parts += [set_rule_failures(name, df, keys, c, containers) for c in _chunks(by_rule.get("set", []))]
         for rule in ("isReplicaOf", "dataDiff"):
             for check in by_rule.get(rule, []):
                 ref = reference(containers, check).df
