@@ -295,7 +295,34 @@ def q_registry_round_trip_scan(spark: SparkSession, sf: str) -> DataFrame:
     return failures.groupBy("rule_type").agg(F.count(F.lit(1)).alias("failures"))
 
 
+# Many set rules of one container: (rule, fields, filter, reference, its fields).
+SET_RULES = [
+    ("unique", "o_custkey", None, None, ""), ("unique", "o_custkey,o_orderdate", None, None, ""), ("unique", "o_totalprice", None, None, ""),
+    ("unique", "o_orderpriority,o_orderdate", "o_orderstatus = 'F'", None, ""), ("unique", "o_orderkey", None, None, ""),
+    ("unique", "o_orderdate", "o_totalprice > 300000", None, ""),
+    ("existsIn", "o_custkey", None, "customer", "c_custkey"), ("existsIn", "o_custkey", "o_totalprice > 100000", "customer", "c_custkey"),
+    ("existsIn", "o_custkey", None, "supplier", "s_suppkey"), ("existsIn", "o_orderkey", "o_totalprice < 400000", "lineitem", "l_orderkey"),
+    ("existsIn", "o_orderkey,o_custkey", None, "lineitem", "l_orderkey,l_partkey"),
+    ("notExistsIn", "o_custkey", None, "customer", "c_custkey"), ("notExistsIn", "o_custkey", "o_orderstatus = 'O'", "supplier", "s_suppkey"),
+    ("notExistsIn", "o_orderkey", None, "part", "p_partkey"), ("notExistsIn", "o_custkey", None, "nation", "n_nationkey"),
+    ("notExistsIn", "o_orderpriority,o_orderstatus", None, "lineitem", "l_returnflag,l_linestatus"),
+]
+
+
+def q_scan_set_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Sixteen set rules of orders: one pass over it, one shuffle of its keys."""
+    containers = {"orders": Container(frame(spark, sf, HOLED), ["o_orderkey"]), "customer": Container(frame(spark, sf, BUILDING))}
+    checks = []
+    for i, (rule, fields, where, ref, ref_fields) in enumerate(SET_RULES):
+        props = {"ref_container": ref, "field_name": ref_fields} if ref else {}
+        if ref and ref not in containers:
+            containers[ref] = Container(table(spark, sf, ref))
+        checks.append(Check("orders", rule, fields.split(","), props, filter=where, additional_metadata={"_check_uid": f"set_{i:02}"}))
+    return scan(spark, containers, checks_frame(spark, checks)).select("check_uid", "rule_type", "record_key")
+
+
 QUERIES = {
+    "scan_set_rules": q_scan_set_rules,
     "run_scan_rollup": q_run_scan_rollup,
     "run_scan_capped": q_run_scan_capped,
     "run_scan_incremental_batch": q_run_scan_incremental_batch,
@@ -378,7 +405,19 @@ def _order_checks(orders: str) -> str:
 _LATE = f"(SELECT * FROM {_H} h0 WHERE o_orderdate > TIMESTAMP '1997-01-01')"
 _NEWEST = f"(SELECT * FROM {_H} h0 WHERE o_orderdate > TIMESTAMP '2000-06-30')"
 
+def _set_rule(i: int, rule: str, fields: str, where: str | None, ref: str | None, ref_fields: str) -> str:
+    cols = fields.split(",")
+    rows = f"SELECT * FROM {_H} h WHERE {' AND '.join(f'{c} IS NOT NULL' for c in cols)} AND ({where or 'true'})"
+    out = f"SELECT 'set_{i:02}' AS check_uid, '{rule}' AS rule_type, CAST(o_orderkey AS VARCHAR) AS record_key FROM"
+    if rule == "unique":
+        return f"{out} (SELECT *, count(*) OVER (PARTITION BY {fields}) AS n FROM ({rows})) WHERE n > 1"
+    source = _B if ref == "customer" else ref
+    match = " AND ".join(f"q.{c} = r.{d}" for c, d in zip(cols, ref_fields.split(",")))
+    return f"{out} ({rows}) q WHERE {'NOT ' if rule == 'existsIn' else ''}EXISTS (SELECT 1 FROM {source} r WHERE {match})"
+
+
 ORACLES = {
+    "scan_set_rules": " UNION ALL ".join(_set_rule(i, *r) for i, r in enumerate(SET_RULES)),
     "run_scan_rollup": """
         SELECT 'record' AS anomaly_type, 'Active' AS status, count(*) AS anomalies, count(*) AS failing_rows
         FROM orders WHERE o_totalprice > 300000
