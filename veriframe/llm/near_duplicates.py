@@ -18,8 +18,9 @@ from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veriframe.llm.common import col, importable, slices
@@ -256,6 +257,18 @@ def _marked(chosen: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
+def _is_marked(df: DataFrame, id_col: str, text_col: str, marks: np.ndarray) -> Column:
+    """Whether a row's id and text may be among those of the bitmap; only the row's slot goes to Python."""
+    shared = df.sparkSession.sparkContext.broadcast(marks)
+
+    @F.pandas_udf("boolean")
+    def look(at: pd.Series) -> pd.Series:
+        slots = at.to_numpy()
+        return pd.Series((shared.value[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1)
+
+    return look(F.pmod(F.xxhash64(col(id_col), F.xxhash64(col(text_col).cast("string"))), F.lit(len(marks) * 8)))
+
+
 def _with_shingles(df: DataFrame, chosen: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
     """(group, set_id, n, shingles) of the chosen nodes, from the one text picked for each.
 
@@ -431,12 +444,19 @@ def one_of_each(
     several = per_set.filter((F.col("n_copies") > 1) | (F.col("n_links") > 0)).select("_set", "_winner")
     lost = (
         rows.join(several.hint("rebalance"), F.col("set_id") == F.col("_set"))
-        .select(F.struct("_id", "_hash").alias("_key"), "_winner")
-        .filter(F.col("_key") != F.col("_winner"))
-        .select("_key").distinct()
+        .select("_id", "_hash", "_winner").filter(F.struct("_id", "_hash") != F.col("_winner"))
+        .select("_id", "_hash", F.lit(True).alias("_lost"))
     )
-    keyed = df.select(
+    again = rows.groupBy("_id", "_hash").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    both = lost.unionByName(again.select("_id", "_hash", F.lit(False).alias("_lost")))
+    # Keys of which rows go, or all rows but one; found among ids and hashes, and few beside all rows.
+    touched = durable(both.groupBy(F.col("_id").alias("_pick_id"), F.col("_hash").alias("_pick_hash")).agg(F.max("_lost").alias("_lost")), "touched")
+    marked = _is_marked(df, id_col, text_col, _marked(touched))
+    # Whole rows are shuffled only if they may be touched; the others pass where they are.
+    keyed = df.filter(marked).select(
         F.struct(*[col(c) for c in df.columns]).alias("_row"),
         F.struct(col(id_col).alias("_id"), F.xxhash64(col(text_col).cast("string")).alias("_hash")).alias("_key"),
     )
-    return keyed.join(durable(lost, "lost"), "_key", "left_anti").dropDuplicates(["_key"]).select("_row.*")
+    gone = touched.filter("_lost").select(F.struct(F.col("_pick_id").alias("_id"), F.col("_pick_hash").alias("_hash")).alias("_key"))
+    kept = keyed.join(gone, "_key", "left_anti").dropDuplicates(["_key"]).select("_row.*")
+    return df.filter(~marked).unionByName(kept)
