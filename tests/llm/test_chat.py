@@ -35,7 +35,7 @@ def test_fingerprints():
     b = {"messages": [{"content": "other", "role": "z"}]}
     assert C.fingerprint(C.field_paths(a)) == C.fingerprint(C.field_paths(b))
     assert C.fingerprint(C.field_paths(a)) != C.fingerprint(C.field_paths({"messages": []}))
-    assert C.field_paths({"a": {"b": [1, {"c": 2}]}, "d": {}}) == {"a.b[]", "a.b[].c", "d"}
+    assert C.field_paths({"a": {"b": [1, {"c": 2}]}, "d": {}}) == {"a.b[]", "a.b[].c", "d{}"}
     with pytest.raises(ValueError):
         C.catalogue([*C.LAYOUTS, C.LAYOUTS[0]])
 
@@ -70,6 +70,22 @@ def test_layouts(spark):
     assert back[53]["n_turns"] == 0 and back[0]["n_turns"] == 2 and back[0]["loss_sha256"] == sha("a")
 
 
+def test_no_record_is_lost(spark):
+    """Names that spell joints of paths, empty objects, half a character pair, and deep nesting."""
+    records = [
+        {"messages[].role": "user", "messages[].content": "hi"}, {"messages": [{"role.x": "user"}]}, {"prompt": {}, "response": "a"},
+        {"a": {"b": 1}}, {"a.b": 1}, {"a\\": {"b": 1}}, {},
+    ]
+    texts = [json.dumps(r) for r in records]
+    texts += ['{"role": "\\ud800", "text": "x"}', '{"role": "user", "text": "\\ud83d\\ude00"}', '{"\\udfff": 1}', "[" * 100_000, '{"a":' * 100_000, "1" * 5_000, None]
+    df = spark.createDataFrame(list(enumerate(texts)), "conv_id bigint, record string")
+    got = sorted(C.format_records(df, "record").collect(), key=lambda r: r["conv_id"])
+    assert [r["conv_id"] for r in got] == list(range(len(texts)))
+    assert [r["conv_id"] for r in got if r["layout"]] == [8] and C.unescape(got[8]["formatted"]).count("\U0001f600") == 1
+    keys = [C.fingerprint(C.field_paths(r)) for r in records]
+    assert len(set(keys)) == len(keys) and not set(keys) & set(C.catalogue())
+
+
 def brute(rows):
     convs = {}
     for conv, turn, role, text in rows:

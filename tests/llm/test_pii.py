@@ -1,5 +1,6 @@
 import random
 import re
+import sys
 
 import pytest
 from tests.llm.conftest import brief
@@ -147,3 +148,14 @@ def test_mask_overlaps():
 def test_empty(docs):
     assert P.find(docs([])).count() == 0 and P.masked(docs([])).count() == 0
     assert brief(P.find(docs([(1, "no numbers")])).select("doc_id", "spans")) == [(1, "")]
+
+
+def test_other_digits_are_no_numbers():
+    """Every character that counts as a digit without being 0 to 9, at either end of a number and inside it."""
+    field = P.fitted(["mail a.b@mail.example.org now", "from 10.0.0.1 to 10.0.0.255", "card 4111 1111 1111 1111 ok", "call +1 (202) 555-0123 today"])
+    odd = [chr(c) for c in range(sys.maxunicode + 1) if chr(c).isdigit() and not chr(c).isascii()]
+    assert len([c for c in odd if not c.isdecimal()]) > 100
+    for c in odd:
+        for text in (f"note {c}4111111111111111", f"4111111111111111{c}", f"+1 202{c}5550123 x", f"10.0{c}.0.1"):
+            base, _ = P.all_spans(text, field)
+            assert base == brute(text)

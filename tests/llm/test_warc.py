@@ -55,7 +55,7 @@ def test_few_records_have_an_empty_dictionary():
     assert read(data)[0][3] == b"abc" and read(archive([])) == []
 
 
-@pytest.mark.parametrize("fault", ["empty", "magic", "dictionary", "cut", "flip", "length", "digest", "header", "type", "version"])
+@pytest.mark.parametrize("fault", ["empty", "magic", "dictionary", "cut", "flip", "length", "digest", "header", "type", "version", "twice"])
 def test_faults_are_found(fault):
     good = [response(i, b"payload %d" % i * 100) for i in range(5)]
     data = archive(good)
@@ -75,6 +75,7 @@ def test_faults_are_found(fault):
             "digest": good[0].replace(b"payload 0", b"payload 9", 1),
             "header": good[0].replace(b"WARC-Date: ", b"WARC-Date "),
             "type": good[0].replace(b"WARC-Type", b"WARC-Kind"),
+            "twice": good[0].replace(b"Content-Length: 900", b"Content-Length: 900\r\ncontent-length: 900"),
             "version": good[0].replace(b"WARC/1.1", b"HTTP/1.1"),
         }[fault]
         assert changed != good[0]

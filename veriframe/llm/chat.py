@@ -2,8 +2,8 @@
 
 Records come in many layouts: a list of messages, a list of exchanges, instruction
 and output fields, prompt and response. The *fingerprint* of a layout is a hash of
-its sorted nested field paths (list elements as ``[]``, with the kind of each leaf).
-Fingerprints of known layouts select a mapping that lists, for each turn, its role
+its sorted nested field paths (list elements as ``[]``, empty objects as ``{}``; these joints
+are escaped in field names, so no name can spell a path). Fingerprints of known layouts select a mapping that lists, for each turn, its role
 and where its text lies. Canonical turns are then written with a template that marks
 turns and escapes its own control strings inside texts, so that the output can be
 read back exactly.
@@ -71,15 +71,35 @@ def read_turns(formatted: str) -> Iterator[Turn]:
 # ---- layouts -------------------------------------------------------------------------
 
 
+def _name(key: str) -> str:
+    """A field name with the joints of paths escaped."""
+    return key.replace("\\", "\\\\").replace(".", "\\.").replace("[", "\\[").replace("{", "\\{")
+
+
 def field_paths(value, path: str = "") -> set[str]:
-    """Paths of all leaves of a record; a list adds ``[]``, a null or empty value is a leaf."""
-    if isinstance(value, dict) and value:
-        return set().union(*(field_paths(v, f"{path}.{k}" if path else k) for k, v in value.items()))
+    """Paths of all leaves of a record; lists add ``[]``, with or without elements, and an empty object ``{}``."""
+    if isinstance(value, dict):
+        if not value:
+            return {f"{path}{{}}"}
+        return set().union(*(field_paths(v, f"{path}.{_name(k)}" if path else _name(k)) for k, v in value.items()))
     if isinstance(value, list):
         return set().union({f"{path}[]"} if not value else set(), *(field_paths(v, f"{path}[]") for v in value))
     return {path}
 
 
+def parse(record: str | None) -> dict | None:
+    """The object a record holds; None if it is no JSON object, nests too deeply or has half a character pair."""
+    if record is None:
+        return None
+    try:
+        value = json.loads(record)
+        if "\\u" in record:
+            json.dumps(value, ensure_ascii=False).encode()
+        return value if isinstance(value, dict) and field_paths(value) else None
+    except (ValueError, RecursionError):
+        return None
+
+
 def fingerprint(paths: Iterable[str]) -> str:
     """Hash of a layout's field paths, whatever their order."""
     return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()[:16]
@@ -105,8 +125,8 @@ class Layout(NamedTuple):
         out = set()
         for group in self.parts:
             for p in group:
-                stem = f"{p.each}[]." if p.each else ""
-                out |= {stem + f for f in (p.text, p.role[1:] if p.role.startswith(".") else p.text)}
+                stem = f"{_name(p.each)}[]." if p.each else ""
+                out |= {stem + _name(f) for f in (p.text, p.role[1:] if p.role.startswith(".") else p.text)}
         return out
 
     def turns(self, record: dict) -> Iterator[tuple[str, str]]:
@@ -162,9 +182,9 @@ def format_records(
     ``loss_start`` / ``loss_end``, the loss mask as code points of ``formatted`` (null but for
     assistant turns). The conversation is the concatenation in order.
 
-    A record whose fingerprint no mapping knows, that is no JSON object, or that is null gives
-    one row without layout and turn, so that nothing is lost silently; a list without elements
-    has a path of its own and thus no mapping. Null texts and roles count as empty. Records are
+    A record whose fingerprint no mapping knows, that is no JSON object (see :func:`parse`), that
+    has no turn, or that is null gives one row without layout and turn, so that nothing is lost
+    silently; a list without elements has a path of its own and thus no mapping. Null texts and roles count as empty. Records are
     taken one by one: repeated ones repeat; other columns are not read; empty in, empty out.
     """
     known = catalogue(layouts)
@@ -177,17 +197,14 @@ def format_records(
         for batch in batches:
             at, made = [], []
             for i, record in enumerate(batch.column(2).to_pylist()):
-                try:
-                    value = json.loads(record) if record is not None else None
-                except ValueError:
-                    value = None
-                key = fingerprint(field_paths(value)) if isinstance(value, dict) else None
+                value = parse(record)
+                key = None if value is None else fingerprint(field_paths(value))
                 layout = known.get(key)
-                if layout is None:
+                turns = list(layout.turns(value)) if layout else []
+                if not turns:
                     at.append(i)
                     made.append((0, key, None, None, None, None, None))
-                    continue
-                for k, (role, text) in enumerate(layout.turns(value)):
+                for k, (role, text) in enumerate(turns):
                     whole, start, end = format_turn(role, text)
                     loss = (start, end) if role == LOSS_ROLE else (None, None)
                     at.append(i)

@@ -43,6 +43,11 @@ class Span(NamedTuple):
     end: int
 
 
+def is_number(text: str) -> bool:
+    """Whether it is digits 0 to 9 alone; other digits, such as raised or circled ones, are no numbers."""
+    return text.isascii() and text.isdigit()
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, d in enumerate(reversed(digits)):
@@ -111,7 +116,7 @@ def islands(text: str) -> Iterator[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for m in _TRIGGER.finditer(text):
         a, b = m.span()
-        if not m.group().isdigit():
+        if not is_number(m.group()):
             a -= a > 0 and text[a - 1] == " "
             while a > 0 and (text[a - 1].isalnum() or text[a - 1] in _LOCAL_MARKS):
                 a -= 1
@@ -143,7 +148,7 @@ def _shape(token: str) -> str:
     t = token.strip()
     if not t:
         return "_"
-    if t.isdigit():
+    if is_number(t):
         return "9" * min(len(t), 5)
     return "a" if t.isalpha() else t
 
@@ -153,7 +158,7 @@ def _features(kind: str, tokens: list[str], i: int, j: int) -> tuple[int, ...]:
     before = tokens[i - 1] if i else "^"
     after = tokens[j] if j < len(tokens) else "$"
     word_before = next((t.lower() for t in reversed(tokens[max(0, i - 3) : i]) if t.isalpha()), "^")
-    groups = [t for t in inner if t.isdigit()]
+    groups = [t for t in inner if is_number(t)]
     digits = "".join(groups)
     names = [
         "bias",
@@ -173,7 +178,7 @@ def _features(kind: str, tokens: list[str], i: int, j: int) -> tuple[int, ...]:
     else:
         names += [
             "groups=" + "-".join(str(min(len(g), 20)) for g in groups),
-            "joints=" + "".join(t.strip() or "_" for t in inner if not t.isdigit()),
+            "joints=" + "".join(t.strip() or "_" for t in inner if not is_number(t)),
             f"digits={len(digits)}",
             f"first={digits[0]}",
             f"plus={inner[0] == '+'}",
@@ -190,12 +195,12 @@ def candidates(tokens: list[str]) -> list[Candidate]:
     out = []
     n = len(tokens)
     for i, first in enumerate(tokens):
-        if first.isdigit() or first in ("+", "("):
+        if is_number(first) or first in ("+", "("):
             digits = groups = dots = 0
             others = False
             for j in range(i, min(n, i + MAX_TOKENS)):
                 t = tokens[j]
-                if t.isdigit() and t.isascii():
+                if is_number(t):
                     digits += len(t)
                     groups += 1
                     if digits > 19:
@@ -325,7 +330,7 @@ def written_otherwise(text: str, spans: list[Span], turn: int) -> tuple[str, lis
         if start < at:
             continue
         value, way = text[start:end], (turn + k) % 4
-        digits = "".join(c for c in value if c.isdigit())
+        digits = "".join(c for c in value if is_number(c))
         if kind == "email":
             name, _, host = value.partition("@")
             value = (value, f"{name} [at] {host}", f"{name} (at) {host.replace('.', ' (dot) ')}", value)[way]

@@ -57,6 +57,9 @@ def digest_hex(field: str) -> str:
     return base64.b32decode(value).hex()
 
 
+REQUIRED = {"warc-type", "warc-record-id", "warc-date", "content-length"}
+
+
 def record(headers: list[tuple[str, str]], block: bytes) -> bytes:
     """A WARC record; header values may not hold line ends."""
     lines = [VERSION]
@@ -78,8 +81,11 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
         name, colon, value = line.partition(":")
         if not colon or not name.strip():
             raise ValueError(f"bad header line {line[:60]!r}")
-        headers[name.strip().lower()] = value.strip()
-    missing = {"warc-type", "warc-record-id", "warc-date", "content-length"} - headers.keys()
+        name = name.strip().lower()
+        if name in REQUIRED and name in headers:
+            raise ValueError(f"{name} is repeated")
+        headers[name] = value.strip()
+    missing = REQUIRED - headers.keys()
     if missing:
         raise ValueError(f"missing {sorted(missing)}")
     if not headers["content-length"].isdecimal():
