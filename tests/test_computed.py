@@ -184,3 +184,10 @@ def test_computed_tables_leave_the_session_as_it_was(spark):
     assert (one.count(), two.count(), spark.table("kept_view").count()) == (2, 7, 3)
     assert not spark.catalog.tableExists("fresh_view")
     spark.catalog.dropTempView("kept_view")
+
+
+def test_views_are_put_back_whatever_their_case(spark):
+    spark.range(3).createOrReplaceTempView("kept_view")
+    assert computed.computed_table(spark, {"Kept_View": spark.range(5)}, "SELECT * FROM kept_view").count() == 5
+    assert spark.table("kept_view").count() == 3
+    spark.catalog.dropTempView("kept_view")

@@ -144,8 +144,10 @@ def test_capped_scan_resolves_and_passes_nothing_unread(spark):
     )
     assert statuses(capped.anomalies) == {"Active": 10} and capped.checkpoints.count() == 0
     bare = {"t": Container(world[0]["t"].df, ["id"])}
-    with pytest.raises(ValueError, match="partition columns"):
-        op.run_scan(spark, bare, *world[1:], "s1", "2024-02-01", max_records_analyzed_per_partition=1)
+    with pytest.raises(ValueError, match="records per partition"):
+        op.run_scan(spark, bare, *world[1:], "s1", "2024-02-01", max_records_analyzed_per_partition=-2)
+    dealt = op.run_scan(spark, bare, *world[1:], "s1", "2024-02-01", max_records_analyzed_per_partition=1)
+    assert 0 < dealt.anomalies.count() <= 10  # dealt to parts by key, one record of each
 
 
 def test_marks_keep_every_digit_and_rows_that_arrive_late(spark, tmp_path):

@@ -43,6 +43,12 @@ def test_between_decimal_and_date(spark):
     assert failing(spark, df, Check("t", "between", ["d"], {"max_value": "2024-01-01"})) == keys(1)
 
 
+def test_between_keeps_large_whole_numbers_apart(spark):
+    df = spark.createDataFrame([(i, 2**53 + i) for i in range(4)], "id int, n bigint")
+    assert failing(spark, df, Check("t", "between", ["n"], {"min": f"{2**53 + 1}.5", "max": "9007199254740994.0"})) == keys(0, 1, 3)
+    assert failing(spark, df, Check("t", "between", ["n"], {"max": "9.007199254740993E15"})) == keys(2, 3)
+
+
 def test_unique_ignores_null_tuples(spark, t):
     assert failing(spark, t, Check("t", "unique", ["s"])) == keys(1, 4)
     assert failing(spark, t, Check("t", "unique", ["s", "x"])) == []

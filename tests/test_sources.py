@@ -3,6 +3,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from veriframe import session as vs
+from veriframe.functions import skew
+from veriframe.operators.profile import profile_incremental
 from veriframe.sources import bounds, discover, readers, sampling, sinks
 
 
@@ -100,6 +102,57 @@ def test_cap(spark):
     assert "WindowGroupLimit" in plan
 
 
+@pytest.fixture
+def low_limit(monkeypatch):
+    """Caps above three records are cut by ranges."""
+    monkeypatch.setattr(sampling, "DIRECT", 3)
+
+
+def ranked(data, n):
+    groups = {}
+    for p, i, v in data:
+        groups.setdefault(p, []).append((i, v))
+    return sorted(((p, *r) for p, g in groups.items() for r in sorted(g)[:n]), key=lambda r: tuple((x is None, str(x)) for x in r))
+
+
+@pytest.mark.parametrize("n", [2, 7, 500, 2_999, 5_000])
+def test_cap_of_a_hot_group(spark, low_limit, no_broadcast, n):
+    data = [("hot" if i % 3 else None if i % 2 else f"p{i % 40}", (i * 7_919) % 6_007, i) for i in range(6_000)]
+    df = spark.createDataFrame(data, "`p.q` string, i int, v int").repartition(7)
+    got = rows(sampling.cap_per_partition(df, n, ["p.q"], ["i", "v"]), "`p.q`", "i", "v")
+    assert got == ranked(data, n)
+
+
+def test_hot_group_is_ranked_in_its_cut_range_only(spark, monkeypatch):
+    """Four ranges of one group: two pass whole, one is cut, one is left out."""
+    seen = []
+    real = skew.durable
+    monkeypatch.setattr(skew, "durable", lambda df, label: seen.append((label, real(df, label))) or seen[-1][1])
+    df = spark.range(0, 40_000, 1, 8).select(F.lit("a").alias("g"), F.col("id").alias("i"))
+    conf = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        kept = skew.first_in_group(df, ["g"], ["i"], 25_000)
+        assert kept.agg(F.count("*"), F.max("i")).first() == (25_000, 24_999)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", conf)
+    sizes = [r["_m"] for r in dict(seen)["wanted_ranges"].collect()]
+    assert len(sizes) == 3 and max(sizes) < 2 * 10_000
+
+
+def test_cap_without_partition_columns(spark):
+    df = spark.range(4_000).select(F.col("id").alias("k"), (F.col("id") % 5).alias("v"))
+    got = sampling.cap_per_partition(df, 3, keys=["k"])
+    assert got.columns == df.columns and got.count() == 3 * sampling.SPLIT
+    assert rows(got) == rows(sampling.cap_per_partition(df.repartition(9), 3, keys=["k"]))
+    assert sampling.cap_per_partition(df, 2_000, keys=["k"]).count() == 4_000
+    assert rows(sampling.cap_per_partition(df, 1, order_cols=["k"], keys=["v"])) == [(i, i) for i in range(5)]
+    profile = profile_incremental(df, "t", max_records_per_partition=3)
+    assert {r["row_count"] for r in profile.collect()} == {3 * sampling.SPLIT}
+    with pytest.raises(ValueError):
+        profile_incremental(df, "t", max_records_per_partition=-2)
+
+
 def test_incremental(spark):
     df = spark.sql("SELECT id, timestampadd(DAY, id, TIMESTAMP_NTZ'2024-01-01') AS ts FROM range(10)")
     assert readers.incremental_filter(df, "ts", greater_than_time="2024-01-08T00:00:00").count() == 2

@@ -267,6 +267,27 @@ def group_index(df: DataFrame, by: Sequence[str], order: Sequence[str], name: st
     )
 
 
+def first_in_group(df: DataFrame, by: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` rows of each group by ``order``, no group held by one task.
+
+    Rows are range-partitioned on group and order, as in :func:`group_index`; the sizes of a group's
+    ranges tell which of them are taken whole, which is cut and which are left out. Only the rows
+    of the cut ranges, one per group, are ranked.
+    """
+    ranged = _ranged(df, *by, *order)
+    sizes = ranged.groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_m"))
+    earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.lit(n) - F.coalesce(F.sum("_m").over(earlier), F.lit(0))
+    # One row per group and range it touches.
+    wanted = durable(sizes.withColumn("_left", left).filter("_left > 0"), "wanted_ranges")
+    whole = ranged.join(wanted.filter("_m <= _left").select(*by, "_part"), [*by, "_part"], "left_semi")
+    cut = ranged.join(wanted.filter("_m > _left").select(*by, "_part", "_left"), [*by, "_part"])
+    rank = F.row_number().over(Window.partitionBy(*by, "_part").orderBy(*order))
+    ranked = cut.withColumn("_rank", rank).filter(F.col("_rank") <= F.col("_left"))
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return whole.select(*columns).unionByName(ranked.select(*columns))
+
+
 # Above this many rows a top-n is first cut down by a histogram, as every task
 # would otherwise send its own n rows to the last one.
 DIRECT_TOP = 1_000

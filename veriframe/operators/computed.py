@@ -23,13 +23,11 @@ def computed_table(
     """A container defined by a SQL query over named containers.
 
     The names are views only while the query is analysed; views of the session that have
-    such names are put back afterwards.
+    such names, in whatever case, are put back afterwards.
     """
-    before = {
-        name: spark.table(name)
-        for name in views
-        if any(t.isTemporary and t.name == name for t in spark.catalog.listTables(pattern=name))
-    }
+    taken = {t.name for name in views for t in spark.catalog.listTables(pattern=name) if t.isTemporary}
+    same = {name.lower() for name in views}
+    before = {t: spark.table(f"`{t}`") for t in taken if t.lower() in same}
     try:
         for name, df in views.items():
             df.createOrReplaceTempView(name)

@@ -239,8 +239,6 @@ def run_materialize(
             continue
         by = list((partition_cols or {}).get(name, ()))
         order = list((order_cols or {}).get(name, ()))
-        if max_records_per_partition not in (None, -1) and not by:
-            raise ValueError(f"{name} has no partition columns to cap records by")
         out[name] = materialize(df, f"{root.rstrip('/')}/{name}", max_records_per_partition, by, order)
     return out
 

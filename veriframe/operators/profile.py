@@ -153,11 +153,10 @@ def profile_incremental(
     order_cols: Sequence[str] = (),
     exact: bool = False,
 ) -> DataFrame:
-    """Profile of the rows past a time or batch, capped per partition."""
+    """Profile of the rows past a time or batch, capped per partition (see ``cap_per_partition``)."""
     if incremental_field:
         df = incremental_filter(df, incremental_field, greater_than_time, greater_than_batch)
-    if partition_cols:
-        df = cap_per_partition(df, max_records_per_partition, partition_cols, order_cols)
+    df = cap_per_partition(df, max_records_per_partition, partition_cols, order_cols)
     return field_profile(df, container, exact=exact)
 
 

@@ -8,7 +8,7 @@ Spark unchanged, so simple ones are pushed to the scan.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from decimal import Decimal
+from decimal import ROUND_CEILING, ROUND_FLOOR, Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -43,11 +43,16 @@ def bounds_of(properties: Mapping[str, str]) -> tuple[str | None, str | None]:
     return first("min_value", "min"), first("max_value", "max")
 
 
-def _bound(kind: T.DataType, text: str) -> Column:
-    """A bound in the field's own type where that is exact, so it reaches the scan."""
+def _bound(kind: T.DataType, text: str, low: bool) -> Column:
+    """A bound in the field's own type where that is exact, so it reaches the scan.
+
+    Whole numbers are as far from a fraction as from the next whole number inside the range.
+    """
     if isinstance(kind, T.IntegralType):
-        number = float(text)
-        return F.lit(int(text) if text.lstrip("+-").isdigit() else number)
+        number = Decimal(text)
+        if not number.is_finite():
+            return F.lit(float(text))
+        return F.lit(int(number.to_integral_value(ROUND_CEILING if low else ROUND_FLOOR)))
     if isinstance(kind, T.DecimalType):
         return F.lit(Decimal(text))
     if isinstance(kind, T.NumericType):
@@ -63,9 +68,9 @@ def fails_between(df: DataFrame, fields: Sequence[str], low: str | None, high: s
     for f in fields:
         kind = df.schema[f].dataType
         if low is not None:
-            conditions.append(F.col(f"`{f}`") < _bound(kind, low))
+            conditions.append(F.col(f"`{f}`") < _bound(kind, low, True))
         if high is not None:
-            conditions.append(F.col(f"`{f}`") > _bound(kind, high))
+            conditions.append(F.col(f"`{f}`") > _bound(kind, high, False))
     return _any(conditions)
 
 

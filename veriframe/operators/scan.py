@@ -61,16 +61,9 @@ def scanned_rows(name: str, container: Container, options: ScanOptions) -> DataF
             df = _between_marks(df, by, *after, options.up_to[name])
         else:
             df = incremental_filter(df, by, *after)
-    if options.max_records_per_partition not in (None, -1) and not container.partition_cols:
-        raise ValueError(f"{name} has no partition columns to cap records by")
-    if container.partition_cols:
-        df = cap_per_partition(
-            df,
-            options.max_records_per_partition,
-            container.partition_cols,
-            container.order_cols or container.keys,
-        )
-    return df
+    return cap_per_partition(
+        df, options.max_records_per_partition, container.partition_cols, container.order_cols or container.keys, container.keys
+    )
 
 
 def _between_marks(df: DataFrame, by: str, time: str | None, batch: float | str | None, last: str) -> DataFrame:

@@ -114,6 +114,17 @@ def q_cap_per_partition(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.cap_per_partition(lines, 3, ["l_suppkey"], CAP_ORDER).select("l_suppkey", *CAP_ORDER)
 
 
+def q_cap_hot_group(spark: SparkSession, sf: str) -> DataFrame:
+    """A cap beyond what one task ranks, on three values that share all lines."""
+    lines = table(spark, sf, "lineitem")
+    return sampling.cap_per_partition(lines, 1_500, ["l_returnflag"], CAP_ORDER).select("l_returnflag", *CAP_ORDER)
+
+
+def q_cap_default_split(spark: SparkSession, sf: str) -> DataFrame:
+    """No partition columns: orders are dealt to parts by a hash of their key and drawn by it."""
+    return sampling.cap_per_partition(table(spark, sf, "orders"), 10, keys=["o_orderkey"]).select("o_orderkey", "o_custkey")
+
+
 def q_materialize(spark: SparkSession, sf: str) -> DataFrame:
     monthly = computed.computed_file(
         table(spark, sf, "lineitem"),
@@ -163,6 +174,8 @@ QUERIES = {
     "incremental_filter": q_incremental_filter,
     "incremental_checkpoint": q_incremental_checkpoint,
     "cap_per_partition": q_cap_per_partition,
+    "cap_hot_group": q_cap_hot_group,
+    "cap_default_split": q_cap_default_split,
     "materialize": q_materialize,
     "enrichment_write": q_enrichment_write,
     "export_assets": q_export_assets,
@@ -230,6 +243,14 @@ ORACLES = {
         SELECT l_suppkey, l_extendedprice, l_orderkey, l_partkey, l_linenumber FROM (
             SELECT *, row_number() OVER (PARTITION BY l_suppkey
                 ORDER BY l_extendedprice, l_orderkey, l_partkey, l_linenumber) AS rn FROM lineitem) WHERE rn <= 3""",
+    "cap_hot_group": """
+        SELECT l_returnflag, l_extendedprice, l_orderkey, l_partkey, l_linenumber FROM (
+            SELECT *, row_number() OVER (PARTITION BY l_returnflag
+                ORDER BY l_extendedprice, l_orderkey, l_partkey, l_linenumber) AS rn FROM lineitem) WHERE rn <= 1500""",
+    "cap_default_split": """
+        SELECT o_orderkey, o_custkey FROM (
+            SELECT *, row_number() OVER (PARTITION BY CAST('0x' || d[1:8] AS BIGINT) % 32 ORDER BY d) AS rn
+            FROM (SELECT *, md5(CAST(o_orderkey AS VARCHAR)) AS d FROM orders)) WHERE rn <= 10""",
     "materialize": """
         SELECT l_suppkey, l_returnflag, n, price FROM (
             SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY price, l_suppkey) AS rn FROM (

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from veriframe.functions.keys import COVERAGE_STEPS, hash_slot, record_key
-from veriframe.functions.skew import first_by_hash
+from veriframe.functions.skew import first_by_hash, first_in_group, rows_by_membership
+from veriframe.session import durable
 
 
 def table_sample(
@@ -32,19 +33,52 @@ def view_sample(df: DataFrame, n: int, key: Sequence[str] = ()) -> DataFrame:
     return first_by_hash(drawn, "_draw", n).drop("_draw")
 
 
+SPLIT = 32  # parts of a container that names no partition columns
+DIRECT = 1_000  # records per partition that a task may send to the one that ranks them
+
+
 def cap_per_partition(
     df: DataFrame,
     n: int | None,
-    partition_cols: Sequence[str],
-    order_cols: Sequence[str],
+    partition_cols: Sequence[str] = (),
+    order_cols: Sequence[str] = (),
+    keys: Sequence[str] = (),
+    split: int = SPLIT,
 ) -> DataFrame:
-    """At most ``n`` records per partition value; None or -1 means all.
+    """At most ``n`` records per partition value, the first by ``order_cols``; None or -1 means all.
+
+    Without partition columns the records are dealt to ``split`` parts by a hash of their key, without order columns they are
+    drawn by it, so the same records stay whatever the layout of the data. Nulls are a partition value of their own.
 
-    Written as ``row_number() <= n``, which Spark prunes before the shuffle.
+    A small ``n`` is written as ``row_number() <= n``, which Spark prunes before the shuffle. Beyond that partitions
+    that are small enough pass as they are, and the others are cut by ranges, so that no task sorts a
+    whole partition value (see ``first_in_group``).
     """
     if n is None or n == -1:
         return df
     if n < -1:
         raise ValueError("records per partition must be -1 (unlimited) or more")
-    order = Window.partitionBy(*partition_cols).orderBy(*order_cols)
-    return df.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= n).drop("_rn")
+    rows, by, order = df, [f"`{c}`" for c in partition_cols], [f"`{c}`" for c in order_cols]
+    if not by or not order:
+        key = record_key(df, keys)
+        if not by:
+            rows, by = rows.withColumn("_dealt", hash_slot(key) % split), ["_dealt"]
+        if not order:
+            rows, order = rows.withColumn("_draw", F.md5(key)), ["_draw"]
+    if n <= DIRECT:
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        kept = rows.withColumn("_rn", rank).filter(F.col("_rn") <= n)
+    else:
+        group = F.to_json(F.struct(*[F.col(c) for c in by]), {"ignoreNullFields": "false"})
+        named = rows.withColumn("_group", group)
+        large = named.groupBy("_group").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > n).select("_group")
+        # Few groups hold more than n records: their rows alone are dealt out and ranked.
+        large = durable(large, "large_groups")
+        passed = rows_by_membership(named, ["_group"], large, ["_group"], present=False)
+        cut = rows_by_membership(named, ["_group"], large, ["_group"], present=True)
+        columns = [c.strip("`") for c in order]
+        # Ranges are cut on copies of the order columns, whose names need no quotes.
+        copies = [f"_order{i}" for i in range(len(columns))]
+        cut = cut.withColumns({a: F.col(f"`{c}`") for a, c in zip(copies, columns)})
+        kept = passed.unionByName(first_in_group(cut, ["_group"], copies, n).drop(*copies))
+    return kept.select(*[F.col(f"`{c}`") for c in df.columns])
