@@ -183,3 +183,30 @@ def test_references_by_name_and_datastore(spark):
     lost = checks_frame(spark, [Check("t", "existsIn", ["k"], {"ref_container": "nowhere", "field_name": "k"})])
     with pytest.raises(ValueError, match="nowhere"):
         scan(spark, containers, lost)
+
+
+def test_repeated_run_leaves_the_store_as_one_run(spark, tmp_path):
+    world = big_world(spark)
+
+    def stored(folder):
+        def table(name):
+            return spark.read.parquet(f"{tmp_path}/{folder}/p_{name}")
+
+        return rows(table("anomalies"), "run_id", "check_uid", "record_key", "fingerprint"), rows(table("source_records"), "run_id", "fingerprint", "source_record")
+
+    def run(folder, run_id, strategy="append"):
+        op.run_scan(
+            spark, *world, run_id, "2024-02-01", enrichment_source_record_limit=4, enrichment_root=f"{tmp_path}/{folder}", enrichment_prefix="p_",
+            remediation_strategy=strategy,
+        )
+
+    run("once", "a/1")
+    run("once", "b")
+    for run_id in ("a/1", "b", "a/1", "b", "b"):
+        run("often", run_id)
+    assert stored("often") == stored("once")
+    assert len(stored("once")[0]) == 20 and len(stored("once")[1]) == 8 and {r[0] for r in stored("once")[0]} == {"a/1", "b"}
+    run("often", "c", "overwrite")
+    assert {r[0] for r in stored("often")[1]} == {"c"} and len(stored("often")[0]) == 30
+    with pytest.raises(ValueError, match="source record limit"):
+        op.run_scan(spark, *world, "d", "2024-02-01", remediation_strategy="append")

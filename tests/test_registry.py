@@ -272,6 +272,20 @@ def test_lineage_has_no_depth_limit(spark):
     assert lineage.lineage_closure(chain).count() == 21
 
 
+def test_lineage_rounds_grow_with_the_logarithm_of_depth(spark, monkeypatch):
+    rounds = []
+    real = lineage.durable
+    monkeypatch.setattr(lineage, "durable", lambda df, label: rounds.append(label) or real(df, label))
+    chain = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(i, i + 3) for i in range(0, 60, 20)], "child int, parent int")
+    out = rows(lineage.lineage_closure(chain))
+    assert len(rounds) <= 9 and len(out) == 200 * 201 // 2
+    jumps = {i: i + 3 for i in range(0, 60, 20)}
+    steps, at = 0, 0
+    while at < 200:
+        at, steps = jumps.get(at, at + 1), steps + 1
+    assert (0, 200, steps) in out and (199, 200, 1) in out and (0, 3, 1) in out
+
+
 def test_repeated_changes_and_map_order(spark):
     old = spark.createDataFrame([(1, "a", "b"), (2, "c", "d")], "id int, x string, y string")
     changes = spark.createDataFrame(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import count
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,29 +25,21 @@ def lineage_edges(containers: DataFrame) -> DataFrame:
 def lineage_closure(edges: DataFrame) -> DataFrame:
     """``child, ancestor, depth`` for all reachable ancestors, shortest depth.
 
-    One round per level, bounded by the depth of the graph; each round only
-    extends the pairs that were new, and is written to reliable storage. A
-    cycle ends by itself, as its pairs repeat. A container that very many others
-    read is a hot key of the step: both inputs of that join are plain shuffles,
-    so adaptive execution splits it.
+    A round doubles the length that is known: a shortest path of up to twice 2 ** k steps is one of exactly 2 ** k, followed by one
+    that is known, so the pairs at that depth are joined with all pairs. Rounds grow with the logarithm of the
+    depth, the pairs they make with the result. Each is written to reliable storage. Cycles end by themselves, as no
+    new pair is at the next power of two. A container that very many others read is a hot key of the step: both inputs of
+    that join are plain shuffles, so adaptive execution splits it.
     """
-    pairs = edges.select("child", "parent").distinct()
-    closed = durable(pairs.withColumn("depth", F.lit(1)))
-    frontier = closed.drop("depth")
-    up = frontier.select(F.col("child").alias("_via"), F.col("parent").alias("_up"))
-    for depth in count(2):
-        longer = (
-            frontier.join(up, frontier["parent"] == up["_via"])
-            .select("child", F.col("_up").alias("parent"))
-            .distinct()
-        )
-        known = closed.select(F.col("child").alias("_c"), F.col("parent").alias("_p"))
-        fresh = durable(
-            longer.join(
-                known, (longer["child"] == known["_c"]) & (longer["parent"] == known["_p"]), "left_anti"
-            )
-        )
-        if fresh.isEmpty():
+    closed = durable(edges.select("child", "parent").distinct().withColumn("depth", F.lit(1)), "lineage")
+    step = 1
+    while True:
+        first = closed.filter(F.col("depth") == step).select("child", F.col("parent").alias("_via"))
+        if first.isEmpty():
             return closed.withColumnRenamed("parent", "ancestor")
-        closed = closed.unionByName(fresh.withColumn("depth", F.lit(depth)))
-        frontier = fresh
+        then = closed.select(F.col("child").alias("_from"), "parent", F.col("depth").alias("_more"))
+        longer = first.join(then, first["_via"] == then["_from"]).groupBy("child", "parent").agg((F.min("_more") + step).alias("depth"))
+        known = closed.select(F.col("child").alias("_c"), F.col("parent").alias("_p"))
+        fresh = longer.join(known, (longer["child"] == known["_c"]) & (longer["parent"] == known["_p"]), "left_anti")
+        closed = closed.unionByName(durable(fresh, "lineage"))
+        step *= 2

@@ -21,7 +21,7 @@ from veriframe.operators.scan import Container, ScanOptions, scan, scan_summary,
 from veriframe.session import durable
 from veriframe.sources.discover import sync_diff
 from veriframe.sources.readers import CHECKPOINT_SCHEMA, next_checkpoint
-from veriframe.sources.sinks import export_assets, materialize, select_containers
+from veriframe.sources.sinks import enrichment_write, export_assets, materialize, select_containers
 
 RUN_COLUMNS = (
     "id string, datastore string, type string, result string, created timestamp_ntz, "
@@ -95,6 +95,9 @@ def run_scan(
     max_records_analyzed_per_partition: int | None = None,
     enrichment_source_record_limit: int | None = None,
     high_count_rollup_threshold: int | None = None,
+    enrichment_root: str | None = None,
+    enrichment_prefix: str = "",
+    remediation_strategy: str = "none",
 ) -> ScanRun:
     """Scan the selected containers and fold the result into the anomaly table.
 
@@ -103,7 +106,12 @@ def run_scan(
     left to the next run; rows without a value are read every time. References are always
     read whole. Under a record cap nothing is resolved and no mark moves, as records
     were left out. What still fails is not resolved, rolled up or not.
+
+    With ``enrichment_root`` the failures are written to the enrichment store there, and the source rows of new anomalies
+    (as many as ``enrichment_source_record_limit``) as ``remediation_strategy`` says; a run that is repeated replaces its own rows.
     """
+    if remediation_strategy != "none" and (enrichment_root is None or enrichment_source_record_limit is None):
+        raise ValueError("source rows are written below an enrichment root, and up to a source record limit")
     capped = max_records_analyzed_per_partition not in (None, -1)
     mine = chosen(containers, registry, names, tags)
     fields = {n: f for n, f in (incremental_fields or {}).items() if n in mine}
@@ -152,6 +160,10 @@ def run_scan(
         enriched = an.enrich_source_records(after.filter(fresh), sources, enrichment_source_record_limit)
         after = after.filter(~fresh).unionByName(enriched)
     after = durable(after, "anomalies")
+    if enrichment_root is not None:
+        rows = after.filter((F.col("scan_id") == run_id) & F.col("source_enriched"))
+        rows = rows.select("fingerprint", "check_uid", "container", "record_key", "source_record")
+        enrichment_write(folded, enrichment_root, enrichment_prefix, remediation_strategy, rows, run_id)
     totals = scan_summary(mine, ours, found, options).agg(
         F.sum("records_processed").alias("records"), F.sum("failures").alias("failures")
     ).first()

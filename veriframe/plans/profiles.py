@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veriframe.functions.skew import rows_by_membership
-from veriframe.operators import inference, observe, profile
+from veriframe.operators import inference, observe, profile, sketches
 from veriframe.operators.registry import Check, checks_frame
 from veriframe.operators.scan import Container
 from veriframe.plans.common import ANOMALIES, CHECKS, CONTAINERS, duck, frame, table
 from veriframe.plans.rules import HOLED
+from veriframe.session import durable
 from veriframe.sources.sinks import select_containers
 
 
@@ -154,6 +155,27 @@ def q_profile_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return _readable(out)
 
 
+def q_profile_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders profiled in three goes, each over the rows past the last one's mark, against their exact figures."""
+    orders = frame(spark, sf, HOLED).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    stored, mark = None, "1900-01-01 00:00:00"
+    for upto in ("1998-01-01 00:00:00", "2000-06-30 00:00:00", "2900-01-01 00:00:00"):
+        part = orders.filter(F.col("o_orderdate") <= F.lit(upto).cast("timestamp_ntz"))
+        stored = durable(sketches.profile_update(stored, part, "orders", "o_orderdate", greater_than_time=mark), "states")
+        mark = upto
+    out = sketches.described(stored)
+    exact = profile.exact_distinct(orders, orders.columns).select(F.col("field").alias("_f"), F.col("distinct_count").alias("_d"))
+    numbers = profile.numeric_fields(orders)
+    middles = profile.quantile_profile(orders, numbers, [0.5 - 2 * sketches.RANK_ERROR, 0.5 + 2 * sketches.RANK_ERROR], exact=True)
+    around = middles.groupBy(F.col("field").alias("_g")).agg(F.min("value").alias("_low"), F.max("value").alias("_high"))
+    both = out.join(exact, F.col("field") == F.col("_f")).join(around, F.col("field") == F.col("_g"), "left")
+    return both.select(
+        "field", "row_count", "null_count", "min", "max", F.round("mean", 4).alias("mean"), F.round("stddev", 4).alias("stddev"), "pattern",
+        (F.abs(F.col("distinct_count") - F.col("_d")) <= 4 * sketches.DISTINCT_ERROR * F.col("_d")).alias("distinct_close"),
+        F.coalesce(F.col("quantiles")[1].between(F.col("_low"), F.col("_high")), F.col("quantiles").isNull()).alias("median_close"),
+    )
+
+
 # --- observability ---------------------------------------------------------
 
 
@@ -228,6 +250,7 @@ QUERIES = {
     "test_inferred_checks": q_test_inferred_checks,
     "profile_selected": q_profile_selected,
     "profile_incremental": q_profile_incremental,
+    "profile_sketches": q_profile_sketches,
     "volume": q_volume,
     "freshness": q_freshness,
     "null_check": q_null_check,
@@ -383,6 +406,9 @@ ORACLES = {
         "WHERE list_has_any(string_split(tags, ','), ['machinery', 'n7'])))",
         {"status": "string", "weight": "int", "created": "timestamp_ntz"},
     ),
+    "profile_sketches": "SELECT field, row_count, null_count, min, max, mean, stddev, pattern, true AS distinct_close, "
+    "true AS median_close FROM ("
+    + _profile_sql("orders", duck(HOLED), {k: v for k, v in _ORDER_KINDS.items() if k != "o_orderstatus"}) + ")",
     "profile_incremental": _profile_sql(
         "orders",
         "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn "

@@ -136,6 +136,19 @@ def q_materialize(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_enrichment_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs, the second one three times: the rows the store then holds."""
+    orders = table(spark, sf, "orders")
+    root = scratch(spark, "enrichment_runs")
+    for run_id, limit in (("first", 400_000), ("second", 450_000), ("second", 450_000), ("second", 450_000)):
+        check = Check("orders", "between", ["o_totalprice"], {"max_value": limit})
+        failures = scan(spark, {"orders": Container(orders, ["o_orderkey"])}, checks_frame(spark, [check]))
+        rows = orders.filter(F.col("o_totalprice") > limit).select(F.col("o_orderkey").cast("string").alias("record_key"))
+        paths = sinks.enrichment_write(failures, root, "dq_", "append", rows, run_id)
+    stored = [spark.read.parquet(path).select("run_id", "record_key").withColumn("table_name", F.lit(name)) for name, path in paths.items()]
+    return stored[0].unionByName(stored[1])
+
+
 def q_enrichment_write(spark: SparkSession, sf: str) -> DataFrame:
     """Three runs with append, append and overwrite, as the store then holds them."""
     orders = table(spark, sf, "orders")
@@ -178,6 +191,7 @@ QUERIES = {
     "cap_default_split": q_cap_default_split,
     "materialize": q_materialize,
     "enrichment_write": q_enrichment_write,
+    "enrichment_runs": q_enrichment_runs,
     "export_assets": q_export_assets,
 }
 
@@ -256,6 +270,10 @@ ORACLES = {
             SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY price, l_suppkey) AS rn FROM (
                 SELECT l_suppkey, l_returnflag, count(*) AS n, round(sum(l_extendedprice), 2) AS price
                 FROM lineitem GROUP BY ALL)) WHERE rn <= 50""",
+    "enrichment_runs": """
+        SELECT run_id, CAST(o_orderkey AS VARCHAR) AS record_key, table_name FROM orders
+        JOIN (VALUES ('first', 400000), ('second', 450000)) r(run_id, bound) ON o_totalprice > bound
+        CROSS JOIN (VALUES ('anomalies'), ('source_records')) t(table_name)""",
     "enrichment_write": """
         SELECT 'anomalies' AS table_name, 4 * count(*) AS row_count FROM orders WHERE o_totalprice > 400000
         UNION ALL SELECT 'source_records', count(*) FROM orders WHERE o_totalprice > 400000""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,11 +33,15 @@ def enrichment_write(
     prefix: str,
     strategy: str = "none",
     source_records: DataFrame | None = None,
+    run_id: str | None = None,
 ) -> dict[str, str]:
-    """Append anomalies to the enrichment store; source rows as ``strategy`` says.
+    """Add anomalies to the enrichment store; source rows as ``strategy`` says.
 
     ``none`` writes no source rows, ``append`` adds them, ``overwrite`` replaces
     the earlier ones. Returns the paths by table.
+
+    With ``run_id`` the rows of a run are a partition of their own, ``run_id``, which is replaced when the run
+    writes again: a run that is repeated leaves the store as one run does.
     """
     if strategy not in REMEDIATION:
         raise ValueError(f"remediation must be one of {', '.join(REMEDIATION)}")
@@ -45,9 +50,19 @@ def enrichment_write(
         "anomalies": f"{base}/{prefix}anomalies",
         "source_records": f"{base}/{prefix}source_records",
     }
-    failures.write.mode("append").parquet(paths["anomalies"])
-    if strategy != "none" and source_records is not None:
-        source_records.write.mode(strategy).parquet(paths["source_records"])
+    if run_id is None:
+        failures.write.mode("append").parquet(paths["anomalies"])
+        if strategy != "none" and source_records is not None:
+            source_records.write.mode(strategy).parquet(paths["source_records"])
+        return paths
+    part = f"run_id={quote(run_id, safe='')}"
+    failures.write.mode("overwrite").parquet(f"{paths['anomalies']}/{part}")
+    if strategy == "append" and source_records is not None:
+        source_records.write.mode("overwrite").parquet(f"{paths['source_records']}/{part}")
+    elif strategy == "overwrite" and source_records is not None:
+        # The whole table, so that no earlier run's rows stay.
+        whole = source_records.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").partitionBy("run_id")
+        whole.option("partitionOverwriteMode", "static").parquet(paths["source_records"])
     return paths
 
 
