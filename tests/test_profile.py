@@ -147,3 +147,27 @@ def test_trial_on_a_sample(spark):
     for bad in (0, -1):
         with pytest.raises(ValueError):
             inference.test_inferred(spark, {"t": Container(df, ["id"])}, checks, bad)
+
+
+def test_all_inclusions_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(3)
+    values = {
+        ("a", "i"): [rng.randint(0, 6) for _ in range(30)] + [None], ("a", "d"): [float(rng.randint(0, 9)) for _ in range(31)],
+        ("a", "s"): [rng.choice("012x") for _ in range(31)], ("a", "none"): [None] * 31,
+        ("b", "j"): list(range(10)), ("b", "t"): ["0", "1", "2", "x", "y", None, "z", "n5", "q", "0"], ("b", "f"): [0.5 * i for i in range(10)],
+    }
+    frames = {
+        "a": spark.createDataFrame(list(zip(*[v for (c, _), v in values.items() if c == "a"])), "i int, d double, s string, none double").withColumn("l", F.array("i")),
+        "b": spark.createDataFrame(list(zip(*[v for (c, _), v in values.items() if c == "b"])), "j bigint, t string, f double").withColumn("m", F.col("f").cast("decimal(5,1)")),
+    }
+    values["b", "m"] = values["b", "f"]
+    want = sorted(
+        (*x, *y) for x, u in values.items() for y, v in values.items()
+        if x != y and set(u) - {None} and isinstance(max(u, key=lambda z: z is not None), str) == isinstance(max(v, key=lambda z: z is not None), str) and set(u) - {None} <= set(v)
+    )
+    got = profile.all_inclusions(frames)
+    assert sorted(map(tuple, got.collect())) == want and len(want) >= 6
+    assert got.columns == ["container", "field", "ref_container", "ref_field"]
+    assert profile.all_inclusions({"a": frames["a"].limit(0)}).count() == 0

@@ -353,3 +353,45 @@ def inclusion_dependencies(
             )
         )
     return reduce(DataFrame.unionByName, parts).filter("missing = 0").drop("missing")
+
+
+def _comparable(col: Column, kind: T.DataType) -> Column | None:
+    """A value as text that is equal for equal values of its family, the family in front; None for nested types."""
+    if isinstance(kind, T.NumericType):
+        exact = col.try_cast("decimal(38,18)")
+        return F.concat(F.lit("n"), F.coalesce(exact.cast("string"), col.cast("double").cast("string")))
+    if isinstance(kind, T.BinaryType):
+        return F.concat(F.lit("x"), F.hex(col))
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.concat(F.lit("t"), col.cast("timestamp").cast("string"))
+    if isinstance(kind, (T.StringType, T.BooleanType)):
+        return F.concat(F.lit(kind.typeName()[0]), col.cast("string"))
+    return None
+
+
+def all_inclusions(containers: Mapping[str, DataFrame]) -> DataFrame:
+    """All pairs of fields where each value of the one is among those of the other, as ``inclusion_dependencies`` names them.
+
+    Fields that hold no value are left out; numbers are compared across their types, as are times. Values
+    are shuffled once, to the set of fields that hold them, whatever the number of pairs: one row per value, field and
+    task at most. Equal sets are counted; a field lies in another if all its values are in sets that hold both.
+    """
+    fields = [(c, f.name) for c, df in containers.items() for f in df.schema.fields if _comparable(F.lit(None), f.dataType) is not None]
+    cells = []
+    for name, df in containers.items():
+        mine = [(i, f) for i, (c, f) in enumerate(fields) if c == name]
+        if mine:
+            held = [F.struct(F.lit(i).alias("i"), _comparable(F.col(f"`{f}`"), df.schema[f].dataType).alias("v")) for i, f in mine]
+            cells.append(df.select(F.explode(F.array(*held)).alias("e")).select("e.i", "e.v").filter("v IS NOT NULL"))
+    # A set holds each field once, so it is as long as there are fields at most.
+    sets = reduce(DataFrame.unionAll, cells).groupBy("v").agg(F.sort_array(F.collect_set("i")).alias("s"))
+    counted = sets.groupBy("s").agg(F.count(F.lit(1)).alias("n"))
+    pairs = counted.select("s", "n", F.explode("s").alias("i")).select("i", "n", F.explode("s").alias("j"))
+    shared = pairs.groupBy("i", "j").agg(F.sum("n").alias("n"))
+    whole = shared.filter("i = j").select(F.col("i").alias("_i"), F.col("n").alias("_n"))
+    found = shared.join(whole, (F.col("i") == F.col("_i")) & (F.col("n") == F.col("_n"))).filter("i <> j")
+    names = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(f).alias("f")) for c, f in fields])
+    return found.select(
+        names[F.col("i")]["c"].alias("container"), names[F.col("i")]["f"].alias("field"),
+        names[F.col("j")]["c"].alias("ref_container"), names[F.col("j")]["f"].alias("ref_field"),
+    )

@@ -155,6 +155,18 @@ def q_profile_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return _readable(out)
 
 
+INCLUDED = {
+    "region": ["r_regionkey", "r_name"], "nation": ["n_nationkey", "n_regionkey", "n_name"], "customer": ["c_custkey", "c_nationkey", "c_mktsegment"],
+    "supplier": ["s_suppkey", "s_nationkey"], "part": ["p_partkey", "p_size"], "orders": ["o_orderkey", "o_custkey", "o_orderstatus"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus"],
+}
+
+
+def q_inclusions(spark: SparkSession, sf: str) -> DataFrame:
+    """Which key and code fields of seven tables lie in which others: all pairs, from one shuffle of values."""
+    return profile.all_inclusions({name: table(spark, sf, name).select(*fields) for name, fields in INCLUDED.items()})
+
+
 def q_profile_sketches(spark: SparkSession, sf: str) -> DataFrame:
     """Orders profiled in three goes, each over the rows past the last one's mark, against their exact figures."""
     orders = frame(spark, sf, HOLED).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
@@ -251,6 +263,7 @@ QUERIES = {
     "profile_selected": q_profile_selected,
     "profile_incremental": q_profile_incremental,
     "profile_sketches": q_profile_sketches,
+    "inclusions": q_inclusions,
     "volume": q_volume,
     "freshness": q_freshness,
     "null_check": q_null_check,
@@ -354,7 +367,18 @@ def _score(rules: list[str]) -> str:
     )
 
 
+def _inclusions_sql() -> str:
+    texts = {"r_name", "n_name", "c_mktsegment", "o_orderstatus", "l_returnflag", "l_linestatus"}
+    pairs = [(t, f, u, g) for t, fs in INCLUDED.items() for f in fs for u, gs in INCLUDED.items() for g in gs]
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS container, '{f}' AS field, '{u}' AS ref_container, '{g}' AS ref_field "
+        f"WHERE EXISTS (SELECT 1 FROM {t} WHERE {f} IS NOT NULL) AND NOT EXISTS (SELECT 1 FROM {t} x ANTI JOIN {u} y ON x.{f} = y.{g} WHERE x.{f} IS NOT NULL)"
+        for t, f, u, g in pairs if (t, f) != (u, g) and (f in texts) == (g in texts)
+    )
+
+
 ORACLES = {
+    "inclusions": _inclusions_sql(),
     "field_profile": _profile_sql("orders", duck(HOLED), _ORDER_KINDS),
     "approx_distinct": " UNION ALL ".join(
         f"SELECT '{c}' AS field, count(DISTINCT {c}) AS exact_count, true AS within FROM lineitem" for c in APPROX_FIELDS
