@@ -94,6 +94,31 @@ def test_correlation(spark):
     assert rows(profile.correlation_profile(df, ["a", "b", "c", "flat"], 0.9)) == [("a", "b", -1.0)]
 
 
+def test_correlation_of_many_columns_equals_pairs(spark, monkeypatch):
+    """Nulls in different rows, constants, large offsets, and columns over several blocks."""
+    from veriframe.operators import gram
+
+    monkeypatch.setattr(gram, "BLOCK", 4)
+    monkeypatch.setattr(gram, "ROWS", 50)
+    monkeypatch.setattr(gram, "FAN_IN", 2)
+    df = spark.range(0, 600, 1, 5).selectExpr(
+        "id AS a", "if(id % 7 = 0, null, -2 * id + pmod(id * 7919, 13)) AS b", "pmod(id * 7919, 13) + 1e9 AS c", "0.1 AS flat", "cast(null as double) AS none",
+        "if(id % 5 = 0, null, id * id) AS d", "cast(sqrt(id) as decimal(10, 3)) AS e", "if(id < 300, null, 5) AS half", "float(pmod(id * 31, 17)) AS g", "if(id = 3, id, null) AS one",
+    )
+    for threshold in (0.0, 0.5):
+        got, want = ({r[:2]: r[2] for r in rows(f(df, df.columns, threshold))} for f in (gram.correlations, profile.correlation_profile))
+        assert got == {k: pytest.approx(v, abs=2e-6) for k, v in want.items()} and len(want) > 3
+    assert gram.correlations(df.limit(0), df.columns, 0.0).count() == 0
+    odd = df.select("a", F.when(F.col("a") == 9, float("nan")).otherwise(F.col("g")).alias("g"), "d")
+    assert str(rows(gram.correlations(odd, odd.columns, 0.9))) == str(rows(profile.correlation_profile(odd, odd.columns, 0.9)))
+
+
+def test_five_hundred_columns(spark):
+    df = spark.range(0, 300, 1, 4).select(*[((F.col("id") * (2 * i + 1)) % 101 + (F.col("id") if i % 50 == 0 else 0) * 1_000).alias(f"c{i}") for i in range(500)])
+    got = rows(profile.correlation_profile(df, df.columns, 0.99))
+    assert {a for a, _, _ in got} | {b for _, b, _ in got} >= {f"c{i}" for i in range(0, 500, 50)}
+
+
 def test_inclusion_dependencies(spark, t):
     ref = spark.createDataFrame([(i,) for i in range(1, 6)], "k int")
     pairs = [("t", "id", "ref", "k"), ("ref", "k", "t", "id")]

@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veriframe.functions.skew import running_total
+from veriframe.operators.gram import correlations
 from veriframe.sources.readers import incremental_filter
 from veriframe.sources.sampling import cap_per_partition
 
 # Keeps one aggregation's generated code small. A pass reads its own columns only,
 # so more passes read no more data.
 COLUMNS_PER_PASS = 20
+PAIRS_PER_PASS = 200
 RSD = 0.05  # standard error of distinct sketches; halving it needs four times the buffer
 
 
@@ -318,8 +320,13 @@ def _correlation(a: str, b: str) -> Column:
 
 
 def correlation_profile(df: DataFrame, cols: Sequence[str], threshold: float) -> DataFrame:
-    """``field_a, field_b, correlation`` of pairs with at least ``threshold`` in size."""
+    """``field_a, field_b, correlation`` of pairs with at least ``threshold`` in size.
+
+    The pairs of some twenty columns are one aggregation; more are taken from a Gram matrix.
+    """
     pairs = list(combinations(cols, 2))
+    if len(pairs) > PAIRS_PER_PASS:
+        return correlations(df, cols, threshold)
     wide = df.agg(*[_correlation(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
     entries = [
         F.struct(

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +28,18 @@ def session(app: str = "veriframe", master: str | None = None, **conf: str) -> S
     return builder.getOrCreate()
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from a checkout that is not installed, by its folder on their path.
+
+    A cluster whose workers cannot see the folder has the package installed or shipped (``--py-files``).
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 

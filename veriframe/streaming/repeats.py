@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
+from veriframe.session import importable
 from veriframe.streaming.streams import as_given, event_time
 
 END_OF_TIME = "9999-01-01 00:00:00"
@@ -123,6 +124,7 @@ def stream_repeats(stream: DataFrame, keys: Sequence[str], ts: str, within: str,
     task as a stream, and its state does not grow with them.
     """
     spark = stream.sparkSession
+    importable(spark)
     spark.conf.set(PROVIDER_KEY, PROVIDER)
     cols = [F.col(f"`{k}`") for k in keys]
     complete = F.lit(True)
