@@ -191,3 +191,19 @@ def test_views_are_put_back_whatever_their_case(spark):
     assert computed.computed_table(spark, {"Kept_View": spark.range(5)}, "SELECT * FROM kept_view").count() == 5
     assert spark.table("kept_view").count() == 3
     spark.catalog.dropTempView("kept_view")
+
+
+@pytest.mark.parametrize(
+    ("view", "select", "want"),
+    [
+        ("EXPLODE(a) item", "id, item", [(1, "x"), (1, "y)")]), ("explode(a) AS item", "id, item", [(1, "x"), (1, "y)")]),
+        ("POSEXPLODE(a) pos, item", "id, pos, item", [(1, 0, "x"), (1, 1, "y)")]), ("POSEXPLODE(a)  as  `p q`,item", "id, `p q`, item", [(1, 0, "x"), (1, 1, "y)")]),
+        ("EXPLODE(m) k, v", "id, k, v", [(1, "k", 2)]), ("OUTER EXPLODE(m) AS k, v", "id, k, v", [(1, "k", 2), (2, None, None)]),
+        ("EXPLODE(split('a) b,c', '[,)]')) part", "id, part", [(i, p) for i in (1, 2) for p in (" b", "a", "c")]), ("EXPLODE(a)", "id, col", [(1, "x"), (1, "y)")]),
+    ],
+)
+def test_lateral_view_forms(spark, view, select, want):
+    df = spark.sql("SELECT 1 AS id, array('x', 'y)') AS a, map('k', 2) AS m UNION ALL SELECT 2, array(), map()")
+    assert rows(computed.computed_file(df, select, lateral_views=[view])) == want
+    with pytest.raises(ValueError, match="no whole call"):
+        computed.computed_file(df, "id", lateral_views=["EXPLODE(a item"])

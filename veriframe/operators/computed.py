@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
@@ -56,6 +57,21 @@ def _over_view(df: DataFrame, build: Callable[[str], str]) -> DataFrame:
         spark.catalog.dropTempView(view)
 
 
+def _call_end(clause: str) -> int:
+    """Where the call that a lateral view starts with ends: behind the bracket that closes its first one, quotes aside."""
+    depth, quote = 0, None
+    for i, c in enumerate(clause):
+        if quote:
+            quote = None if c == quote else quote
+        elif c in "'\"`":
+            quote = c
+        elif c in "()":
+            depth += 1 if c == "(" else -1
+            if depth == 0:
+                return i + 1
+    raise ValueError(f"no whole call in the lateral view {clause}")
+
+
 def computed_file(
     src: DataFrame,
     select: str,
@@ -65,15 +81,16 @@ def computed_file(
 ) -> DataFrame:
     """A select clause over one source, with optional where, group-by and lateral views.
 
-    The clauses go to Spark unchanged. A lateral view reads like
-    ``EXPLODE(items) item``.
+    The clauses go to Spark unchanged. A lateral view reads like ``EXPLODE(items) item``,
+    ``POSEXPLODE(items) AS pos, item`` or ``OUTER EXPLODE(map) key, value``; without names it has Spark's own.
     """
 
     def build(view: str) -> str:
         parts = [f"SELECT {select} FROM {view}"]
         for i, clause in enumerate(lateral_views):
-            call, _, alias = clause.rpartition(" ")
-            parts.append(f"LATERAL VIEW {call} lv_{i} AS {alias}")
+            end = _call_end(clause)
+            names = re.sub(r"^\s*AS\s+", "", clause[end:], flags=re.IGNORECASE).strip()
+            parts.append(f"LATERAL VIEW {clause[:end]} lv_{i}" + (f" AS {names}" if names else ""))
         if where:
             parts.append(f"WHERE {where}")
         if group_by:
