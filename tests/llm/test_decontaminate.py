@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 from tests.llm.conftest import brief
 
@@ -68,6 +69,38 @@ def test_edges_and_blocks(spark, docs):
     assert brief(D.clean(docs(rows), bench, block_bytes=1).select("doc_id")) == [(2,), (2,), (3,)]
 
 
+@pytest.mark.parametrize("kept", [1, 100])
+def test_many_blocks_equal_brute_force(spark, docs, monkeypatch, kept):
+    rng = random.Random(kept)
+    text = lambda n: " ".join(rng.choice("abcd") for _ in range(n))
+    items = [(i % 9, text(rng.randint(0, 14))) for i in range(40)]
+    rows = [(i, text(rng.randint(0, 80))) for i in range(60)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string").repartition(5)
+    blocks = D.Blocks.write(bench, "item_id", "text", 10, 40)
+    assert len(blocks.rows) > 4 and sum(blocks.rows.values()) == len({w for _, t in items for w in D.windows_of(t, 10)})
+    monkeypatch.setattr(D, "KEPT", kept)
+    monkeypatch.setattr(D, "SLICE_BYTES", 200)
+    monkeypatch.setattr(D, "RELOAD_BYTES", 900)
+    D._searchers.clear()
+    batch = pa.RecordBatch.from_pydict({"_text": [t for _, t in rows]})
+    got = [(p.column(0)[i].as_py(), *(x[i] for x in found)) for p, *found in blocks.search(batch, 0) for i in range(p.num_rows)]
+    assert [g[0] for g in got] == [t for _, t in rows]
+    for t, n, spans, found in got:
+        assert (n, sum(b - a for a, b in zip(spans[::2], spans[1::2])), found) == brute(t, items)
+    assert len(D._searchers) == min(kept, len(blocks.rows))
+    # The same through Spark, in any layout.
+    spread = D.contaminated_words(docs(rows).repartition(3), bench, block_bytes=40)
+    assert brief(spread) == brief(D.contaminated_words(docs(rows), bench))
+
+
+def test_a_block_that_lost_files_is_refused(spark):
+    bench = spark.createDataFrame([(1, "a b c")], "item_id bigint, text string")
+    blocks = D.Blocks.write(bench, "item_id", "text", 2, 100)
+    (block, n), = blocks.rows.items()
+    with pytest.raises(OSError, match="holds 2 windows of 3"):
+        D.Blocks(blocks.path, {block: n + 1}).searcher(block)
+
+
 def test_empty_tables(spark, docs):
     bench = spark.createDataFrame([], "item_id bigint, text string")
     assert brief(D.contamination(docs([]), bench)) == []

@@ -8,6 +8,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
+import pyarrow.fs  # noqa: F401  (pa.fs)
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,3 +83,12 @@ def slices(batch: pa.RecordBatch, name: str | int, max_bytes: int) -> Iterator[p
         total += n
     if len(sizes) > start:
         yield batch.slice(start)
+
+
+def opened(path: str) -> tuple[pa.fs.FileSystem, str]:
+    """The file system of a path of the shared folder, and the path within it."""
+    if "://" not in path and not path.startswith("file:"):
+        return pa.fs.LocalFileSystem(), path
+    if path.startswith("file:"):
+        return pa.fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    return pa.fs.FileSystem.from_uri(path)

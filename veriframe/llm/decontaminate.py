@@ -8,6 +8,9 @@ cursor jumps over positions where no window can end. A zero shift selects a
 compared word by word. Each task moves a few thousand cursors through its texts
 at once, which makes every step one numpy operation.
 
+Spark makes and groups the windows and writes them in hash blocks to the shared
+folder. Tasks build the tables of a block from its files; the driver sees sizes only.
+
 Words are maximal runs of ASCII letters and digits and of all characters beyond
 ASCII, with A-Z lower-cased.
 """
@@ -15,20 +18,27 @@ ASCII, with A-Z lower-cased.
 from __future__ import annotations
 
 import dataclasses
+from array import array
 from collections.abc import Iterable, Iterator
-from itertools import repeat
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veriframe.llm.common import col, slices
+from veriframe.llm.common import col, opened, slices
+from veriframe.session import scratch
 
 WINDOW = 10
-# One searcher holds windows of so many bytes of items; a larger benchmark takes several.
-BLOCK_BYTES = 16 << 20
+# One searcher holds the windows of so many characters of items; a larger benchmark takes several.
+BLOCK_BYTES = 4 << 20
+KEPT = 4  # searchers a Python worker keeps
+SLICE_BYTES = 2 << 20  # text searched at once
+RELOAD_BYTES = 64 << 20  # text searched per loading of a block, where the blocks are more than are kept
 CHUNK = 1024  # words a cursor is responsible for
 SUFFIX = 4  # words hashed to choose a bucket
 
@@ -43,6 +53,13 @@ def words_of(text: str | None) -> list[bytes]:
     return [] if text is None else text.encode("utf-8", "surrogatepass").translate(_FOLD).split()
 
 
+def windows_of(text: str | None, window: int) -> Iterator[bytes]:
+    """The windows of an item, their words joined by a blank; repeated ones are repeated."""
+    words = words_of(text)
+    m = min(window, len(words))
+    return (b" ".join(words[i : i + m]) for i in range(len(words) - m + 1 if m else 0))
+
+
 def _mix(columns: Iterable[np.ndarray], bits: int) -> np.ndarray:
     h = None
     for c in columns:
@@ -133,30 +150,42 @@ class Searcher:
     tables: list[Tables]
     starts: np.ndarray  # per window, where its items begin in ``owners``
     owners: np.ndarray  # item numbers
-    items: list[str | None]
+    items: list[str]
 
     @classmethod
     def build(cls, items: list[tuple[object, str | None]], window: int = WINDOW) -> Searcher:
-        vocabulary: dict[bytes, int] = {}
-        by_length: dict[int, dict[tuple[int, ...], set[int]]] = {}
-        names: dict[str | None, int] = {}
+        """The searcher of a few items."""
+        owners: dict[bytes, set[str]] = {}
         for item, text in items:
-            name = None if item is None else str(item)
-            number = names.setdefault(name, len(names))
-            ids = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(text)]
-            m = min(window, len(ids))
-            for i in range(len(ids) - m + 1 if m else 0):
-                by_length.setdefault(m, {}).setdefault(tuple(ids[i : i + m]), set()).add(number)
-        tables, starts, owners, first = [], [0], [], 0
-        for _, windows in sorted(by_length.items()):
-            keys = list(windows)
-            built, order = Tables.build(np.array(keys, np.int32), first)
+            for w in windows_of(text, window):
+                owners.setdefault(w, set()).update([] if item is None else [str(item)])
+        return cls.of(owners.items())
+
+    @classmethod
+    def of(cls, windows: Iterable[tuple[bytes, Iterable[str]]]) -> Searcher:
+        """The searcher of distinct windows, each with the ids of its items."""
+        vocabulary: dict[bytes, int] = {}
+        names: dict[str, int] = {}
+        by_length: dict[int, tuple[array, array, array]] = {}
+        for text, items in windows:
+            words = text.split()
+            ids, sizes, owners = by_length.setdefault(len(words), (array("i"), array("q"), array("q")))
+            ids.extend([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words])
+            before = len(owners)
+            owners.extend([names.setdefault(i, len(names)) for i in items])
+            sizes.append(len(owners) - before)
+        tables, all_sizes, all_owners, first = [], [np.zeros(1, np.int64)], [np.empty(0, np.int64)], 0
+        for m, (ids, sizes, owners) in sorted(by_length.items()):
+            built, order = Tables.build(np.array(ids, np.int32).reshape(-1, m), first)
             tables.append(built)
-            first += len(keys)
-            for i in order:
-                owners += sorted(windows[keys[i]])
-                starts.append(len(owners))
-        return cls(vocabulary, tables, np.array(starts), np.array(owners, np.int64), list(names))
+            first += len(order)
+            size = np.array(sizes, np.int64)
+            begin, moved = (np.cumsum(size) - size)[order], size[order]
+            within = np.arange(moved.sum()) - np.repeat(np.cumsum(moved) - moved, moved)
+            all_sizes.append(moved)
+            all_owners.append(np.array(owners, np.int64)[np.repeat(begin, moved) + within])
+        starts = np.cumsum(np.concatenate(all_sizes))
+        return cls(vocabulary, tables, starts, np.concatenate(all_owners), list(names))
 
     def search(self, texts: list[str | None]) -> tuple[list[int], list[list[int]], list[list[str]]]:
         """Per text: number of words, hit runs of words as flat [start, end) pairs, items."""
@@ -192,52 +221,108 @@ class Searcher:
                 owned.setdefault(d, set()).update(
                     self.items[o]
                     for o in self.owners[self.starts[w] : self.starts[w + 1]]
-                    if self.items[o] is not None
                 )
             for d, names in owned.items():
                 items[d] = sorted(names)
         return counts, spans, items
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list]:
-    """The benchmark's rows in blocks of bounded size."""
-    block, size = [], 0
-    rows = benchmark.select(col(item_col).alias("i"), col(text_col).cast("string").alias("t"))
-    for r in rows.toLocalIterator():
-        n = len(r["t"] or "")
-        if block and size + n > block_bytes:
-            yield block
-            block, size = [], 0
-        block.append((r["i"], r["t"]))
-        size += n
-    yield block
-
+_NOTHING = Searcher.of([])
+_searchers: dict[tuple[str, int], Searcher] = {}
 
-def _search(df: DataFrame, block: list, window: int, only_hits: bool) -> DataFrame:
-    shared = df.sparkSession.sparkContext.broadcast(Searcher.build(block, window))
-    names = df.columns
 
-    def run(batches):
-        searcher = shared.value
-        for batch in batches:
-            for part in slices(batch, "_text", 2 << 20):
-                counts, spans, items = searcher.search(part.column("_text").to_pylist())
-                out = pa.RecordBatch.from_arrays(
-                    [
-                        *(part.column(c) for c in names if c != "_text"),
-                        pa.array(counts, pa.int64()),
-                        pa.array(spans, pa.list_(pa.int64())),
-                        pa.array(items, pa.list_(pa.string())),
-                    ],
-                    names=[*(c for c in names if c != "_text"), "n_words", "_spans", "_items"],
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows of items (columns item, text, window), some thousand at a time; repeats are left to the grouping."""
+    for batch in batches:
+        for item, text, window in zip(*(c.to_pylist() for c in batch.columns)):
+            found = windows_of(text, window)
+            while part := list(islice(found, 8192)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([item] * len(part), pa.string()), pa.array(part, pa.binary())], names=["item", "window"]
                 )
-                if only_hits:
-                    out = out.filter(pa.array([bool(s) for s in spans], pa.bool_()))
-                yield out
 
-    schema = df.drop("_text").schema.add("n_words", T.LongType())
-    schema = schema.add("_spans", T.ArrayType(T.LongType())).add("_items", T.ArrayType(T.StringType()))
-    return df.mapInArrow(run, schema)
+
+@dataclasses.dataclass(frozen=True)
+class Blocks:
+    """The distinct windows of a benchmark as a table in the shared folder, a folder of bounded size per block."""
+
+    path: str
+    rows: dict[int, int]  # windows per block
+
+    @classmethod
+    def write(cls, benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int) -> Blocks:
+        """Windows are made, grouped and dealt to blocks by a hash in Spark; sizes alone reach the driver."""
+        spark = benchmark.sparkSession
+        rows = benchmark.select(
+            col(item_col).cast("string").alias("item"), col(text_col).cast("string").alias("text"), F.lit(window).alias("window")
+        )
+        size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+        n = max(1, -(-size // block_bytes))
+        found = rows.mapInArrow(_windows, "item string, window binary")
+        found = found.groupBy("window").agg(F.collect_set("item").alias("items"))
+        found = found.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(n)).cast("int"))
+        path = scratch(spark, "benchmark")
+        found.repartition("block").write.partitionBy("block").parquet(path)
+        written = spark.read.schema(found.schema).parquet(path).groupBy("block").count()
+        return cls(path, {r["block"]: r["count"] for r in written.collect()})
+
+    def searcher(self, block: int) -> Searcher:
+        """The tables of a block, built by the task from its files and kept for the next ones."""
+        key = (self.path, block)
+        if key not in _searchers:
+            while len(_searchers) >= KEPT:
+                del _searchers[next(iter(_searchers))]
+            _searchers[key] = Searcher.of(self._read(block))
+        return _searchers[key]
+
+    def _read(self, block: int) -> Iterator[tuple[bytes, list[str]]]:
+        fs, folder = opened(f"{self.path}/block={block}")
+        n = 0
+        for info in fs.get_file_info(pa.fs.FileSelector(folder)):
+            if info.path.endswith(".parquet"):
+                with fs.open_input_file(info.path) as file:
+                    for batch in pq.ParquetFile(file).iter_batches(8192, columns=["window", "items"]):
+                        n += batch.num_rows
+                        yield from zip(*(c.to_pylist() for c in batch.columns))
+        if n != self.rows[block]:
+            raise OSError(f"{folder} holds {n} windows of {self.rows[block]}")
+
+    def search(self, batch: pa.RecordBatch, at: int | str) -> Iterator[tuple[pa.RecordBatch, list, list, list]]:
+        """``batch`` in parts, with words, hit runs and items of the texts in column ``at``, as :meth:`Searcher.search`.
+
+        Where the blocks are more than are kept, each is loaded once for many texts.
+        """
+        for part in slices(batch, at, SLICE_BYTES if len(self.rows) <= KEPT else RELOAD_BYTES):
+            slots = [p for p in slices(part, at, SLICE_BYTES)]
+            found: list[tuple] = [_NOTHING.search(p.column(at).to_pylist()) for p in slots] if not self.rows else []
+            for block in self.rows:
+                searcher = self.searcher(block)
+                for k, p in enumerate(slots):
+                    new = searcher.search(p.column(at).to_pylist())
+                    if len(found) <= k:
+                        found.append(new)
+                    else:
+                        found[k] = (new[0], *([join(a, b) for a, b in zip(x, y)]
+                                              for join, x, y in ((_joined, found[k][1], new[1]), (_both, found[k][2], new[2]))))
+            for p, f in zip(slots, found):
+                yield p, *f
+
+
+def _joined(a: list[int], b: list[int]) -> list[int]:
+    """The union of two lists of flat [start, end) runs."""
+    if not a or not b:
+        return a or b
+    out: list[int] = []
+    for start, end in sorted([*zip(a[::2], a[1::2]), *zip(b[::2], b[1::2])]):
+        if out and start <= out[-1]:
+            out[-1] = max(out[-1], end)
+        else:
+            out += [start, end]
+    return out
+
+
+def _both(a: list[str], b: list[str]) -> list[str]:
+    return sorted({*a, *b}) if a and b else a or b
 
 
 def contaminated_words(
@@ -260,49 +345,29 @@ def contaminated_words(
     items of one id count once, and windows of items without an id hit but name no item.
     Other columns are not read. An empty benchmark hits nothing.
 
-    The benchmark reaches the tasks in blocks of at most ``block_bytes`` characters (or one
-    item). One block needs no shuffle. With several, each is searched in a pass of its own,
-    and runs found by different blocks are merged per text.
+    The benchmark's windows are a table in the shared folder, in blocks of those of about
+    ``block_bytes`` characters of items. All blocks are searched in one pass over ``docs``
+    without a shuffle; a task holds at most ``KEPT`` blocks at a time.
     """
     rows = docs.select(col(id_col).alias("_id"), col(text_col).cast("string").alias("_text"))
-    blocks = _blocks(benchmark, item_col, item_text_col, block_bytes)
-    block, following = next(blocks), next(blocks, None)
-    if following is None:
-        found = _search(rows, block, window, False)
-    else:
-        keyed = rows.withColumn("_key", F.sha2(F.col("_text"), 256))
-        texts = keyed.drop("_id")
-        hits = None
-        while block is not None:
-            part = _search(texts, block, window, True).dropDuplicates(["_key"])
-            hits = part if hits is None else hits.unionByName(part)
-            block, following = following, next(blocks, None)
-        merged = hits.groupBy("_key").agg(
-            F.sort_array(
-                F.flatten(
-                    F.collect_list(
-                        F.expr("transform(sequence(0, size(_spans) div 2 - 1), i -> "
-                               "struct(_spans[2 * i] as a, _spans[2 * i + 1] as b))")
-                    )
+    blocks = Blocks.write(benchmark, item_col, item_text_col, window, block_bytes)
+
+    def run(batches):
+        for batch in batches:
+            for part, counts, spans, items in blocks.search(batch, "_text"):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("_id"),
+                        pa.array(counts, pa.int64()),
+                        pa.array(spans, pa.list_(pa.int64())),
+                        pa.array(items, pa.list_(pa.string())),
+                    ],
+                    names=["_id", "n_words", "spans", "items"],
                 )
-            ).alias("_runs"),
-            F.sort_array(F.array_distinct(F.flatten(F.collect_list("_items")))).alias("_items"),
-        )
-        # Runs in order of their starts: one that begins within the last is joined to it.
-        merged = merged.select("_key", "_items", F.expr(
-            "aggregate(_runs, cast(array() as array<bigint>), (s, r) -> "
-            "if(size(s) > 0 and r.a <= element_at(s, -1), "
-            "concat(slice(s, 1, size(s) - 1), array(greatest(element_at(s, -1), r.b))), "
-            "concat(s, array(r.a, r.b))))").alias("_spans"))
-        counted = _search(keyed, [], window, False).drop("_spans", "_items")
-        found = counted.join(merged.hint("rebalance"), "_key", "left")
-    empty_spans, empty_items = F.expr("cast(array() as array<bigint>)"), F.expr("cast(array() as array<string>)")
-    return found.select(
-        F.col("_id").alias(id_col),
-        "n_words",
-        F.coalesce("_spans", empty_spans).alias("spans"),
-        F.coalesce("_items", empty_items).alias("items"),
-    )
+
+    schema = rows.drop("_text").schema.add("n_words", T.LongType())
+    schema = schema.add("spans", T.ArrayType(T.LongType())).add("items", T.ArrayType(T.StringType()))
+    return rows.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -333,19 +398,15 @@ def clean(
 ) -> DataFrame:
     """The rows of ``docs`` without any benchmark window, with all their columns.
 
-    Blocks of the benchmark are applied one after the other, each to the rows the last left;
-    nothing is shuffled. Null texts hold no window and stay.
+    All blocks of the benchmark are searched in one pass; nothing of ``docs`` is shuffled.
+    Null texts hold no window and stay.
     """
     at = docs.columns.index(text_col)
-    out = docs
-    for block in _blocks(benchmark, item_col, item_text_col, block_bytes):
-        shared = docs.sparkSession.sparkContext.broadcast(Searcher.build(block, window))
+    blocks = Blocks.write(benchmark, item_col, item_text_col, window, block_bytes)
 
-        def run(batches, shared=shared):
-            for batch in batches:
-                for part in slices(batch, at, 2 << 20):
-                    _, spans, _ = shared.value.search(part.column(at).to_pylist())
-                    yield part.filter(pa.array([not s for s in spans], pa.bool_()))
+    def run(batches):
+        for batch in batches:
+            for part, _, spans, _ in blocks.search(batch, at):
+                yield part.filter(pa.array([not s for s in spans], pa.bool_()))
 
-        out = out.mapInArrow(run, docs.schema)
-    return out
+    return docs.mapInArrow(run, docs.schema)

@@ -29,7 +29,7 @@ from pyspark.sql.datasource import (
     DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage,
 )
 
-from veriframe.llm.common import col, importable
+from veriframe.llm.common import col, importable, opened
 from veriframe.session import scratch
 
 DICTIONARY_MAGIC = 0x184D2A5D  # skippable frame that holds a dictionary
@@ -208,14 +208,6 @@ class Written(WriterCommitMessage):
     records: int
 
 
-def _opened(path: str) -> tuple[pa.fs.FileSystem, str]:
-    if "://" not in path and not path.startswith("file:"):
-        return pa.fs.LocalFileSystem(), path
-    if path.startswith("file:"):
-        return pa.fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
-    return pa.fs.FileSystem.from_uri(path)
-
-
 def _record_id(page_id: int | None) -> str:
     return f"<urn:page:{'' if page_id is None else page_id}>"
 
@@ -291,7 +283,7 @@ class WarcWriter(DataSourceArrowWriter):
         self.path, self.names = path.rstrip("/"), names
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        fs, folder = _opened(self.path)
+        fs, folder = opened(self.path)
         path, records, archive = f"{folder}/part-{uuid.uuid4().hex}.open", 0, None
         fields = [f.split()[0] for f in SCHEMA.split(", ")]
         for batch in iterator:
@@ -308,14 +300,14 @@ class WarcWriter(DataSourceArrowWriter):
         return Written(path, records)
 
     def commit(self, messages: list[Written | None]) -> None:
-        fs, folder = _opened(self.path)
+        fs, folder = opened(self.path)
         fs.create_dir(folder, recursive=True)
         for m in messages:
             if m is not None and m.path:
                 fs.move(m.path, m.path.removesuffix(".open") + ".warc.zst")
 
     def abort(self, messages: list[Written | None]) -> None:
-        fs, _ = _opened(self.path)
+        fs, _ = opened(self.path)
         for m in messages:
             if m is not None and m.path and fs.get_file_info(m.path).type == pa.fs.FileType.File:
                 fs.delete_file(m.path)
@@ -335,7 +327,7 @@ class WarcReader(DataSourceReader):
         self.path = path
 
     def partitions(self) -> list[Archives]:
-        fs, folder = _opened(self.path.rstrip("/"))
+        fs, folder = opened(self.path.rstrip("/"))
         files = fs.get_file_info(pa.fs.FileSelector(folder, allow_not_found=True))
         out, size = [Archives([])], 0
         for f in sorted(files, key=lambda f: f.path):
@@ -348,7 +340,7 @@ class WarcReader(DataSourceReader):
         return out
 
     def read(self, partition: Archives) -> Iterator[pa.RecordBatch]:
-        fs, _ = _opened(self.path)
+        fs, _ = opened(self.path)
         kinds = [pa.int64(), pa.string(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.int64()]
         names = [f.split()[0] for f in SCHEMA.split(", ")]
 
