@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from veriframe.operators import anomalies as an
 from veriframe.operators import operations as op
 from veriframe.operators.registry import Check, checks_frame
-from veriframe.operators.scan import Container
+from veriframe.operators.scan import Container, ScanOptions, scan
 
 
 @pytest.fixture
@@ -177,8 +177,6 @@ def test_references_by_name_and_datastore(spark):
         Check("t", "existsIn", ["k"], {"ref_container_name": "ref", "field_name": "k"}),
         Check("t", "notExistsIn", ["k"], {"ref_container_name": "ref", "ref_datastore_name": "other", "field_name": "k"}),
     ])
-    from veriframe.operators.scan import scan
-
     assert rows(scan(spark, containers, checks), "rule_type", "record_key") == [("existsIn", "2"), ("notExistsIn", "2")]
     lost = checks_frame(spark, [Check("t", "existsIn", ["k"], {"ref_container": "nowhere", "field_name": "k"})])
     with pytest.raises(ValueError, match="nowhere"):
@@ -210,3 +208,51 @@ def test_repeated_run_leaves_the_store_as_one_run(spark, tmp_path):
     assert {r[0] for r in stored("often")[1]} == {"c"} and len(stored("often")[0]) == 30
     with pytest.raises(ValueError, match="source record limit"):
         op.run_scan(spark, *world, "d", "2024-02-01", remediation_strategy="append")
+
+
+@pytest.mark.parametrize("check", [
+    Check("t", "notNull", ["v"]),
+    Check("t", "notNull", ["id"]),  # never fails, as the optimizer knows
+    Check("t", "notNull", ["v"], filter="1 = 0"),
+    Check("t", "notNull", ["v"], filter="id < 0"),
+])
+@pytest.mark.parametrize("cap", [None, 2])
+def test_the_pass_of_the_row_rules_counts_the_records(spark, check, cap):
+    world = big_world(spark, 50)
+    touched = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            touched.add(batch.num_rows)
+            yield batch
+
+    df = world[0]["t"].df
+    containers = {"t": Container(df.mapInArrow(seen, df.schema).select("id", "v", F.expr("id % 2").alias("p")), ["id"], ["p"], ["id"])}
+    out = op.run_scan(
+        spark, containers, world[1], checks_frame(spark, [check, Check("t", "between", ["p"], {"min_value": -5})]), world[3], "s1", "2024-02-01",
+        max_records_analyzed_per_partition=cap,
+    )
+    assert out.run.first()["records_processed"] == (50 if cap is None else 4)
+    assert touched.value == 50 if cap is None else touched.value >= 50
+
+
+def test_stored_containers_are_counted_by_their_footers(spark, tmp_path):
+    spark.range(100).selectExpr("id", "id * 1.5D AS x").write.parquet(str(tmp_path / "t"))
+    containers = {"t": Container(spark.read.parquet(str(tmp_path / "t")), ["id"], stored=True)}
+    checks = checks_frame(spark, [Check("t", "between", ["x"], {"max_value": 140})])
+    counts = {}
+    plan = scan(spark, containers, checks, counts=counts)._jdf.queryExecution().executedPlan().toString()
+    assert counts == {} and "PushedFilters: [IsNotNull(x), GreaterThan(x,140.0)]" in plan
+    # Read in part, it is counted by the pass.
+    scan(spark, containers, checks, ScanOptions(incremental_fields={"t": "id"}, greater_than_batch={"t": 3}), counts)
+    assert list(counts) == ["t"]
+    world = big_world(spark)
+    out = op.run_scan(spark, containers, world[1], checks, world[3], "s1", "2024-02-01")
+    assert out.run.first()["records_processed"] == 100
+
+
+def test_containers_without_row_rules_are_counted(spark):
+    containers, registry, _, none = big_world(spark)
+    for checks in ([Check("t", "unique", ["v"])], [Check("t", "volumetric", [], {"min_rows": 1})], []):
+        out = op.run_scan(spark, containers, registry, checks_frame(spark, checks), none, "s1", "2024-02-01")
+        assert out.run.first()["records_processed"] == 10

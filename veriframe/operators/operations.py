@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from veriframe.operators import anomalies as an
@@ -144,7 +144,8 @@ def run_scan(
         max_records_per_partition=max_records_analyzed_per_partition,
     )
     ours = checks.filter(F.col("container").isin(list(mine)))
-    found = durable(scan(spark, containers, ours, options))
+    counts: dict[str, Observation] = {}
+    found = durable(scan(spark, containers, ours, options, counts))
     folded = found
     if high_count_rollup_threshold is not None:
         folded = durable(an.high_count_rollup(found, high_count_rollup_threshold))
@@ -164,7 +165,7 @@ def run_scan(
         rows = after.filter((F.col("scan_id") == run_id) & F.col("source_enriched"))
         rows = rows.select("fingerprint", "check_uid", "container", "record_key", "source_record")
         enrichment_write(folded, enrichment_root, enrichment_prefix, remediation_strategy, rows, run_id)
-    totals = scan_summary(mine, ours, found, options).agg(
+    totals = scan_summary(mine, ours, found, options, counts).agg(
         F.sum("records_processed").alias("records"), F.sum("failures").alias("failures")
     ).first()
     run = run_row(

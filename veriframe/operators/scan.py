@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from veriframe.functions.keys import fingerprint, is_covered, record_key
@@ -37,6 +37,8 @@ class Container:
     keys: Sequence[str] = ()
     partition_cols: Sequence[str] = ()
     order_cols: Sequence[str] = ()
+    # Read from files as they are: the footers give the row count, and rules that reach the reader may skip row groups.
+    stored: bool = False
 
 
 @dataclass(frozen=True)
@@ -66,6 +68,11 @@ def scanned_rows(name: str, container: Container, options: ScanOptions) -> DataF
     )
 
 
+def _whole(name: str, container: Container, options: ScanOptions) -> bool:
+    """Whether a scan looks at all rows of a container as they are stored."""
+    return container.stored and name not in options.incremental_fields and options.max_records_per_partition in (None, -1)
+
+
 def _between_marks(df: DataFrame, by: str, time: str | None, batch: float | str | None, last: str) -> DataFrame:
     """Rows past the old marks and up to the new one, and rows that have no value at all."""
     kind, value = df.schema[by].dataType.simpleString(), F.col(f"`{by}`")
@@ -125,10 +132,16 @@ def _in_scope(df: DataFrame, check: Row, key: Column) -> DataFrame:
     return df if scope is None else df.filter(scope)
 
 
-def row_rule_failures(name: str, df: DataFrame, keys: Sequence[str], checks: Sequence[Row]) -> DataFrame:
-    """One failure per record and failing row rule, from a single pass."""
+def row_rule_failures(
+    name: str, df: DataFrame, keys: Sequence[str], checks: Sequence[Row], rows: Observation | None = None
+) -> DataFrame:
+    """One failure per record and failing row rule, from a single pass, in which ``rows`` counts all records as ``n``."""
     key = record_key(df, keys)
     failing, entries = [], []
+    if rows is not None:
+        df = df.observe(rows, F.count(F.lit(1)).alias("n"))
+        # Never true, but unknown to the optimizer: rules that cannot fail would take the count away with their pass.
+        failing.append(F.spark_partition_id() < 0)
     for check in checks:
         bad = rules.row_failure(df, check["rule_type"], check["fields"] or (), check["properties"] or {})
         scope = _scope(check, key)
@@ -279,8 +292,13 @@ def scan(
     containers: Mapping[str, Container],
     checks: DataFrame,
     options: ScanOptions = ScanOptions(),
+    counts: dict[str, Observation] | None = None,
 ) -> DataFrame:
-    """Failures of all active checks on the given containers."""
+    """Failures of all active checks on the given containers.
+
+    With ``counts`` the records of containers that are computed, capped or read in part are counted by the pass of their row rules; the
+    observations, by container, hold ``n`` once the failures have been written. Stored containers are cheaper to count by footers.
+    """
     wanted = active_checks(checks).filter(F.col("container").isin(list(containers)))
     by_container: dict[str, list[Row]] = {}
     for check in sorted(wanted.collect(), key=lambda c: (c["container"], c["check_uid"])):
@@ -296,7 +314,11 @@ def scan(
                 raise ValueError(f"unknown rule type {rule}")
             kind = "row" if rule in rules.ROW_RULES else "set" if rule in rules.SET_RULES else rule
             by_rule.setdefault(kind, []).append(check)
-        parts += [row_rule_failures(name, df, keys, c) for c in _chunks(by_rule.get("row", []))]
+        for i, some in enumerate(_chunks(by_rule.get("row", []))):
+            observed = None
+            if counts is not None and i == 0 and not _whole(name, containers[name], options):
+                observed = counts[name] = Observation()
+            parts.append(row_rule_failures(name, df, keys, some, observed))
         parts += [volumetric_failures(name, df, keys, c) for c in _chunks(by_rule.get("volumetric", []))]
         same_scope: dict[tuple, list[Row]] = {}
         for check in by_rule.get("aggregationComparison", []):
@@ -350,16 +372,20 @@ def scan_summary(
     checks: DataFrame,
     failures: DataFrame,
     options: ScanOptions = ScanOptions(),
+    counts: Mapping[str, Observation] | None = None,
 ) -> DataFrame:
-    """Per container: records processed, checks run, checks failing, failures."""
-    counted = reduce(
-        DataFrame.unionByName,
-        [
-            scanned_rows(name, c, options).agg(F.count(F.lit(1)).alias("records_processed"))
-            .withColumn("container", F.lit(name))
-            for name, c in containers.items()
-        ],
-    )
+    """Per container: records processed, checks run, checks failing, failures.
+
+    ``counts`` are the observations of the :func:`scan` whose failures were written before this is called; containers without one are counted here.
+    """
+    observed, counted = counts or {}, []
+    for name, c in containers.items():
+        if name in observed:
+            n = failures.sparkSession.createDataFrame([(observed[name].get["n"],)], "records_processed bigint")
+        else:
+            n = scanned_rows(name, c, options).agg(F.count(F.lit(1)).alias("records_processed"))
+        counted.append(n.withColumn("container", F.lit(name)))
+    counted = reduce(DataFrame.unionByName, counted)
     run = active_checks(checks).groupBy("container").agg(F.count(F.lit(1)).alias("checks_run"))
     failed = (
         failures.groupBy("container", "check_uid").agg(F.count(F.lit(1)).alias("n"))

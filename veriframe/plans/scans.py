@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from veriframe.operators import anomalies as an
@@ -209,7 +209,9 @@ def q_scan_summary(spark: SparkSession, sf: str) -> DataFrame:
     options = ScanOptions(
         incremental_fields={"orders": "o_orderdate"}, greater_than_time={"orders": "1997-01-01 00:00:00"}
     )
-    return scan_summary(containers, checks, scan(spark, containers, checks, options), options)
+    counts: dict[str, Observation] = {}
+    failures = durable(scan(spark, containers, checks, options, counts))
+    return scan_summary(containers, checks, failures, options, counts)
 
 
 RUNS = """
