@@ -1,7 +1,7 @@
 """Secret scans: candidate strings, and a random forest that removes false positives.
 
-Candidates are long runs of key characters with a digit. Each is described by its
-length, its changes between character classes, how much of it common words cover,
+Candidates are long runs of key characters with a digit, and values of any length
+and alphabet that are assigned to a credential's name. Each is described by its length, its changes between character classes, how much of it common words cover,
 whether it stands in a path, and the words beside it. A random forest trained on
 labelled findings decides. Everything runs as built-in functions and Spark ML in
 the JVM; texts are cut at their candidates, never looped over.
@@ -9,6 +9,8 @@ the JVM; texts are cut at their candidates, never looped over.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -18,8 +20,17 @@ from pyspark.sql import functions as F
 from veriframe.llm.common import col
 from veriframe.session import durable
 
+#: Names of credentials; in one place, as candidates, features and labels go by them.
+_NAMES = r"token|passw(?:or)?d|pwd|secret|credential|api[_-]?key|access[_-]?key|auth|bearer"
+CUE = rf"(?i)({_NAMES})"
 #: Runs of at least 16 key characters with a digit, whole; possessive, so linear in the text.
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+={0,2}"
+RUN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+={0,2}"
+#: What follows a credential's name and ``=`` or ``:``, up to a blank, quote, bracket, comma or semicolon. Looks back 20 characters or so.
+ASSIGNED = (
+    r"(?<=[=:]\s{0,3}[\"'`]?)(?<=(?i:" + _NAMES + r")[\"'`]?\s{0,3}[=:]\s{0,3}[\"'`]?)"
+    r"[^\s\"'`,;=:<>()\[\]{}][^\s\"'`,;<>()\[\]{}]*+"
+)
+CANDIDATE = f"{ASSIGNED}|{RUN}"
 NEAR = 48  # characters of context on either side
 SAMPLE = 5_000  # labelled findings the forest is trained on at most
 TREES, DEPTH, SEED = 20, 6, 7
@@ -27,7 +38,6 @@ THRESHOLD = 0.5
 
 #: Published formats of access keys.
 PROVIDERS = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35})$"
-CUE = r"(?i)(token|passw(or)?d|pwd|secret|credential|api[_-]?key|access[_-]?key|auth|bearer)"
 #: Parts of ordinary words and placeholders.
 DICTIONARY = (
     "the", "and", "ing", "tion", "ment", "able", "com", "example", "test", "sample", "dummy", "change", "your",
@@ -37,6 +47,8 @@ FEATURES = (
     "length", "digit_share", "upper_share", "changes", "case_changes", "distinct_share", "hex", "digits_only",
     "covered", "slashes", "dashes", "in_path", "extension", "cue_before", "assigned", "quoted", "cue_after", "words_before",
 )
+#: Where labels come from a name and an assignment, a forest that sees these would only learn the rule again.
+_LABELLING = ("cue_before", "assigned", "quoted")
 
 
 def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -87,7 +99,7 @@ def described(found: DataFrame) -> DataFrame:
         "covered": (n - F.length(plain)) / n,
         "slashes": times("/") / n,
         "dashes": times("[_-]") / n,
-        "in_path": flag(before.rlike(r"[/\\.:]$") | after.rlike(r"^[/\\]")),
+        "in_path": flag(before.rlike(r"[/\\.]$") | after.rlike(r"^[/\\]")),
         "extension": flag(after.rlike(r"^\.[a-z]{2,4}\b")),
         "cue_before": flag(before.rlike(CUE + r"\W*\w*\W*$")),
         "assigned": flag(before.rlike(r"[=:]\s{0,3}[\"']?$")),
@@ -107,21 +119,23 @@ def silver_label(found: DataFrame) -> Column:
     return (named & varied & ~F.col("value").rlike("^[0-9-]+$")).cast("double")
 
 
-def fitted(labelled: DataFrame, sample: int = SAMPLE) -> RandomForestClassificationModel | None:
-    """A forest trained on findings with their features and ``label`` (0.0 or 1.0).
+def fitted(
+    labelled: DataFrame, sample: int = SAMPLE, features: Sequence[str] = FEATURES
+) -> RandomForestClassificationModel | None:
+    """A forest trained on ``features`` of findings and their ``label`` (0.0 or 1.0).
 
     At most ``sample`` findings, half of either label as far as there are, chosen by hash
     over all of them; rows without a label are left out. None if one label is missing: then
     there is nothing to learn. The sample is put in order in one partition, so that the same
     findings give the same forest.
     """
-    known = labelled.filter(F.col("label").isNotNull()).select("label", "value", "before", *FEATURES)
+    known = labelled.filter(F.col("label").isNotNull()).select("label", "value", "before", *features)
     key = [F.xxhash64("value", "before"), F.col("value"), F.col("before")]
     half = [known.filter(F.col("label") == x).orderBy(*key).limit(sample // 2) for x in (0.0, 1.0)]
     chosen = durable(half[0].unionByName(half[1]).coalesce(1).sortWithinPartitions(*key), "findings")
     if chosen.select("label").distinct().count() < 2:
         return None
-    rows = VectorAssembler(inputCols=list(FEATURES), outputCol="_features").transform(chosen)
+    rows = VectorAssembler(inputCols=list(features), outputCol="_features").transform(chosen)
     forest = RandomForestClassifier(
         featuresCol="_features", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED,
         featureSubsetStrategy="sqrt",
@@ -139,7 +153,8 @@ def scan(
     """One row per candidate: id, ``ordinal``, ``value``, ``before``, ``after``, ``probability``, ``secret``.
 
     ``labelled`` are reviewed findings (see :func:`fitted`); without them the table's own
-    findings are labelled by :func:`silver_label`. Without two labels to learn from, the
+    findings are labelled by :func:`silver_label`, and the forest judges by all features but
+    those that this rule reads off the name and the assignment. Without two labels to learn from, the
     silver label is the verdict. Candidates the forest refuses stay in the result, with
     ``secret`` false, so that nothing vanishes.
 
@@ -149,12 +164,13 @@ def scan(
     # Written once: training and judging then read the findings, not the texts again.
     found = durable(described(candidates(df, id_col, text_col)), "findings")
     known = labelled if labelled is not None else found.withColumn("label", silver_label(found))
-    model = fitted(known)
+    features = FEATURES if labelled is not None else tuple(f for f in FEATURES if f not in _LABELLING)
+    model = fitted(known, features=features)
     if model is None:
         judged = found.withColumn("probability", silver_label(found))
     else:
         model.setFeaturesCol("_features")
-        rows = VectorAssembler(inputCols=list(FEATURES), outputCol="_features", handleInvalid="keep").transform(found)
+        rows = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep").transform(found)
         judged = model.transform(rows).withColumn("probability", vector_to_array("probability")[1])
     return judged.select(
         F.col("_id").alias(id_col), "ordinal", "value", "before", "after", "probability",
