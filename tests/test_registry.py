@@ -141,6 +141,21 @@ def test_upsert_plan(spark, broadcast, request):
     assert [r[2] for r in plan(spark, batch, known, targets=("s2",))] == ["created", "updated", "failed", "failed", "failed", "failed"]
 
 
+def test_many_targets_do_not_multiply_what_is_joined(spark, monkeypatch, no_broadcast):
+    """Every row meets containers and stored uids once, whatever the number of targets; repeated and null keys as with one target."""
+    batch = [(1, "orders", "u1"), (2, "ghost", "u2"), (3, "orders", "u2"), (4, "items", "u2"), (4, "items", "u2"), (5, None, "u1"), (6, "items", None), (None, "items", "u2")]
+    known = [("s1", "u1", 7), ("s2", "u2", 8), ("s2", "u1", None), (None, "u1", 3), ("s1", None, 4)]
+    sizes, real = [], reg.lookup
+    monkeypatch.setattr(reg, "lookup", lambda df, *a: sizes.append(df.count()) or real(df, *a))
+    targets = ["s1", "s2", "s9", "s1"]
+    for dry_run in (False, True):
+        together = plan(spark, batch, known, dry_run, targets)
+        assert max(sizes) <= len(batch)
+        singles = [r for t in targets for r in plan(spark, batch, known, dry_run, [t])]
+        assert together == sorted(singles, key=lambda r: tuple((v is None, str(v)) for v in r))
+    assert plan(spark, batch, known, targets=()) == []
+
+
 def test_failed_first_does_not_claim_the_uid(spark):
     assert [r[2] for r in plan(spark, [(1, "ghost", "u"), (2, "orders", "u"), (3, "orders", "u")])] == ["failed", "created", "updated"]
 

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veriframe.functions.keys import in_order
-from veriframe.functions.skew import attach, group_index, lookup, rows_outside
+from veriframe.functions.skew import group_index, lookup, rows_outside
 from veriframe.functions.text import check_uid, rule_and_fields, slugify
 from veriframe.operators.rules import CROSS_REFERENCE_RULES
+from veriframe.session import durable
 
 UID_KEY = "_check_uid"
 
@@ -274,28 +275,37 @@ def upsert_plan(
     ``order``; ``containers`` has ``datastore, name``; ``existing`` has
     ``datastore, uid, check_id``. A uid repeated in the batch updates the check
     its first occurrence creates; the dry run counts it as another create.
+
+    Until the end a row stands for itself in all targets: what differs between them is in arrays, in their order.
     """
-    each = incoming.withColumn("target", F.explode(F.array(*[F.lit(t) for t in targets])))
-    known = containers.select("datastore", "name").distinct().withColumn("_known", F.lit(True))
-    each = lookup(each, ["target", "container"], known, ["datastore", "name"])
-    stored = existing.filter(F.col("uid").isNotNull()).groupBy("datastore", "uid").agg(
-        F.max("check_id").alias("existing_id")
+    names = list(targets) or [None]
+    each = range(len(names))
+    there = [F.col("datastore") == F.lit(t) for t in names]
+    known = containers.filter(F.col("datastore").isin(names)).groupBy("name").agg(
+        F.array(*[F.max(t) for t in there]).alias("_known")
     )
-    each = lookup(each, ["target", "uid"], stored, ["datastore", "uid"])
-    each = each.withColumn("_ok", F.col("_known").isNotNull()).drop("_known")
-    action = F.when(~F.col("_ok"), "failed").when(F.col("existing_id").isNotNull(), "updated")
-    if dry_run:
-        return each.withColumn("action", action.otherwise("created")).drop("_ok")
-    first = (
-        each.filter(F.col("uid").isNotNull())
-        .groupBy("target", "uid")
-        .agg(F.min(F.when(F.col("_ok"), F.col(order))).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    rows = lookup(incoming, ["container"], known, ["name"])
+    stored = existing.filter(F.col("uid").isNotNull() & F.col("datastore").isin(names)).groupBy("uid").agg(
+        F.array(*[F.max(F.when(t, F.col("check_id"))) for t in there]).alias("_ids")
     )
-    with_uid = attach(each.filter(F.col("uid").isNotNull()), first, ["target", "uid"])
-    repeat = F.col("_first") < F.col(order)
-    out = with_uid.withColumn("action", action.when(repeat, "updated").otherwise("created"))
-    bare = each.filter(F.col("uid").isNull()).withColumn("action", action.otherwise("created"))
-    return out.drop("_first", "_n", "_ok").unionByName(bare.drop("_ok"))
+    if not dry_run:
+        rows = durable(rows, "upsert_rows")  # read for the first occurrences and for the plan
+        first = rows.filter(F.col("uid").isNotNull()).groupBy("uid").agg(
+            F.array(*[F.min(F.when(F.col("_known")[i], F.col(order))) for i in each]).alias("_first")
+        )
+        stored = lookup(first, ["uid"], stored, ["uid"])
+    rows = lookup(rows, ["uid"], stored, ["uid"])
+    per_target = []
+    for i, t in enumerate(names):
+        known_id = F.col("_ids")[i]
+        action = F.when(~F.coalesce(F.col("_known")[i], F.lit(False)), "failed").when(known_id.isNotNull(), "updated")
+        if not dry_run:
+            action = action.when(F.col("_first")[i] < F.col(order), "updated")
+        per_target.append(F.struct(
+            F.lit(t).alias("target"), known_id.alias("existing_id"), action.otherwise("created").alias("action")
+        ))
+    out = rows.select(*[F.col(f"`{c}`") for c in incoming.columns], F.explode(F.array(*per_target)).alias("_each"))
+    return out.filter(F.lit(bool(targets))).select(*[F.col(f"`{c}`") for c in incoming.columns], "_each.*")
 
 
 # What an import may change on a stored check; container and rule stay.
