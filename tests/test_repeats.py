@@ -105,3 +105,53 @@ def test_rows_in_any_order_equal_the_batch(spark, tmp_path):
 
 def test_refresh_of_intervals(spark):
     assert repeats._micros(spark, "10 minutes") == 600_000_000 and repeats._micros(spark, "1 day") == 86_400_000_000
+
+
+def test_a_key_is_woken_once_a_batch(spark):
+    """Of many stretches the earliest has a timer; it closes all that the watermark is past and waits for the next one."""
+    calls, held = [], {}
+
+    class Handle:
+        def registerTimer(self, due):
+            calls.append(("register", due))
+
+        def deleteTimer(self, due):
+            calls.append(("delete", due))
+
+    class Open:
+        def get(self):
+            return held.get("v")
+
+        def update(self, v):
+            held["v"] = v
+
+        def clear(self):
+            held.clear()
+
+    class At:
+        def __init__(self, ms):
+            self.getExpiryTimeInMs = self.getCurrentWatermarkInMs = lambda: ms
+
+    processor = repeats.Repeats(["k"], 5_000)
+    processor.handle, processor.open = Handle(), Open()
+    came = lambda ms: processor.handleInputRows(("a",), iter([{"_us": m * 1000, "_end": False} for m in ms]), At(0))
+    came([*range(9_000, 0, -100), 50])  # 91 stretches
+    came([50, 48])
+    assert calls == [("register", 56)]
+    out = list(processor.handleExpiredTimer(("a",), At(8_200), At(56)))
+    assert [r["n"] for r in out] == [3] and calls == [("register", 56), ("register", 8_206)]
+    assert held["v"][0][0] == 8_200_000 and len(held["v"][0]) == 9
+    assert list(processor.handleExpiredTimer(("a",), At(20_000), At(8_206))) == [] and not held and len(calls) == 2
+
+
+def test_many_rows_of_a_key_merge_in_chunks():
+    rng = random.Random(3)
+    times = [(t, t, 1) for t in rng.sample(range(10**6), 5_000)]
+    one = []
+    for t in times[:500]:
+        one = repeats.joined(one, t, 90)
+    assert one == repeats.merged(times[:500], 90) and sum(n for *_, n in repeats.merged(times, 90)) == 5_000
+    chunked = []
+    for some in itertools.batched(times, 64):
+        chunked = repeats.merged([*chunked, *some], 90)
+    assert chunked == repeats.merged(times, 90)

@@ -2,8 +2,9 @@
 
 Rows of a key that follow each other within ``within`` belong together, whatever window edge lies between them.
 The state of a key is its open stretches (first time, last time, rows), few as they are further apart
-than ``within`` and closed once the watermark is past them. An event-time timer per stretch then reports it, if it has
-more than one row, and drops it. Rows may come in any order inside the allowed delay.
+than ``within`` and closed once the watermark is past them. A key has one event-time timer, of its earliest stretch: it
+reports all stretches the watermark is past, if they have more than one row, drops them and waits for the next one, so a key
+is woken once a batch however many stretches close in it. Rows may come in any order inside the allowed delay.
 
 A watermark stops with the last row, so the last stretches would wait for ever. :func:`with_end` adds a second source
 for one marker, :func:`end_stream` writes it when the source is known to have ended: it carries the watermark past everything.
@@ -11,7 +12,8 @@ for one marker, :func:`end_stream` writes it when the source is known to have en
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import batched
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +25,7 @@ from veriframe.streaming.streams import as_given, event_time
 
 END_OF_TIME = "9999-01-01 00:00:00"
 PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+AT_ONCE = 1_024  # rows of a key merged into its stretches at a time
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 Stretch = tuple[int, int, int]  # first and last time in microseconds, rows
@@ -30,14 +33,19 @@ Stretch = tuple[int, int, int]  # first and last time in microseconds, rows
 
 def joined(stretches: Sequence[Stretch], new: Stretch, within: int) -> list[Stretch]:
     """The stretches in order of time with ``new`` merged into all that it touches."""
-    first, last, n = new
-    out = []
-    for a, b, m in stretches:
-        if b + within < first or last + within < a:
-            out.append((a, b, m))
+    return merged([*stretches, new], within)
+
+
+def merged(stretches: Iterable[Stretch], within: int) -> list[Stretch]:
+    """The stretches in order of time, those that touch as one."""
+    out: list[Stretch] = []
+    for first, last, n in sorted(stretches):
+        if out and first <= out[-1][1] + within:
+            a, b, m = out[-1]
+            out[-1] = (a, max(b, last), m + n)
         else:
-            first, last, n = min(a, first), max(b, last), n + m
-    return sorted([*out, (first, last, n)])
+            out.append((first, last, n))
+    return out
 
 
 class Repeats(StatefulProcessor):
@@ -61,22 +69,28 @@ class Repeats(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         before = stretches = self._read()
-        for row in rows:
-            if not row["_end"]:
-                stretches = joined(stretches, (row["_us"], row["_us"], 1), self.within)
-        for due in {self._due(s[1]) for s in before} - {self._due(s[1]) for s in stretches}:
-            self.handle.deleteTimer(due)
-        for due in {self._due(s[1]) for s in stretches} - {self._due(s[1]) for s in before}:
-            self.handle.registerTimer(due)
+        times = ((row["_us"],) * 2 + (1,) for row in rows if not row["_end"])
+        for some in batched(times, AT_ONCE):
+            stretches = merged([*stretches, *some], self.within)
         if stretches:
+            self._wait(stretches, self._due(before[0][1]) if before else None)
             self.open.update(tuple(list(c) for c in zip(*stretches)))
         return iter(())
 
+    def _wait(self, stretches: Sequence[Stretch], set_to: int | None) -> None:
+        """Set the key's timer, which is ``set_to``, to its earliest stretch."""
+        due = self._due(stretches[0][1])
+        if due != set_to:
+            if set_to is not None:
+                self.handle.deleteTimer(set_to)
+            self.handle.registerTimer(due)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
         stretches = self._read()
         left = [s for s in stretches if self._due(s[1]) > now]
         if left:
+            self._wait(left, None)
             self.open.update(tuple(list(c) for c in zip(*left)))
         else:
             self.open.clear()
