@@ -103,3 +103,20 @@ def test_types_are_compared_as_spark_does(spark, refs):
     checks = [Check("t", "notExistsIn", [a], {"ref_container": "ref", "field_name": b}) for a, b in (("i", "i"), ("d", "x"), ("s", "i"), ("t", "t"))]
     failures = scan(spark, {"t": Container(df, ["id"]), "ref": Container(ref)}, checks_frame(spark, checks))
     assert failures.count() == 4
+
+
+def test_checks_of_the_same_fields_share_a_key(spark, wide, refs, monkeypatch):
+    """Whatever they compare them with: one hash per record for all of them, and no message that nobody asks for."""
+    made, real = {}, set_rules.durable
+    monkeypatch.setattr(set_rules, "durable", lambda df, label: made.setdefault(label, real(df, label)))
+    checks = [c for c in twenty() if list(c.fields) == ["v"]]
+    failures = scan(spark, {"t": Container(wide, ["id"]), **refs}, checks_frame(spark, checks))
+    assert len(checks) == 5 and made["set_rules"].agg(F.max(F.size("_k"))).first()[0] == 1
+    uids = failures.select("check_uid", "record_key")
+    assert "_m0" not in uids._jdf.queryExecution().executedPlan().toString()
+    assert {r[0] for r in uids.distinct().collect()} == {r[0] for c in checks for r in found(spark, wide, refs, [c])}
+
+
+def test_more_checks_than_a_group_has_bits(spark, wide, refs, monkeypatch):
+    monkeypatch.setattr(set_rules, "BITS", 2)
+    assert found(spark, wide, refs, twenty()) == by_single_scans(spark, wide, refs)

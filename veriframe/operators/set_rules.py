@@ -1,10 +1,11 @@
 """All set rules of a container in one pass over it and one shuffle of its keys.
 
 ``unique``, ``existsIn`` and ``notExistsIn`` ask the same kind of question: is a key repeated, or is it among
-those of a reference? Checks that ask it of the same fields (and rows, or reference) form a group.
-Every record is read once and becomes its key, the texts its messages need and one hash per group;
-these rows are written down. Exploded to (group, hash) and counted with map-side combining, they meet the
-references' keys in one shuffle, which leaves the failing keys. The rows are then matched against those:
+those of a reference? Checks that ask it of the same fields, brought to the same types, form a group, whatever
+their references and whichever records they look at; only ``unique`` of some of the records counts by itself.
+Every record is read once and becomes its key, the texts its messages need and per group one hash with a bit per check
+that looks at it; these rows are written down. Exploded to (group, hash) and counted with map-side combining, they meet the
+references' keys, a bit per reference, in one shuffle, which leaves the failing keys with a bit per check. The rows are then matched against those:
 by broadcast where the failing keys are few, else spread by :func:`veriframe.functions.skew.attach`.
 
 A hot key is one row per task in the shuffle, whatever the number of its records.
@@ -40,11 +41,8 @@ class SetCheck:
     ref: DataFrame | None = None
     ref_fields: tuple[str, ...] = ()
 
-    @property
-    def group(self) -> tuple:
-        if self.rule_type == "unique":
-            return ("unique", self.fields, self.scope_name)
-        return ("reference", self.fields, id(self.ref), self.ref_fields)
+
+BITS = 62  # checks of a group at most; further ones start another
 
 
 def common_type(df: DataFrame, field: str, ref: DataFrame, ref_field: str) -> T.DataType:
@@ -64,8 +62,10 @@ def _hashes(fields: Sequence[str], kinds: Sequence[T.DataType | None]) -> list[C
     return [F.xxhash64(*values).alias("a"), F.xxhash64(F.lit("second"), *values).alias("b")]
 
 
-def _any(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+def _bits(conditions: Sequence[Column]) -> Column:
+    """A bit per condition that holds."""
+    bits = [F.when(c, F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, c in enumerate(conditions)]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits)
 
 
 def set_failures(df: DataFrame, key: Column, checks: Sequence[SetCheck]) -> DataFrame:
@@ -74,55 +74,72 @@ def set_failures(df: DataFrame, key: Column, checks: Sequence[SetCheck]) -> Data
     Keys that hold a null are passed over. The pass over ``df`` and the shuffle are run here.
     """
     groups: dict[tuple, int] = {}
-    for c in checks:
-        groups.setdefault(c.group, len(groups))
-    of_check = [groups[c.group] for c in checks]
-    members = [[c for c in checks if groups[c.group] == g] for g in range(len(groups))]
+    members: list[list[SetCheck]] = []
     kinds: list[list[T.DataType | None]] = []
-    for first, *_ in members:
-        if first.ref is None:
-            kinds.append([None] * len(first.fields))
-        else:
-            kinds.append([common_type(df, f, first.ref, r) for f, r in zip(first.fields, first.ref_fields, strict=True)])
-
-    keys, asked = [], []
+    place: list[tuple[int, int]] = []  # of each check: its group and its bit there
+    for c in checks:
+        own: list[T.DataType | None] = [None] * len(c.fields)
+        if c.ref is not None:
+            shared = [common_type(df, f, c.ref, r) for f, r in zip(c.fields, c.ref_fields, strict=True)]
+            own = [None if k == df.schema[f].dataType else k for f, k in zip(c.fields, shared)]
+        alone = c.scope_name if c.ref is None and c.scope is not None else None
+        name = (c.fields, tuple(k and k.simpleString() for k in own), alone)
+        g = groups.get(name)
+        if g is None or len(members[g]) == BITS:
+            g = groups[name] = len(members)
+            members.append([])
+            kinds.append(own)
+        place.append((g, len(members[g])))
+        members[g].append(c)
+
+    keys = []
     for g, mine in enumerate(members):
-        seen = not_null(mine[0].fields)
-        if all(c.scope is not None for c in mine):
-            seen = seen & _any([c.scope for c in mine])
-        keys.append(F.when(seen, F.struct(F.lit(g).alias("g"), *_hashes(mine[0].fields, kinds[g]))))
-    for i, c in enumerate(checks):
-        asked.append(F.when(not_null(c.fields) if c.scope is None else not_null(c.fields) & c.scope, F.lit(i)))
+        fields, asked = mine[0].fields, _bits([F.lit(True) if c.scope is None else c.scope for c in mine])
+        key_of = F.struct(F.lit(g).alias("g"), *_hashes(fields, kinds[g]), asked.alias("c"))
+        keys.append(F.when(not_null(fields) & (asked != 0), key_of))
     rows = df.select(
-        key.alias("record_key"), F.array_compact(F.array(*keys)).alias("_k"), F.array_compact(F.array(*asked)).alias("_c"),
+        key.alias("record_key"), F.array_compact(F.array(*keys)).alias("_k"),
         *[c.message.alias(f"_m{i}") for i, c in enumerate(checks)],
     ).filter(F.size("_k") > 0)
     rows = durable(rows, "set_rules")
 
-    sides = [rows.select(F.explode("_k").alias("k")).select("k.g", "k.a", "k.b", F.lit(1).alias("_own"), F.lit(False).alias("_ref"))]
-    for g, (first, *_) in enumerate(members):
-        if first.ref is not None:
-            there = first.ref.filter(not_null(first.ref_fields))
-            hashed = _hashes(first.ref_fields, kinds[g])
-            sides.append(there.select(F.lit(g).alias("g"), *hashed, F.lit(0).alias("_own"), F.lit(True).alias("_ref")))
-    judged = reduce(DataFrame.unionAll, sides).groupBy("g", "a", "b").agg(F.sum("_own").alias("_n"), F.max("_ref").alias("_there"))
-
-    def among(rule: str) -> Column:
-        return F.col("g").isin([g for g, mine in enumerate(members) if any(c.rule_type == rule for c in mine)] or [-1])
+    none = F.lit(0).cast("bigint")
+    sides = [rows.select(F.explode("_k").alias("k")).select("k.g", "k.a", "k.b", F.lit(1).alias("_own"), none.alias("_there"))]
+    bad = F.lit(None).cast("bigint")
+    for g, mine in enumerate(members):
+        refs: dict[tuple, int] = {}
+        fails = []
+        for c in mine:
+            if c.ref is None:
+                fails.append(F.col("_n") > 1)
+                continue
+            name = (id(c.ref), c.ref_fields)
+            if name not in refs:
+                refs[name] = 1 << len(refs)
+                # Of other types than the records' own: those that both are compared in.
+                types = [k or df.schema[f].dataType for f, k in zip(c.fields, kinds[g])]
+                there = c.ref.filter(not_null(c.ref_fields))
+                mark = F.lit(refs[name]).cast("bigint")
+                sides.append(there.select(F.lit(g).alias("g"), *_hashes(c.ref_fields, types), F.lit(0).alias("_own"), mark.alias("_there")))
+            met = F.col("_there").bitwiseAND(F.lit(refs[name])) != 0
+            fails.append(met if c.rule_type == "notExistsIn" else ~met)
+        bad = F.when(F.col("g") == g, _bits(fails)).otherwise(bad)
+    judged = reduce(DataFrame.unionAll, sides).groupBy("g", "a", "b").agg(F.sum("_own").alias("_n"), F.bit_or("_there").alias("_there"))
+    judged = judged.select("g", "a", "b", "_n", bad.alias("_bad"))
+    failing = durable(judged.filter((F.col("_n") > 0) & (F.col("_bad") != 0)), "failing_keys")
+
+    messages = [f"_m{i}" for i in range(len(checks))]
+    exploded = rows.select("*", F.explode("_k").alias("k")).select("k.g", "k.a", "k.b", "k.c", "record_key", *messages)
+    found = attach(exploded, failing, ["g", "a", "b"], n="_n")
+    hit = F.col("c").bitwiseAND(F.col("_bad"))
+    # Numbers of checks, so that messages nobody asks for are not shuffled.
+    entries = [F.when((F.col("g") == g) & (hit.bitwiseAND(F.lit(1 << bit)) != 0), F.lit(i)) for i, (g, bit) in enumerate(place)]
+    found = found.select("record_key", F.explode(F.array_compact(F.array(*entries))).alias("_i"), *messages)
 
-    own = F.col("_n") > 0
-    fails = (among("unique") & (F.col("_n") > 1)) | (among("existsIn") & own & ~F.col("_there")) | (among("notExistsIn") & own & F.col("_there"))
-    failing = durable(judged.filter(fails), "failing_keys")
+    def of_check(values: Sequence[Column]) -> Column:
+        return F.array(*values)[F.col("_i")]
 
-    exploded = rows.select("*", F.explode("_k").alias("k")).select("k.g", "k.a", "k.b", "record_key", "_c", *[f"_m{i}" for i in range(len(checks))])
-    found = attach(exploded, failing, ["g", "a", "b"], n="_n")
-    entries = []
-    for i, c in enumerate(checks):
-        hit = (F.col("g") == of_check[i]) & F.array_contains("_c", i)
-        if c.rule_type != "unique":
-            hit = hit & (F.col("_there") if c.rule_type == "notExistsIn" else ~F.col("_there"))
-        failure = F.struct(F.lit(c.uid).alias("check_uid"), F.lit(c.rule_type).alias("rule_type"), F.col(f"_m{i}").alias("message"))
-        entries.append(F.when(hit, failure))
-    return found.select("record_key", F.explode(F.array_compact(F.array(*entries))).alias("f")).select(
-        "f.check_uid", "f.rule_type", "record_key", "f.message"
+    return found.select(
+        of_check([F.lit(c.uid) for c in checks]).alias("check_uid"), of_check([F.lit(c.rule_type) for c in checks]).alias("rule_type"),
+        "record_key", of_check([F.col(m) for m in messages]).alias("message"),
     )
