@@ -1,10 +1,12 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tests.llm.conftest import brief
 
 from veriframe.llm import masked_lm as M
+from veriframe.llm.decontaminate import words_of
 
 
 def prose(rng, n):
@@ -136,3 +138,35 @@ def test_every_position_is_trained_on(docs, rows, monkeypatch):
     monkeypatch.setattr(M, "durable", lambda *a: made.append(durable(*a)) or made[-1])
     M._round(docs(rows).selectExpr("text as _text").repartition(3), M.Network(), {b"word1": 0}, 0)
     assert made[0].filter("slice = 0").agg({"n": "sum"}).first()[0] == 240 * 400
+
+
+def test_rare_words_meet_their_share_once_per_slice(docs):
+    """50 texts that share a rare word are one row with 50 entries; a word's repeats in a text are counted."""
+    rows = docs([(i, "common rare" + " rare" * (i == 7)) for i in range(50)]).coalesce(1)
+    rows = rows.selectExpr("doc_id as _key", "cast(doc_id as int) as _also", "text as _text")
+    (row,) = M._rare_words(rows, {b"common": 0}).collect()
+    assert bytes(row["word"]) == b"rare" and row["keys"] == row["alsos"] == list(range(50))
+    assert row["counts"] == [1 + (i == 7) for i in range(50)]
+
+
+def test_words_of_many_texts_at_once():
+    texts = [None, "", " ", "a", "b", "Ab,cÉ\x00d_9 ß", "!!", " y", "z ", None, "word " * 3, ""]
+    for kind in (pa.string(), pa.large_string()):
+        words, sizes = M.words_in(pa.array(["x", *texts], kind)[1:])
+        assert words.to_pylist() == [w for t in texts for w in words_of(t)]
+        assert sizes.tolist() == [len(words_of(t)) for t in texts]
+
+
+def test_a_line_scores_like_its_windows():
+    """Gaps score 0; softmaxes beyond float32's exponentials are shifted, not lost."""
+    rng = np.random.default_rng(1)
+    net = M.Network(priors=M.digit_shares(rng.integers(1, 9, M.RARE * M.BASE)))
+    ids = [rng.integers(0, M.OUTSIDE, n) for n in (5, 0, 1, 2_500)]
+    line, at = M.laid_out(np.concatenate(ids), np.array([len(i) for i in ids]))
+    assert line[at].tolist() == np.concatenate(ids).tolist() and (np.delete(line, at) == M.OUTSIDE).all()
+    for times in (1, 500):
+        net.w["first"][:] *= times
+        with np.errstate(over="ignore"):
+            own = net.log_probability(line[at[:, None] + M._OFFSETS], line[at])
+        assert np.isfinite(own).all()
+        assert M.scores(ids, net) == pytest.approx([p.sum(dtype=float) for p in np.split(own, [5, 5, 6])], rel=1e-4)

@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veriframe.llm.common import id_and_text, importable, slices
-from veriframe.llm.decontaminate import words_of
+from veriframe.llm.decontaminate import _FOLD
 from veriframe.session import durable
 
 BASE = 64  # digits of a word's code
@@ -60,6 +59,10 @@ SHAPES = {
 }
 N_WEIGHTS = sum(math.prod(s) for s in SHAPES.values())
 OUTSIDE = BASE * BASE
+FLOOR = np.float32(math.log(1e-30))  # least log-probability of a code or digit
+_ONES = np.ones(BASE, np.float32)
+_STARTS = np.arange(0, BATCH * BASE, BASE)
+_OFFSETS = np.array([d for d in range(-SIDE, SIDE + 1) if d])
 
 
 def shapes(depth: int) -> dict[str, tuple[int, ...]]:
@@ -109,11 +112,14 @@ class Network:
         self.flat = flat.astype(np.float32).copy()
         self.w = self._views(self.flat)
 
-    def _views(self, flat: np.ndarray) -> dict[str, np.ndarray]:
+    def _views(self, flat: np.ndarray, skip: int = 0) -> dict[str, np.ndarray]:
+        """Views of an array of all weights but the first ``skip``; ``_all`` is a matrix with its bias as last row."""
         out, at = {}, 0
-        for name, shape in self.shapes.items():
+        for name, shape in list(self.shapes.items())[skip:]:
             n = math.prod(shape)
             out[name] = flat[at : at + n].reshape(shape)
+            if f"{name}_bias" in self.shapes:  # follows at once
+                out[f"{name}_all"] = flat[at : at + n + shape[1]].reshape(-1, shape[1])
             at += n
         return out
 
@@ -125,163 +131,270 @@ class Network:
             at[f"deep_{k}"][:] = 1e-2
         return seen
 
-    def _forward(self, around: np.ndarray, target: np.ndarray):
+    def _embedded(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
+        """(codes, where words have further digits, those digits, embeddings) of a flat array of words."""
         w = self.w
         code = around & (1 << CODE_BITS) - 1
-        x = w["embedding"][code]
+        x = w["embedding"].take(code, 0)
+        rare, digits = None, []
         if self.priors:
-            rare = (code >= WORDS) & (code < OUTSIDE)
-            digits = around[rare] >> CODE_BITS
-            x[rare] += sum(w[f"digit_{k}"][digits // BASE**k % BASE] for k in range(len(self.priors)))
-        else:
-            rare = digits = None
-        x = x.reshape(len(around), -1)
-        h = np.tanh(x @ w["hidden"] + w["hidden_bias"])
+            rare = np.flatnonzero((code >= WORDS) & (code < OUTSIDE))
+            further = around[rare] >> CODE_BITS
+            digits = [further // BASE**k % BASE for k in range(len(self.priors))]
+            more = w["digit_0"].take(digits[0], 0)
+            for k in range(1, len(digits)):
+                more += w[f"digit_{k}"].take(digits[k], 0)
+            more += x.take(rare, 0)
+            x[rare] = more
+        return code, rare, digits, x
+
+    def _activated(self, z: np.ndarray) -> np.ndarray:
+        """The hidden layer from its weighted inputs, and a last column of ones, which meets the biases."""
+        z += self.w["hidden_bias"]
+        h = np.empty((len(z), HIDDEN + 1), np.float32)
+        h[:, HIDDEN] = 1
+        np.tanh(z, out=h[:, :HIDDEN])
+        return h
+
+    def _further(self, g: np.ndarray, target: np.ndarray):
+        """Per further digit (layer, digit before, digit, scores) of rare targets with the layer ``g``."""
+        goal, further = target & (1 << CODE_BITS) - 1, target >> CODE_BITS
+        prefix, last = goal - WORDS, goal % BASE
+        for k, prior in enumerate(self.priors):
+            digit = further // BASE**k % BASE
+            g = g + self.w[f"given_{k}"].take(last, 0)
+            z = g @ self.w[f"deep_{k}"]
+            z += prior.take(prefix, 0)
+            yield g, last, digit, z
+            prefix, last = prefix * BASE + digit, digit
+
+    def _log_probability(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Per target its log-probability; the hidden layers ``h`` are overwritten."""
+        w = self.w
         goal = target & (1 << CODE_BITS) - 1
         one, two = goal // BASE, goal % BASE
-        p1 = _softmax(h @ w["first"] + w["first_bias"])
-        g = h + w["given"][one]
-        p2 = _softmax(g @ w["second"] + w["second_bias"])
-        deep, last = [], two
+        out = _log_shares(h @ w["first_all"], one)
+        h[:, :HIDDEN] += w["given"].take(one, 0)
+        out += _log_shares(h @ w["second_all"], two)
+        np.maximum(out, FLOOR, out=out)
         if self.priors:
             at = np.flatnonzero(goal >= WORDS)
-            further, prefix, last = target[at] >> CODE_BITS, goal[at] - WORDS, two[at]
-            u = g[at]
-            for k, prior in enumerate(self.priors):
-                digit = further // BASE**k % BASE
-                u = u + w[f"given_{k}"][last]
-                deep.append((at, u, last, digit, _softmax(u @ w[f"deep_{k}"] + prior[prefix])))
-                prefix, last = prefix * BASE + digit, digit
-        return code, rare, digits, x, h, g, one, two, p1, p2, deep
+            if len(at):
+                more = np.zeros(len(at), np.float32)
+                for _, _, digit, z in self._further(h[:, :HIDDEN].take(at, 0), target[at]):
+                    more += np.maximum(_log_shares(z, digit), FLOOR)
+                out[at] += more
+        return out
 
     def log_probability(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
-        *_, one, two, p1, p2, deep = self._forward(around, target)
-        row = np.arange(len(target))
-        out = np.log(np.maximum(p1[row, one] * p2[row, two], 1e-30))
-        for at, _, _, digit, p in deep:
-            out[at] += np.log(np.maximum(p[np.arange(len(at)), digit], 1e-30))
+        x = self._embedded(around.ravel())[3].reshape(len(target), -1)
+        return self._log_probability(self._activated(x @ self.w["hidden"]), target)
+
+    def along(self, line: np.ndarray) -> np.ndarray:
+        """The log-probabilities of all words of a line but the SIDE outer ones, 0 for gaps: neighbours share embeddings."""
+        n = len(line) - 2 * SIDE
+        x = self._embedded(line)[3]
+        parts = self.w["hidden"].reshape(-1, EMBEDDING, HIDDEN)
+        z = x[:n] @ parts[0]
+        for d, part in zip(_OFFSETS[1:].tolist(), parts[1:]):
+            z += x[SIDE + d : SIDE + d + n] @ part
+        target = line[SIDE : SIDE + n]
+        gap = target == OUTSIDE
+        out = self._log_probability(self._activated(z), np.where(gap, 0, target))
+        out[gap] = 0
         return out
 
     def train(self, around: np.ndarray, target: np.ndarray, seen: np.ndarray) -> None:
         """One Adagrad step on a batch; ``seen`` holds the sums of squares."""
-        w = self.w
-        code, rare, digits, x, h, g, one, two, p1, p2, deep = self._forward(around, target)
-        row, n = np.arange(len(target)), np.float32(len(target))
-        p1[row, one] -= 1
-        p2[row, two] -= 1
-        p1 /= n
-        p2 /= n
-        grad = np.zeros_like(self.flat)
-        v = self._views(grad)
+        w, n = self.w, len(target)
+        goal = target & (1 << CODE_BITS) - 1
+        order = goal.astype(np.int16).argsort(kind="stable")  # equal first digits side by side, rare words last
+        around, target, goal = around[order], target[order], goal[order]
+        one, two = goal // BASE, goal % BASE
+        code, rare, digits, x = self._embedded(around.ravel())
+        x = x.reshape(n, -1)
+        h = self._activated(x @ w["hidden"])
+        g = h.copy()
+        g[:, :HIDDEN] += w["given"].take(one, 0)
+        p1 = _errors(h @ w["first_all"], one, n)
+        p2 = _errors(g @ w["second_all"], two, n)
+        grad = np.zeros(self.flat.size - w["embedding"].size, np.float32)
+        v = self._views(grad, 1)
         dg = p2 @ w["second"].T
-        du = None
-        for k in range(len(deep) - 1, -1, -1):
-            at, u, last, digit, p = deep[k]
-            p[np.arange(len(at)), digit] -= 1
-            p /= n
-            own = p @ w[f"deep_{k}"].T
-            du = own if du is None else du + own
-            v[f"deep_{k}"][:] = u.T @ p
-            v[f"given_{k}"][:] = _row_sums(last, du, BASE)
-        if du is not None:
-            dg[deep[0][0]] += du
-        dh = (p1 @ w["first"].T + dg) * (1 - h * h)
-        v["first"][:] = h.T @ p1
-        v["first_bias"][:] = p1.sum(0)
-        v["second"][:] = g.T @ p2
-        v["second_bias"][:] = p2.sum(0)
-        v["given"][:] = _row_sums(one, dg, BASE)
-        v["hidden"][:] = x.T @ dh
-        v["hidden_bias"][:] = dh.sum(0)
-        dx = (dh @ w["hidden"].T).reshape(*code.shape, EMBEDDING)
-        v["embedding"][:] = _row_sums(code.ravel(), dx.reshape(-1, EMBEDDING), BASE * BASE + 1)
-        for k in range(len(deep)):
-            v[f"digit_{k}"][:] = _row_sums(digits // BASE**k % BASE, dx[rare], BASE)
-        used = np.flatnonzero(grad)
-        d = grad[used]
-        seen[used] += d * d
-        self.flat[used] -= np.float32(RATE) * d / np.sqrt(seen[used])
-
-
-def _row_sums(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """Sums of ``rows`` by index, as a table of ``n`` rows."""
-    width = rows.shape[1]
-    at = (index[:, None] * width + np.arange(width)).ravel()
-    return np.bincount(at, rows.ravel(), n * width).reshape(n, width)
-
-
-def _softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(axis=1, keepdims=True)
-    np.exp(z, out=z)
-    z /= z.sum(axis=1, keepdims=True)
-    return z
+        start = int(goal.searchsorted(WORDS))
+        if self.priors and start < n:
+            deep = list(self._further(g[start:, :HIDDEN], target[start:]))
+            du = None
+            for k in range(len(deep) - 1, -1, -1):
+                u, last, digit, z = deep[k]
+                p = _errors(z, digit, n)
+                own = p @ w[f"deep_{k}"].T
+                du = own if du is None else du + own
+                np.matmul(u.T, p, out=v[f"deep_{k}"])
+                v[f"given_{k}"][:] = _row_sums(last, np.ascontiguousarray(du.T), BASE).T
+            dg[start:] += du
+        dh = p1 @ w["first"].T
+        dh += dg
+        dh *= (1 - h * h)[:, :HIDDEN]
+        np.matmul(h.T, p1, out=v["first_all"])
+        np.matmul(g.T, p2, out=v["second_all"])
+        begin = np.append(0, np.flatnonzero(one[1:] != one[:-1]) + 1)
+        v["given"][one[begin]] = np.add.reduceat(dg, begin, axis=0)
+        np.matmul(x.T, dh, out=v["hidden"])
+        np.matmul(np.ones(n, np.float32), dh, out=v["hidden_bias"])
+        # A row per component of the embeddings, all words at the first offset in front: sums then run along whole rows.
+        back = w["hidden"].reshape(-1, EMBEDDING, HIDDEN).transpose(1, 0, 2).reshape(-1, HIDDEN)
+        dx = (back @ dh.T).reshape(EMBEDDING, -1)
+        code = code.reshape(n, -1).T.ravel()
+        if len(digits):
+            offset = 2 * SIDE
+            more = dx.take(rare % offset * n + rare // offset, 1)
+            for k, digit in enumerate(digits):
+                v[f"digit_{k}"][:] = _row_sums(digit, more, BASE).T
+        met = np.zeros(BASE * BASE + 1, bool)
+        met[code] = True
+        rows = np.flatnonzero(met)
+        d = _row_sums(code, dx, BASE * BASE + 1).take(rows, 1).T.astype(np.float32, order="C")
+        rest = w["embedding"].size
+        squares = seen[:rest].reshape(-1, EMBEDDING)
+        sums = squares.take(rows, 0)
+        sums += d * d
+        squares[rows] = sums
+        w["embedding"][rows] = w["embedding"].take(rows, 0) - np.float32(RATE) * d / np.sqrt(sums)
+        sums = seen[rest:]
+        sums += grad * grad
+        self.flat[rest:] -= np.float32(RATE) * grad / np.sqrt(sums)
+
+
+def _row_sums(index: np.ndarray, columns: np.ndarray, n: int) -> np.ndarray:
+    """Sums of ``columns`` by the index of their places, as a table of ``n`` columns."""
+    width = len(columns)
+    at = np.arange(0, width * n, n)[:, None] + index
+    return np.bincount(at.ravel(), columns.ravel(), n * width).reshape(width, n)
+
+
+def _exponentials(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp(z) and its row sums; rows of ``z`` are first shifted by their maxima if float32 is too narrow."""
+    e = np.exp(z)
+    total = e @ _ONES
+    if len(z) and not (np.minimum.reduce(total) > 1e-30 and np.maximum.reduce(total) < 1e30):
+        z -= z.max(axis=1, keepdims=True)
+        np.exp(z, out=e)
+        total = e @ _ONES
+    return e, total
+
+
+def _places(z: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    return (_STARTS[: len(z)] if len(z) <= BATCH else np.arange(0, z.size, BASE)) + chosen
+
+
+def _log_shares(z: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Per row of ``z`` the log of the softmax at the chosen column."""
+    _, total = _exponentials(z)
+    return z.ravel()[_places(z, chosen)] - np.log(total)
+
+
+def _errors(z: np.ndarray, chosen: np.ndarray, n: int) -> np.ndarray:
+    """The softmax of the rows of ``z`` less one at the chosen columns, over ``n``."""
+    e, total = _exponentials(z)
+    e *= (1 / (total * np.float32(n)))[:, None]
+    e.ravel()[_places(z, chosen)] -= np.float32(1 / n)
+    return e
+
+
+def words_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(words in turn, words per text): decontaminate.words_of() of all texts at once."""
+    texts = pa.compute.fill_null(texts.cast(pa.large_binary()), b"")
+    ends = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
+    data = memoryview(texts.buffers()[2] or b"")[ends[0] : ends[-1]]
+    folded = np.frombuffer(bytes(data).translate(_FOLD), np.uint8)
+    edges = ends - ends[0]
+    inside = folded != 32
+    # Where a word begins, and the place behind each word's end; words never span two texts.
+    begins, closes = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1]
+    closes[:-1] &= ~inside[1:]
+    inner = edges[(edges > 0) & (edges < len(folded))]
+    begins[inner] = inside[inner]
+    closes[inner - 1] = inside[inner - 1]
+    at = np.flatnonzero(begins)
+    sizes = np.flatnonzero(closes) + 1 - at
+    offsets = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes)))
+    words = pa.Array.from_buffers(
+        pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(folded[inside])]
+    )
+    return words, np.diff(np.searchsorted(at, edges))
+
+
+class Coder:
+    """Numbers of words; words beyond the vocabulary share RARE codes and have ``depth`` digits, by hash."""
+
+    def __init__(self, vocabulary: dict[bytes, int], depth: int = 0):
+        self.frequent = pa.array(list(vocabulary), pa.large_binary())
+        self.codes = np.array([*vocabulary.values(), -1], np.int32)
+        self.depth = depth
+
+    def known(self, words: pa.Array) -> np.ndarray:
+        """Codes of the vocabulary's words, -1 for others."""
+        return self.codes[pa.compute.fill_null(pa.compute.index_in(words, value_set=self.frequent), -1).to_numpy()]
+
+    def __call__(self, words: pa.Array) -> np.ndarray:
+        ids = self.known(words)
+        beyond = np.flatnonzero(ids < 0)
+        if len(beyond):
+            _, offsets, data = words.buffers()
+            offsets, data = np.frombuffer(offsets, np.int64), data.to_pybytes()
+            spans = zip(offsets[beyond].tolist(), offsets[beyond + 1].tolist())
+            crc = np.array([zlib.crc32(data[a:b]) for a, b in spans], np.int64)
+            ids[beyond] = WORDS + crc % RARE + ((crc // RARE % BASE**self.depth) << CODE_BITS)
+        return ids
 
 
 def word_ids(text: str | None, vocabulary: dict[bytes, int], depth: int = 0) -> np.ndarray:
-    """Numbers of a text's words; words beyond the vocabulary share RARE codes and have ``depth`` digits, by hash."""
-    get = vocabulary.get
-    words = words_of(text)
-    ids = np.array([get(w, -1) for w in words], np.int32)
-    beyond = np.flatnonzero(ids < 0)
-    if len(beyond):
-        crc = np.array([zlib.crc32(words[i]) for i in beyond.tolist()], np.int64)
-        ids[beyond] = WORDS + crc % RARE + ((crc // RARE % BASE**depth) << CODE_BITS)
-    return ids
-
-
-def laid_out(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(all codes with gaps, positions of words, text of each word): windows never leave a text."""
-    gap = np.full(SIDE, OUTSIDE, np.int32)
-    line = np.concatenate([gap, *(part for i in ids for part in (i, gap))])
-    sizes = np.array([len(i) for i in ids])
-    begin = SIDE + np.concatenate(([0], np.cumsum(sizes + SIDE)[:-1])) if len(ids) else np.empty(0, np.int64)
-    owner = np.repeat(np.arange(len(ids)), sizes)
-    position = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(begin, sizes)
-    return line, position.astype(np.int64), owner
+    """Numbers of a text's words."""
+    texts = pa.array([None if text is None else text.encode("utf-8", "surrogatepass")], pa.binary())
+    return Coder(vocabulary, depth)(words_in(texts)[0])
 
 
-_OFFSETS = np.array([d for d in range(-SIDE, SIDE + 1) if d])
+def laid_out(ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(all words with gaps, positions of words) from the words of texts in turn: windows never leave a text."""
+    position = np.arange(len(ids)) + SIDE * np.repeat(np.arange(1, len(sizes) + 1), sizes)
+    line = np.full(len(ids) + SIDE * (len(sizes) + 1), OUTSIDE, np.int64)
+    line[position] = ids
+    return line, position
 
 
 def scores(ids: list[np.ndarray], net: Network) -> np.ndarray:
     """Per text the sum of log-probabilities of codes and digits."""
-    line, position, owner = laid_out(ids)
-    out = np.zeros(len(ids))
-    for a in range(0, len(position), 8_192):
-        at = position[a : a + 8_192]
-        target = line[at]
-        value = net.log_probability(line[at[:, None] + _OFFSETS], target)
-        out += np.bincount(owner[a : a + 8_192], value, len(ids))
-    return out
+    return sums_along(np.concatenate(ids), np.array([len(i) for i in ids]), net)
+
+
+def sums_along(ids: np.ndarray, sizes: np.ndarray, net: Network) -> np.ndarray:
+    """scores() of texts given as all their words in turn and the words per text."""
+    line, _ = laid_out(ids, sizes)
+    value = np.zeros(len(line))
+    with np.errstate(over="ignore"):  # looked at by _exponentials()
+        for a in range(SIDE, len(line) - SIDE, BATCH):
+            b = min(a + BATCH, len(line) - SIDE)
+            value[a:b] = net.along(line[a - SIDE : b + SIDE])
+    return np.bincount(np.repeat(np.arange(len(sizes)), sizes + SIDE), value[SIDE:], len(sizes))
 
 
 # ---- jobs ----------------------------------------------------------------------------
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, n) over all texts in ``_text``, counted in the tasks first."""
+    """(word, n) over all texts in ``_text``, counted per slice of texts first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
         for batch in batches:
-            for part in slices(batch, "_text", 8 << 20):
-                for text in part.column("_text").to_pylist():
-                    counts.update(words_of(text))
-                if len(counts) > 200_000:
-                    yield _counted(counts)
-                    counts = Counter()
-        if counts:
-            yield _counted(counts)
+            for part in slices(batch, "_text", 16 << 20):
+                met = words_in(part.column("_text"))[0].value_counts()
+                yield pa.RecordBatch.from_arrays([met.field(0).cast(pa.binary()), met.field(1)], names=["word", "n"])
 
     return texts.select("_text").mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _counted(counts: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"]
-    )
-
-
 def _added(parts: DataFrame, keys: list[str]) -> DataFrame:
     """Sums of ``values`` (float64 bytes) and ``n`` per key, each read as a stream."""
     dealt = parts.select(*keys, "n", "values").repartition(*keys).sortWithinPartitions(*keys)
@@ -318,17 +431,19 @@ def _round(texts: DataFrame, net: Network, vocabulary: dict[bytes, int], number:
         from pyspark import TaskContext
 
         flat, priors, words = shared.value
-        own, examples = Network(flat, priors), 0
+        own, examples, coder = Network(flat, priors), 0, Coder(words, len(priors))
         seen = own.start()
         task = TaskContext.get().partitionId()
         rng = np.random.default_rng((number, task))
         for batch in batches:
             for part in slices(batch, "_text", 4 << 20):
-                line, position, _ = laid_out([word_ids(t, words, len(priors)) for t in part.column("_text").to_pylist()])
+                found, sizes = words_in(part.column("_text"))
+                line, position = laid_out(coder(found), sizes)
                 chosen = rng.permutation(position)
-                for a in range(0, len(chosen), BATCH):
-                    at = chosen[a : a + BATCH]
-                    own.train(line[at[:, None] + _OFFSETS], line[at], seen)
+                with np.errstate(over="ignore"):  # looked at by _exponentials()
+                    for a in range(0, len(chosen), BATCH):
+                        at = chosen[a : a + BATCH]
+                        own.train(line[at[:, None] + _OFFSETS], line[at], seen)
                 examples += len(chosen)
         if examples:
             parts = np.array_split(own.flat.astype(np.float64) * examples, SLICES)
@@ -362,25 +477,36 @@ def _leaf(depth: int) -> F.Column:
 
 
 def _rare_words(rows: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
-    """(_key, _also, word, n): the words beyond the vocabulary, counted per row."""
+    """(word, keys, alsos, counts): the words beyond the vocabulary and, per slice of texts, the rows that hold them."""
     shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
-    names = ["_key", "_also", "word", "n"]
-    types = [pa.int64(), pa.int32(), pa.binary(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = shared.value
+        coder = Coder(shared.value)
         for batch in batches:
-            for part in slices(batch, "_text", 1 << 20):
-                columns: list[list] = [[], [], [], []]
-                for key, also, text in zip(*(part.column(c).to_pylist() for c in ("_key", "_also", "_text"))):
-                    rare = Counter(w for w in words_of(text) if w not in frequent)
-                    columns[0] += [key] * len(rare)
-                    columns[1] += [also] * len(rare)
-                    columns[2] += rare.keys()
-                    columns[3] += rare.values()
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+            for part in slices(batch, "_text", 8 << 20):
+                words, sizes = words_in(part.column("_text"))
+                beyond = np.flatnonzero(coder.known(words) < 0)
+                rare = words.take(pa.array(beyond)).dictionary_encode()
+                text = np.repeat(np.arange(len(sizes)), sizes)[beyond]
+                # Pairs of a word and a text, by word; equal ones are counted.
+                pairs = rare.indices.to_numpy().astype(np.int64) * len(sizes) + text
+                pairs, n = np.unique(pairs, return_counts=True)
+                word, text = np.divmod(pairs, max(len(sizes), 1))
+                begin = np.flatnonzero(np.diff(word, prepend=-1))
+                ends = pa.array(np.append(begin, len(word)), pa.int32())
+                text = pa.array(text)
+                columns = [part.column("_key").take(text), part.column("_also").take(text), pa.array(n, pa.int32())]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        rare.dictionary.cast(pa.binary()),
+                        *(pa.ListArray.from_arrays(ends, c) for c in columns),
+                    ],
+                    names=["word", "keys", "alsos", "counts"],
+                )
 
-    return rows.select("_key", "_also", "_text").mapInArrow(run, "_key bigint, _also int, word binary, n bigint")
+    return rows.select("_key", "_also", "_text").mapInArrow(
+        run, "word binary, keys array<bigint>, alsos array<int>, counts array<int>"
+    )
 
 
 class Model:
@@ -444,16 +570,17 @@ def score(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, priors, words = shared.value
-        net = Network(flat, priors)
+        net, coder = Network(flat, priors), Coder(words, len(priors))
         for batch in batches:
             for part in slices(batch, "_text", 4 << 20):
-                ids = [word_ids(t, words, len(priors)) for t in part.column("_text").to_pylist()]
+                found, sizes = words_in(part.column("_text"))
+                ids = coder(found)
+                rare = np.bincount(np.repeat(np.arange(len(sizes)), sizes), (ids & (1 << CODE_BITS) - 1) >= WORDS, len(sizes))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("_id"), part.column("_key"), part.column("_also"),
-                        pa.array([len(i) for i in ids], pa.int64()),
-                        pa.array([int(((i & (1 << CODE_BITS) - 1) >= WORDS).sum()) for i in ids], pa.int64()),
-                        pa.array(scores(ids, net), pa.float64()),
+                        pa.array(sizes, pa.int64()), pa.array(rare.astype(np.int64)),
+                        pa.array(sums_along(ids, sizes, net), pa.float64()),
                     ],
                     names=["_id", "_key", "_also", "n_words", "n_rare", "value"],
                 )
@@ -465,7 +592,11 @@ def score(
     if model.shares is None:
         total = F.col("value") + F.col("n_rare") * unseen
     else:
-        part = _rare_words(rows, model.vocabulary).join(model.shares, "word", "left")
+        # A word's share meets a row per slice of texts, not one per text; shares are few beside the words met.
+        part = _rare_words(rows, model.vocabulary).join(model.shares.hint("shuffle_hash"), "word", "left")
+        part = part.select("share", "alsos", "counts", F.posexplode("keys").alias("at", "_key")).select(
+            "_key", F.col("alsos")[F.col("at")].alias("_also"), F.col("counts")[F.col("at")].alias("n"), "share"
+        )
         # Repeated rows meet here under one key; their words then count as often as the rows repeat.
         part = part.groupBy("_key", "_also").agg(
             F.sum("n").alias("n_met"), F.sum(F.col("n") * F.coalesce("share", unseen)).alias("rare")
